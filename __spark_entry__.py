@@ -70,6 +70,26 @@ def q_build_wide(spark, sf):
     return enc.withColumn("error_kind", error_kind()).drop("error")
 
 
+def q_doc_lst_join(spark, sf):
+    """J1 alone: good documents matched to their suggestion line (inner join)."""
+    from ipcforge.operators.wide import doc_lst_join
+    from ipcforge.sources.xmldocs import with_parse_status
+
+    docs = with_parse_status(parse_patent_xml(derived.documents(spark, sf))).where(F.col("doc_status") == "ok")
+    joined = doc_lst_join(docs.select("source_file", "application_key"), derived.suggestion_lines(spark, sf))
+    return joined.where(F.col("ai_line").isNotNull()).select("source_file", "application_key", "ai_line")
+
+
+def q_train_candidates(spark, sf):
+    """M1-M6: three GBT candidates (10 trees max, best iteration on validation); rows only."""
+    from ipcforge.operators.model import train_candidates
+    from ipcforge.session import cut_lineage
+
+    split = cut_lineage(split_long(derived.long(spark, sf)))
+    runs = train_candidates(split, max_iter=10)
+    return runs.select("candidate_name", "ord", "n_train", "n_val", "n_trees", *_r6("val_rmse", "val_mae"))
+
+
 def q_bulletin_counts(spark, sf):
     return bulletin_counts(derived.wide(spark, sf))
 
@@ -265,6 +285,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "wide_to_long_encoded": q_wide_to_long_encoded,
     "build_wide": q_build_wide,
     "bulletin_counts": q_bulletin_counts,
+    "doc_lst_join": q_doc_lst_join,
     "parse_ai_line": q_parse_ai_line,
     "canonicalize_code": q_canonicalize_code,
     "expert_codes": q_expert_codes,
@@ -289,6 +310,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "promotion_decision": q_promotion_decision,
     "rotate_slots": q_rotate_slots,
     "register_version": q_register_version,
+    "train_candidates": q_train_candidates,
 }
 
 
@@ -328,7 +350,7 @@ patents AS (
   FROM orders),
 expert AS (SELECT DISTINCT l_orderkey, want, want_main FROM codes WHERE l_returnflag = 'R'),
 ai_all AS (
-  SELECT l_orderkey, raw_code, want, want_main, sec, mg, sg, CAST(sc AS DOUBLE) AS score,
+  SELECT l_orderkey, raw_code, want, want_main, sec, mg, sg, sc, CAST(sc AS DOUBLE) AS score,
     CAST(row_number() OVER (PARTITION BY l_orderkey ORDER BY pos) AS INTEGER) AS rank
   FROM codes WHERE l_returnflag <> 'R'),
 ai AS (
@@ -425,6 +447,14 @@ bad AS (
     '' AS ai_scores, p.bulletin_code, 'malformed' AS error_kind
   FROM patents p WHERE p.status = 'malformed')
 SELECT * FROM good UNION ALL SELECT * FROM blank UNION ALL SELECT * FROM bad
+"""),
+    "doc_lst_join": _sql("""
+SELECT p.source_file, p.k AS application_key,
+  concat('AI_IPC:', string_agg(CASE WHEN a.sc IS NULL THEN a.raw_code ELSE concat(a.raw_code, ' (', a.sc, '%)') END,
+    ';' ORDER BY a.rank), ';') AS ai_line
+FROM patents p JOIN ai_all a ON a.l_orderkey = p.o_orderkey
+WHERE p.status = 'ok'
+GROUP BY p.source_file, p.k
 """),
     "bulletin_counts": _sql("""
 , wide AS (
