@@ -4,13 +4,13 @@ No bulletin archives or suggestion files ship with the test data, so the
 inputs of the pipeline are derived deterministically from the TPC-H-like
 tables (one order = one patent; its 'R' lines are the expert codes, the other
 lines the ranked AI suggestions).  The derivation is plain DataFrame work:
-one window and two aggregates that all share the ``l_orderkey``
-partitioning, plus one join with ``orders``.
+two hash aggregates by ``l_orderkey`` (the few items of an order are sorted
+inside the aggregate) and one join with ``orders``.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import month_code_of
@@ -27,26 +27,18 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+# Fixed value: order of the lines inside an order (line number first).
+LINE_ORDER = ("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity", "l_shipdate")
+
+
 def code_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per line item: its code text, expected canonical code and rank.
+    """One row per line item: its code text and expected canonical code.
 
-    ``pos`` numbers expert ('R') and AI lines separately inside an order.  It
-    is computed with one window partitioned by ``l_orderkey`` only (two
-    running counts), so the aggregates by order that follow reuse the same
-    hash partitioning instead of shuffling again.
+    The position of a line inside its order is not materialised here: the
+    aggregates by order sort their collected items by ``LINE_ORDER`` (a few
+    items per order), so the facts are never globally sorted by a window.
     """
-    li = read_table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
-        "l_extendedprice", "l_returnflag", "l_shipdate",
-    )
-    is_r = F.coalesce(F.col("l_returnflag") == "R", F.lit(False))
-    w = (
-        Window.partitionBy("l_orderkey")
-        .orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity", "l_shipdate")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    n_r = F.sum(F.when(is_r, 1).otherwise(0)).over(w)
-    n_a = F.sum(F.when(is_r, 0).otherwise(1)).over(w)
+    li = read_table(spark, sf_dir, "lineitem").select("l_orderkey", *LINE_ORDER, "l_returnflag")
     sec = F.substr(F.lit(SECTIONS), (F.col("l_orderkey") % 8).cast("int") + 1, F.lit(1))
     mg = (F.lit(31) + F.col("l_partkey") % 3).cast("string")
     sg = F.lpad(((F.col("l_suppkey") % 3) * 10).cast("string"), 2, "0")
@@ -59,8 +51,7 @@ def code_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         ),
     )
     lines = li.select(
-        "l_orderkey", "l_returnflag", "l_linenumber",
-        F.when(is_r, n_r).otherwise(n_a).cast("int").alias("pos"),
+        "l_orderkey", "l_returnflag", *LINE_ORDER,
         sec.alias("sec"), mg.alias("mg"), sg.alias("sg"), sc.alias("sc"),
     )
     variant = F.col("l_linenumber") % 4
@@ -75,11 +66,22 @@ def code_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _by_key(df: DataFrame, key: str) -> DataFrame:
+    """Hash-distribute rows by the grouping key before a collect-type aggregate.
+
+    Map-side partial aggregation cannot shrink a collected list, so the rows
+    are shuffled as they are (explicit partition count, kept by AQE) and the
+    aggregate runs after the exchange in one stage, on every core.
+    """
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(n, key)
+
+
 def _ordered_concat(item: Column, sep: str) -> Column:
-    return F.array_join(
-        F.transform(F.array_sort(F.collect_list(F.struct(F.col("pos"), item.alias("v")))), lambda x: x["v"]),
-        sep,
-    )
+    """Items of one order joined in ``LINE_ORDER`` (hash aggregate, no global sort)."""
+    key = F.struct(*[F.col(c) for c in LINE_ORDER])
+    collected = F.collect_list(F.struct(key.alias("k"), item.alias("v")))
+    return F.array_join(F.transform(F.array_sort(collected), lambda x: x["v"]), sep)
 
 
 def ai_files(lines: DataFrame) -> DataFrame:
@@ -92,10 +94,15 @@ def ai_files(lines: DataFrame) -> DataFrame:
         F.concat("raw_code", F.lit(" ("), "sc", F.lit("%)"))
     )
     ai = lines.where((F.col("l_returnflag") != "R") & (F.col("l_orderkey") % NO_AI_FILE_EVERY != 0))
-    per_order = ai.groupBy("l_orderkey").agg(_ordered_concat(item, ";").alias("items"))
-    key = F.col("l_orderkey").cast("string")
+    # Grouped by the text key itself: the join on application_key that
+    # follows then reuses this hash partitioning instead of shuffling again.
+    keyed = ai.withColumn("application_key", F.col("l_orderkey").cast("string"))
+    per_order = _by_key(keyed, "application_key").groupBy("application_key").agg(
+        _ordered_concat(item, ";").alias("items")
+    )
+    key = F.col("application_key")
     text = F.concat(F.lit("APPLICATION "), key, F.lit("\r\nAI_IPC:"), "items", F.lit(";\n"))
-    return per_order.select(key.alias("application_key"), text.alias("text"))
+    return per_order.select(key, text.alias("text"))
 
 
 def bulletin_documents(spark: SparkSession, sf_dir: str, lines: DataFrame) -> DataFrame:
@@ -109,6 +116,7 @@ def bulletin_documents(spark: SparkSession, sf_dir: str, lines: DataFrame) -> Da
     )
     expert = (
         lines.where(F.col("l_returnflag") == "R")
+        .transform(lambda df: _by_key(df, "l_orderkey"))
         .groupBy("l_orderkey")
         .agg(_ordered_concat(node, "").alias("ex"))
     )
@@ -128,11 +136,16 @@ def bulletin_documents(spark: SparkSession, sf_dir: str, lines: DataFrame) -> Da
     )
     code = month_code_of("o_orderdate")
     docs = orders.join(expert, orders.o_orderkey == expert.l_orderkey, "left")
-    return docs.select(
+    out = docs.select(
         code.alias("bulletin_code"),
         F.concat(code, F.lit("/"), key, F.lit("/Document.xml")).alias("source_file"),
         xml.alias("xml"),
     )
+    # Same shape as unzipped archive members: documents hash-spread over an
+    # explicit number of partitions (AQE keeps explicit counts) so the
+    # per-document parse that follows uses every core.
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return out.repartition(n, "bulletin_code", "source_file")
 
 
 def bulletin_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
