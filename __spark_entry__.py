@@ -36,6 +36,7 @@ from ipcforge.operators.metrics import evaluate_split  # noqa: E402
 from ipcforge.operators.split import month_split, split_counts, split_long  # noqa: E402
 from ipcforge.operators.wide import bulletin_counts, encode_wide, error_kind  # noqa: E402
 from ipcforge.plans import derived  # noqa: E402
+from ipcforge.session import spread_for_cpu  # noqa: E402
 from ipcforge.sources import tables  # noqa: E402
 from ipcforge.sources.xmldocs import parse_patent_xml  # noqa: E402
 
@@ -85,7 +86,7 @@ def q_train_candidates(spark, sf):
     from ipcforge.operators.model import train_candidates
     from ipcforge.session import cut_lineage
 
-    split = cut_lineage(split_long(derived.long(spark, sf)))
+    split = cut_lineage(split_long(derived.long_table(spark, sf)))
     runs = train_candidates(split, max_iter=10)
     return runs.select("candidate_name", "ord", "n_train", "n_val", "n_trees", *_r6("val_rmse", "val_mae"))
 
@@ -122,7 +123,7 @@ def _code_variants(cl: DataFrame) -> DataFrame:
 
 
 def q_canonicalize_code(spark, sf):
-    v = _code_variants(derived.lines(spark, sf))
+    v = _code_variants(spread_for_cpu(derived.lines(spark, sf), "l_orderkey", "l_linenumber"))
     return v.select("l_orderkey", "l_linenumber", F.col("variant").cast("int").alias("variant"),
                     canonicalize_code("raw").alias("canon"))
 
@@ -138,7 +139,7 @@ def q_expert_codes(spark, sf):
 
 
 def q_code_parts(spark, sf):
-    cl = derived.lines(spark, sf)
+    cl = spread_for_cpu(derived.lines(spark, sf), "l_orderkey", "l_linenumber")
     parts = code_parts("raw_code")
     return cl.select(
         "l_orderkey", "l_linenumber",
@@ -170,18 +171,18 @@ def q_month_split(spark, sf):
 
 
 def q_split_counts(spark, sf):
-    return split_counts(split_long(derived.long(spark, sf)))
+    return split_counts(split_long(derived.long_table(spark, sf)))
 
 
 def q_evaluate_fixed_predictor(spark, sf):
-    split = split_long(derived.long(spark, sf))
+    split = split_long(derived.long_table(spark, sf))
     m = evaluate_split(split, F.coalesce(F.col("ai_score"), F.lit(0.0)) / 100.0)
     return m.select(F.round("val_rmse", 6).alias("val_rmse"), F.round("val_mae", 6).alias("val_mae"),
                     "n_train", "n_val")
 
 
 def q_fill_features(spark, sf):
-    split = split_long(derived.long(spark, sf)).where(F.col("split") == "val")
+    split = split_long(derived.long_table(spark, sf)).where(F.col("split") == "val")
     return fill_features(split).select(
         "patent_id", "bulletin_code", "ai_score", "rank", "main_group", "subgroup",
         "section", "class2", "subclass", "y",
@@ -243,18 +244,18 @@ def _r6(*names):
 
 
 def q_candidate_metrics(spark, sf):
-    runs = reg_ops.fixed_candidate_runs(split_long(derived.long(spark, sf)))
+    runs = reg_ops.fixed_candidate_runs(split_long(derived.long_table(spark, sf)))
     return runs.select("candidate_name", "ord", *_r6("val_rmse", "val_mae"), "n_train", "n_val")
 
 
 def q_best_candidate(spark, sf):
-    runs = reg_ops.fixed_candidate_runs(split_long(derived.long(spark, sf)))
+    runs = reg_ops.fixed_candidate_runs(split_long(derived.long_table(spark, sf)))
     best = reg_ops.best_candidate(runs)
     return best.select("candidate_name", "ord", *_r6("val_rmse", "val_mae"), "n_train", "n_val")
 
 
 def q_promotion_decision(spark, sf):
-    split = split_long(derived.long(spark, sf))
+    split = split_long(derived.long_table(spark, sf))
     runs = reg_ops.fixed_candidate_runs(split)
     champion = reg_ops.mean_predictor_champion(split)
     decision = reg_ops.promotion_decision(reg_ops.best_candidate(runs), champion, margin=0.0)
@@ -264,7 +265,7 @@ def q_promotion_decision(spark, sf):
 
 
 def q_rotate_slots(spark, sf):
-    split = split_long(derived.long(spark, sf))
+    split = split_long(derived.long_table(spark, sf))
     runs = reg_ops.register_versions(reg_ops.seed_versions(split), reg_ops.fixed_candidate_runs(split))
     champion = reg_ops.mean_predictor_champion(split)
     decision = reg_ops.promotion_decision(reg_ops.best_candidate(runs), champion, margin=0.0)
@@ -273,7 +274,7 @@ def q_rotate_slots(spark, sf):
 
 
 def q_register_version(spark, sf):
-    split = split_long(derived.long(spark, sf))
+    split = split_long(derived.long_table(spark, sf))
     runs = reg_ops.fixed_candidate_runs(split)
     versions = reg_ops.seed_versions(split)
     return reg_ops.register_versions(versions, runs).select("candidate_name", "model_name", "model_version")

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ..functions import first_ai_line
 from ..operators.long import wide_to_long
 from ..operators.wide import build_wide
+from ..session import cut_lineage
 from ..sources import tables
 from ..sources.xmldocs import parse_patent_xml
 
@@ -41,3 +42,8 @@ def wide(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def long(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wide_to_long(wide(spark, sf_dir))
+
+
+def long_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The long table materialized once (reliable checkpoint), for plans that read it twice."""
+    return cut_lineage(long(spark, sf_dir))

@@ -78,6 +78,20 @@ def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
     return F.broadcast(df) if n <= max_rows else df
 
 
+def spread_for_cpu(df: DataFrame, *keys: str) -> DataFrame:
+    """Give a CPU-heavy per-row stage at least one task per core.
+
+    Only when the input has fewer partitions than the cluster has cores (a
+    single small file, say) the rows are hash-spread by ``keys``
+    (deterministic on retry); with many input splits this is a no-op, so no
+    shuffle is added at scale.  Use on scan-level frames only.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores, *keys) if keys else df.repartition(cores)
+
+
 def env_int(name: str, default: int) -> int:
     try:
         return int(os.environ.get(name, default))
