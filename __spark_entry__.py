@@ -227,7 +227,7 @@ def q_resolve_month(spark, sf):
         m.select(F.col("m").alias("requested"))
         .unionByName(m.select(shifted.alias("requested")))
         .unionByName(m.select(F.substr("m", F.lit(1), F.lit(5)).alias("requested")))
-        .unionByName(m.limit(1).select(F.lit("last").alias("requested")))
+        .unionByName(month_ops.month_range(m, "m").select(F.lit("last").alias("requested")))
     )
     return month_ops.resolve_month(available, requests).select("requested", "resolved", "status")
 

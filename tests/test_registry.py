@@ -89,3 +89,10 @@ def test_versions_and_alias(spark):
 def test_unknown_candidate():
     with pytest.raises(ValueError):
         reg.candidate_config("nope")
+
+
+def test_run_metrics_map(spark):
+    runs = _runs(spark, [0.2, 0.3, 0.4])
+    row = reg.run_metrics_map(runs).where("candidate_name = 'v1_reg_base'").first()
+    assert row["metrics"]["val_rmse"] == 0.2 and row["metrics"]["n_val"] == 5.0
+    assert row["params"]["training_last_month_resolved"] == "202603" and row["params"]["months_window"] == "10"
