@@ -6,6 +6,7 @@ from .codes import (
     code_parts,
     expert_codes,
     first_ai_line,
+    has_ai_items,
     label_match,
     main_group_of,
     parse_ai_line,
@@ -42,6 +43,7 @@ __all__ = [
     "expert_codes",
     "first_ai_line",
     "first_line_starting_with",
+    "has_ai_items",
     "label_match",
     "let",
     "main_group_of",

@@ -99,6 +99,21 @@ def parse_ai_line(line: Column | str) -> Column:
 
 AI_ITEMS_TYPE = "array<struct<raw:string,canon:string,score:double>>"
 
+_NON_BLANK_ITEM_CHAR = rf"(?U)[^\s\x1c-\x1f;]"
+
+
+def has_ai_items(line: Column | str) -> Column:
+    """``size(parse_ai_line(line)) > 0`` as one cheap regex test.
+
+    An item survives parsing iff it has a character that is neither blank
+    nor ';' after the first marker.  Use it for filters: Catalyst pushes
+    filters below projections by copying their expressions, and this keeps
+    the copy cheap instead of running the full parse twice.
+    """
+    line = col_of(line)
+    at = F.instr(line, _AI_MARKER)
+    return F.coalesce((at > 0) & F.substr(line, at + len(_AI_MARKER)).rlike(_NON_BLANK_ITEM_CHAR), F.lit(False))
+
 
 def first_ai_line(text: Column | str) -> Column:
     """The first line of a file that starts with the marker (or "")."""

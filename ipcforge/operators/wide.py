@@ -27,6 +27,7 @@ from ..functions import (
     encode_code_list,
     encode_score_list,
     expert_codes,
+    has_ai_items,
     normalize_prefix,
     parse_ai_line,
 )
@@ -75,11 +76,12 @@ def build_wide(parsed_docs: DataFrame, lst: DataFrame, lst_prefix: str = "lst/")
     """
     prefix = normalize_prefix(lst_prefix)
     docs = with_parse_status(parsed_docs).withColumn("expert", expert_codes("ipc_texts"))
-    joined = doc_lst_join(docs, lst).withColumn(
+    joined = doc_lst_join(docs, lst)
+    # good documents without any AI suggestion are dropped (cheap test
+    # first, so the pushed-down filter does not repeat the parse).
+    kept = joined.where((F.col("doc_status") != "ok") | has_ai_items("ai_line")).withColumn(
         "ai", F.when(F.col("doc_status") == "ok", parse_ai_line("ai_line"))
     )
-    # good documents without any AI suggestion are dropped.
-    kept = joined.where((F.col("doc_status") != "ok") | (F.size("ai") > 0))
 
     status = F.col("doc_status")
     good, blank = status == "ok", status == "blank"

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from conftest import eval_col
@@ -11,6 +13,7 @@ from ipcforge.functions import (
     code_parts,
     expert_codes,
     first_ai_line,
+    has_ai_items,
     label_match,
     main_group_of,
     parse_ai_line,
@@ -142,3 +145,14 @@ def test_scalar_functions_have_no_python_udf(spark):
     plan = q._jdf.queryExecution().executedPlan().toString()
     assert "PythonUDF" not in plan and "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
     assert F is not None
+
+
+ai_text = st.lists(st.sampled_from(list("AB1 ;()%.\t\x1c:_I") + ["AI_IPC:"]), max_size=30).map("".join)
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(ai_text, min_size=1, max_size=20))
+def test_has_ai_items_matches_parse(spark, lines):
+    df = spark.createDataFrame([(x,) for x in lines], "l string")
+    rows = df.select((F.size(parse_ai_line("l")) > 0).alias("a"), has_ai_items("l").alias("b")).collect()
+    assert all(r["a"] == r["b"] for r in rows), lines
