@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import PipelineModel
 from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame
@@ -28,32 +28,37 @@ DEFAULT_MAX_ITER = 50
 MIN_BINS = 32
 
 
-def _pipeline(cfg: dict, max_iter: int, max_bins: int, target: str = "y") -> Pipeline:
-    num, cats = feature_columns(cfg["use_ipc_parts"])
-    stages = []
-    idx_cols = []
-    for c in cats:
-        stages.append(StringIndexer(inputCol=c, outputCol=f"{c}_idx", handleInvalid="keep", stringOrderType="alphabetAsc"))
-        idx_cols.append(f"{c}_idx")
-    stages.append(VectorAssembler(inputCols=num + idx_cols, outputCol="features", handleInvalid="keep"))
-    stages.append(
-        GBTRegressor(
-            featuresCol="features", labelCol=target, predictionCol="prediction",
-            maxDepth=int(cfg["depth"]), stepSize=float(cfg["learning_rate"]), lossType="squared",
-            maxIter=int(max_iter), maxBins=int(max_bins), seed=SEED, checkpointInterval=10,
-            cacheNodeIds=False,
-        )
+def _indexer(cats: list[str]) -> StringIndexer:
+    """M1: one multi-column indexer (a single pass); unseen values get their own index."""
+    return StringIndexer(
+        inputCols=cats, outputCols=[f"{c}_idx" for c in cats], handleInvalid="keep", stringOrderType="alphabetAsc"
     )
-    return Pipeline(stages=stages)
 
 
-def category_bins(train: DataFrame, use_ipc_parts: bool) -> int:
-    """maxBins >= largest category count (+1 for the unseen bucket); one small aggregate."""
-    _, cats = feature_columns(use_ipc_parts)
-    if not cats:
-        return MIN_BINS
-    row = train.agg(*[F.count_distinct(c).alias(c) for c in cats]).first()
-    return max(MIN_BINS, max(int(row[c] or 0) for c in cats) + 2)
+def _gbt(cfg: dict, max_iter: int, max_bins: int, target: str) -> GBTRegressor:
+    return GBTRegressor(
+        featuresCol="features", labelCol=target, predictionCol="prediction",
+        maxDepth=int(cfg["depth"]), stepSize=float(cfg["learning_rate"]), lossType="squared",
+        maxIter=int(max_iter), maxBins=int(max_bins), seed=SEED, checkpointInterval=10,
+        cacheNodeIds=False,
+    )
+
+
+def _fit(train: DataFrame, cfg: dict, max_iter: int, target: str) -> PipelineModel:
+    """Fit indexer -> assembler -> GBT; maxBins comes from the fitted label counts
+    (>= the largest category count + the unseen bucket), no extra pass."""
+    num, cats = feature_columns(cfg["use_ipc_parts"])
+    stages: list = []
+    bins = MIN_BINS
+    if cats:
+        indexer = _indexer(cats).fit(train)
+        bins = max(MIN_BINS, max(len(labels) for labels in indexer.labelsArray) + 2)
+        stages.append(indexer)
+    assembler = VectorAssembler(inputCols=num + [f"{c}_idx" for c in cats], outputCol="features", handleInvalid="keep")
+    stages.append(assembler)
+    prepared = PipelineModel(stages).transform(train)
+    gbt = _gbt(cfg, max_iter, bins, target).fit(prepared)
+    return PipelineModel([*stages, gbt])
 
 
 def best_iteration(model: PipelineModel, val: DataFrame) -> tuple[int, list[float]]:
@@ -69,13 +74,12 @@ def train_regressor(train: DataFrame, val: DataFrame, cfg: dict, max_iter: int =
                     target: str = "y", use_best_iteration: bool = True) -> tuple[PipelineModel, dict]:
     """M1+M2+M3+M4+M5: fit one candidate and evaluate it on the validation rows."""
     train_f, val_f = fill_features(train), fill_features(val)
-    bins = category_bins(train_f, cfg["use_ipc_parts"])
-    model = _pipeline(cfg, max_iter, bins, target).fit(train_f)
+    model = _fit(train_f, cfg, max_iter, target)
     n_trees = max_iter
     if use_best_iteration and max_iter > 1:
         n_trees, _ = best_iteration(model, val_f)
         if n_trees < max_iter:
-            model = _pipeline(cfg, n_trees, bins, target).fit(train_f)
+            model = _fit(train_f, cfg, n_trees, target)
     pred = model.transform(val_f)
     m = error_metrics(pred, label=target, prediction="prediction").first()
     return model, {
