@@ -95,3 +95,15 @@ def test_prep_train_select(spark, bucket):
     second = select_job(spark, models, prod, "0.0")
     assert second["promote"] is False  # equal error is not strictly better
     assert os.path.isdir(first["promoted_model_key"].replace("file:", ""))
+
+
+def test_prep_with_compacted_suggestions(spark, bucket):
+    from ipcforge.sources.files import ingest_lst
+
+    compact = ingest_lst(spark, bucket["lst"], os.path.join(bucket["root"], "lst_compact"))
+    out = os.path.join(bucket["root"], "dataprep_compact")
+    a = prep_job(spark, bucket["pub"], compact, out, "last", 3)
+    b = prep_job(spark, bucket["pub"], bucket["lst"], os.path.join(bucket["root"], "dataprep_files"), "last", 3)
+    assert a.rows == b.rows > 0
+    wa, wb = spark.read.parquet(a.output_path), spark.read.parquet(b.output_path)
+    assert wa.exceptAll(wb).count() == 0 and wb.exceptAll(wa).count() == 0
