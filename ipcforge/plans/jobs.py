@@ -16,16 +16,15 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import dataset_name, normalize_prefix
+from ..functions import dataset_name
 from ..operators import months as month_ops
 from ..operators import registry as reg
 from ..operators.long import wide_to_long
 from ..operators.model import DEFAULT_MAX_ITER, train_candidates
 from ..operators.split import split_long
-from ..operators.wide import WIDE_SCHEMA, build_wide, encode_wide
+from ..operators.wide import build_wide, encode_wide
 from ..session import cut_lineage
-from ..sources.files import list_object_keys, scan_bulletin_archives, scan_lst
-from ..sources.xmldocs import parse_patent_xml
+from ..sources.files import list_object_keys, scan_bulletin_documents, scan_lst
 
 RUNS_SCHEMA = (
     "candidate_name string, ord int, run_id string, model_name string, model_version string, "
@@ -96,9 +95,9 @@ def prep_job(spark: SparkSession, pub_dir: str, lst_source: str | DataFrame, out
     start = spark.createDataFrame([(resolved,)], "last_month string")
     window = month_ops.month_window(start, months)
     window_codes = [r["bulletin_code"] for r in window.orderBy("pos").collect()]  # n scalars
-    docs = scan_bulletin_archives(spark, pub_dir, window)
+    docs = scan_bulletin_documents(spark, pub_dir, window)
     lst = scan_lst(spark, lst_source) if isinstance(lst_source, str) else lst_source
-    wide = build_wide(parse_patent_xml(docs), lst, lst_prefix)
+    wide = build_wide(docs, lst, lst_prefix)
     out = encode_wide(wide) if encode else wide
     path = _join(out_dir, f"ipc_with_ai_{resolved}_last_{months}.parquet")
     # Written once; the row count then comes from the parquet footers, not a

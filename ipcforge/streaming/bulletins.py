@@ -1,8 +1,10 @@
 """Incremental preparation: new monthly archives -> wide rows, as a stream.
 
-``readStream`` over the archive folder (``binaryFile``) picks up every new
+``readStream`` over the archive folder (``binaryFile``, only the ``path``
+column, so archive bytes are not loaded by the source) picks up every new
 ``*.zip`` once; each micro-batch goes through the same operators as the
-batch job (unzip -> parse -> join with the suggestion table -> wide rows).
+batch job (member listing -> spread -> read + parse -> join with the
+suggestion table -> wide rows).
 The sink is ``foreachBatch`` writing each epoch to its own folder with
 overwrite, so a retried epoch rewrites the same files (idempotent) and the
 stream's progress lives in a checkpoint under the session's shared
@@ -17,15 +19,14 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.wide import build_wide, encode_wide
 from ..session import shared_path
-from ..sources.files import MEMBER_SCHEMA, _unzip_members
-from ..sources.xmldocs import parse_patent_xml
+from ..sources.files import archive_members, read_archive_documents
 
 # Fixed value: the schema of Spark's binaryFile source.
 BINARY_FILE_SCHEMA = "path string, modificationTime timestamp, length long, content binary"
 
 
 def archive_stream(spark: SparkSession, pub_dir: str, max_files_per_trigger: int = 4) -> DataFrame:
-    """Streaming (bulletin_code, content) of ``<pub_dir>/YYYYMM.zip`` files as they arrive."""
+    """Streaming (bulletin_code, path) of ``<pub_dir>/YYYYMM.zip`` files as they arrive."""
     files = (
         spark.readStream.format("binaryFile")
         .schema(BINARY_FILE_SCHEMA)
@@ -34,15 +35,13 @@ def archive_stream(spark: SparkSession, pub_dir: str, max_files_per_trigger: int
         .load(pub_dir)
     )
     code = F.regexp_extract("path", r"/(\d{6})\.zip$", 1)
-    return files.select(code.alias("bulletin_code"), "content").where(F.col("bulletin_code") != "")
+    return files.select(code.alias("bulletin_code"), "path").where(F.col("bulletin_code") != "")
 
 
 def _process_batch(lst: DataFrame, out_path: str, lst_prefix: str, partitions: int, encode: bool):
     def run(batch: DataFrame, epoch_id: int) -> None:
-        members = batch.mapInPandas(_unzip_members, MEMBER_SCHEMA).repartition(
-            partitions, "bulletin_code", "source_file"
-        )
-        wide = build_wide(parse_patent_xml(members), lst, lst_prefix)
+        docs = read_archive_documents(archive_members(batch), partitions)
+        wide = build_wide(docs, lst, lst_prefix)
         out = encode_wide(wide) if encode else wide
         out.write.mode("overwrite").parquet(f"{out_path.rstrip('/')}/epoch={epoch_id}")
 

@@ -107,3 +107,22 @@ def test_prep_with_compacted_suggestions(spark, bucket):
     assert a.rows == b.rows > 0
     wa, wb = spark.read.parquet(a.output_path), spark.read.parquet(b.output_path)
     assert wa.exceptAll(wb).count() == 0 and wb.exceptAll(wa).count() == 0
+
+
+def test_one_archive_spreads_over_tasks(spark, bucket):
+    from ipcforge.sources.files import archive_members, read_archive_documents, scan_bulletin_archives
+    from ipcforge.sources.xmldocs import parse_patent_xml
+
+    zips = [os.path.join(bucket["pub"], f) for f in os.listdir(bucket["pub"]) if f.endswith(".zip")]
+    biggest = max(zips, key=os.path.getsize)
+    month = os.path.basename(biggest)[:6]
+    path = "file://" + biggest
+    archives = spark.createDataFrame([(month, path)], "bulletin_code string, path string")
+    docs = read_archive_documents(archive_members(archives), 8)
+    tasks = docs.select(F.spark_partition_id().alias("p")).distinct().count()
+    assert tasks >= 4  # one archive, many reading tasks
+    codes = spark.createDataFrame([(month,)], "bulletin_code string")
+    fallback = parse_patent_xml(scan_bulletin_archives(spark, bucket["pub"], codes, 8))
+    cols = ["bulletin_code", "source_file", "patent_number", "application_number", "bulletin_date"]
+    assert docs.select(cols).exceptAll(fallback.select(cols)).count() == 0
+    assert docs.count() == fallback.count() > 0
