@@ -126,3 +126,23 @@ def test_one_archive_spreads_over_tasks(spark, bucket):
     cols = ["bulletin_code", "source_file", "patent_number", "application_number", "bulletin_date"]
     assert docs.select(cols).exceptAll(fallback.select(cols)).count() == 0
     assert docs.count() == fallback.count() > 0
+
+
+def test_prep_with_bucketed_suggestions(spark, bucket):
+    from ipcforge.operators.wide import build_wide
+    from ipcforge.sources.files import ingest_lst, lst_table
+
+    path = os.path.join(bucket["root"], "lst_bucketed")
+    ingest_lst(spark, bucket["lst"], path, buckets=8)
+    table = lst_table(spark, path, 8)  # re-registration by location is idempotent
+    docs = spark.createDataFrame(
+        [("200101", "a/Document.xml", "RU1", "1", "20010101", ["A01K 31/00"], None)],
+        "bulletin_code string, source_file string, patent_number string, application_number string, "
+        "bulletin_date string, ipc_texts array<string>, parse_error string",
+    )
+    plan = build_wide(docs, table)._jdf.queryExecution().executedPlan().toString()
+    assert "Bucketed: true" in plan
+    a = prep_job(spark, bucket["pub"], table, os.path.join(bucket["root"], "dataprep_bucketed"), "last", 3)
+    b = spark.read.parquet(os.path.join(bucket["root"], "dataprep_files", os.path.basename(a.output_path)))
+    wa = spark.read.parquet(a.output_path)
+    assert wa.exceptAll(b).count() == 0 and b.exceptAll(wa).count() == 0
