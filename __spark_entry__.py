@@ -280,6 +280,24 @@ def q_register_version(spark, sf):
     return reg_ops.register_versions(versions, runs).select("candidate_name", "model_name", "model_version")
 
 
+def q_set_alias(spark, sf):
+    split = split_long(derived.long_table(spark, sf))
+    runs = reg_ops.register_versions(reg_ops.seed_versions(split), reg_ops.fixed_candidate_runs(split))
+    champion = reg_ops.mean_predictor_champion(split)
+    decision = reg_ops.promotion_decision(reg_ops.best_candidate(runs), champion, margin=0.0)
+    aliases = champion.select("model_name", F.explode(F.array(F.lit("airflow"), F.lit("baseline"))).alias("alias"),
+                              "model_version")
+    return reg_ops.set_alias(aliases, decision)
+
+
+def q_run_metrics_map(spark, sf):
+    runs = reg_ops.fixed_candidate_runs(split_long(derived.long_table(spark, sf)))
+    m = reg_ops.run_metrics_map(runs)
+    return m.select("candidate_name", F.explode("metrics").alias("metric", "value")).select(
+        "candidate_name", "metric", F.round("value", 6).alias("value")
+    )
+
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "label_distribution_by_month": q_label_distribution_by_month,
     "wide_to_long": q_wide_to_long,
@@ -311,6 +329,8 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "promotion_decision": q_promotion_decision,
     "rotate_slots": q_rotate_slots,
     "register_version": q_register_version,
+    "set_alias": q_set_alias,
+    "run_metrics_map": q_run_metrics_map,
     "train_candidates": q_train_candidates,
 }
 
@@ -593,6 +613,19 @@ SELECT 'previous', 'mean_predictor', round(champion_rmse, 6), '1' FROM d WHERE p
 """),
     "register_version": _cand_sql("""
 SELECT candidate_name, 'ipc_regressor' AS model_name, CAST(1 + ord AS VARCHAR) AS model_version FROM cand
+"""),
+    "set_alias": _cand_sql("""
+SELECT 'ipc_regressor' AS model_name, 'airflow' AS alias,
+  CASE WHEN b.val_rmse < c.champion_rmse THEN CAST(1 + b.ord AS VARCHAR) ELSE '1' END AS model_version
+FROM best b, champ c
+UNION ALL SELECT 'ipc_regressor', 'baseline', '1'
+"""),
+    "run_metrics_map": _cand_sql("""
+SELECT candidate_name, metric, round(value, 6) AS value FROM (
+  SELECT candidate_name, 'val_rmse' AS metric, val_rmse AS value FROM cand
+  UNION ALL SELECT candidate_name, 'val_mae', val_mae FROM cand
+  UNION ALL SELECT candidate_name, 'n_train', CAST(n_train AS DOUBLE) FROM cand
+  UNION ALL SELECT candidate_name, 'n_val', CAST(n_val AS DOUBLE) FROM cand)
 """),
 }
 
