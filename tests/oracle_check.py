@@ -1,6 +1,6 @@
 """Run every registered query next to its DuckDB oracle and compare.
 
-Usage: python tests/oracle_check.py [sf_dir] [name ...]
+Usage: python tests/oracle_check.py [--plain] [sf_dir] [name ...]
 Compares row count, column names and an order-insensitive hash of the values
 (columns sorted by name, floats rounded to 6 digits).
 """
@@ -41,12 +41,20 @@ def digest(columns, rows):
 
 
 def main(argv):
+    plain = "--plain" in argv
+    argv = [a for a in argv if a != "--plain"]
     sf = argv[1] if len(argv) > 1 else "/root/testdata/sf0.01"
     only = set(argv[2:])
     import __spark_entry__ as E
     from ipcforge.session import get_session
 
-    spark = get_session(master="local[8]", shuffle_partitions=8)
+    if plain:  # a session with Spark's defaults, as an outside driver would create it
+        from pyspark.sql import SparkSession
+
+        spark = (SparkSession.builder.master("local[8]").config("spark.ui.enabled", "false")
+                 .config("spark.ui.showConsoleProgress", "false").getOrCreate())
+    else:
+        spark = get_session(master="local[8]", shuffle_partitions=8)
     spark.sparkContext.setLogLevel("ERROR")
     con = duckdb.connect()
     for t in TABLES:
