@@ -63,8 +63,15 @@ def doc_lst_join(docs: DataFrame, lst: DataFrame) -> DataFrame:
 
     Inner-join semantics for the good documents come from the later
     ``size(ai) > 0`` filter; error rows have a NULL key and pass through.
+    A NULL key would hash every error row of the window into one shuffle
+    partition, so those rows join on a per-document key that cannot match
+    (U+0000 never occurs in XML text) and spread like the others.
     """
-    return docs.join(lst.select("application_key", "ai_line"), "application_key", "left")
+    spread = F.concat(F.lit("\u0000"), F.col("source_file"))
+    d = docs.withColumn("_join_key", F.coalesce(F.col("application_key"), spread))
+    s = lst.select("application_key", "ai_line")
+    joined = d.join(s, d["_join_key"] == s["application_key"], "left")
+    return joined.drop(s["application_key"]).drop("_join_key")
 
 
 def build_wide(parsed_docs: DataFrame, lst: DataFrame, lst_prefix: str = "lst/") -> DataFrame:

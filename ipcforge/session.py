@@ -50,6 +50,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            # Executors cannot share a machine-local folder: a lost executor's
+            # checkpoint files would be lost with it.
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/object store) on a cluster")
         configured = tempfile.mkdtemp(prefix="ipcforge-ckpt-")
         spark.conf.set("spark.checkpoint.dir", configured)
     sc.setCheckpointDir(configured)

@@ -72,3 +72,24 @@ def test_encode_decode_wide_roundtrip(spark):
     back = decode_wide(enc).first()
     orig = wide.first()
     assert [back[c] for c in WIDE_COLUMNS] == [orig[c] for c in WIDE_COLUMNS]
+
+
+def test_error_rows_spread_over_join_partitions(spark):
+    """Rows without an application key must not all hash into one join partition."""
+    from ipcforge.operators.wide import doc_lst_join
+
+    docs = spark.range(4000).select(
+        F.concat(F.col("id").cast("string"), F.lit("/Document.xml")).alias("source_file"),
+        F.when(F.col("id") < 10, F.col("id").cast("string")).alias("application_key"),
+    )
+    lst = spark.range(10).select(F.col("id").cast("string").alias("application_key"), F.lit("AI_IPC:x").alias("ai_line"))
+    old = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        joined = doc_lst_join(docs, lst)
+        per_part = joined.where(F.col("application_key").isNull()).groupBy(F.spark_partition_id().alias("p")).count().collect()
+        assert joined.count() == 4000
+        assert joined.where(F.col("ai_line").isNotNull()).count() == 10
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", old)
+    assert max(r["count"] for r in per_part) < 3990 / 2
