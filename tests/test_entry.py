@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import os
+import sys
+
 import duckdb
 import pytest
 
 import __spark_entry__ as E
-from conftest import SF_SMALL
+from conftest import ROOT, SF_SMALL
 from oracle_check import TABLES, digest
 
 
@@ -40,3 +43,23 @@ def test_oracle_matches(spark, duck, name):
     assert sorted(cols) == sorted(ocols)
     assert len(rows) == len(orows)
     assert digest(cols, rows)[0] == digest(ocols, orows)[0]
+
+
+def test_entry_runs_outside_the_repo(tmp_path):
+    """Executors need no import path to the package (functions ship by value)."""
+    import subprocess
+
+    entry_file = os.path.join(ROOT, "__spark_entry__.py")
+    code = (
+        "import importlib.util\n"
+        f"spec = importlib.util.spec_from_file_location('entry_mod', {entry_file!r})\n"
+        "m = importlib.util.module_from_spec(spec); spec.loader.exec_module(m)\n"
+        "from pyspark.sql import SparkSession\n"
+        "s = SparkSession.builder.master('local[2]').config('spark.ui.enabled', 'false')"
+        ".config('spark.sql.shuffle.partitions', '4').getOrCreate()\n"
+        "print('ROWS', m.entry(s).count())\n"
+    )
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    out = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=600)
+    assert out.returncode == 0, out.stderr[-2000:]
+    assert "ROWS " in out.stdout
