@@ -46,4 +46,4 @@ def long(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def long_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The long table materialized once (reliable checkpoint), for plans that read it twice."""
-    return cut_lineage(long(spark, sf_dir))
+    return cut_lineage(long(spark, sf_dir), "long")

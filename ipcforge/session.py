@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -66,10 +67,19 @@ def shared_path(spark: SparkSession, *parts: str) -> str:
     return "/".join([base, *[p.strip("/") for p in parts]])
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint (never ``localCheckpoint``): survives executor loss."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Materialize ``df`` as a parquet table in the shared checkpoint folder.
+
+    Used for tables that later plans read more than once.  The write runs
+    the plan once (task retries are handled by the output committer, so it
+    survives executor loss; never ``localCheckpoint``) and the re-reads get
+    column pruning and filter pushdown, which an RDD checkpoint does not:
+    the month-set pass of the split reads one column, not the whole table.
+    """
+    spark = df.sparkSession
+    path = shared_path(spark, "tables", f"{name}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return spark.read.parquet(path)
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
