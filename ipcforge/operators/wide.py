@@ -3,8 +3,10 @@
 Plan shape: parsed documents --left join (application key)--> first AI line
 per suggestion file, then one projection routes every row (good / blank
 application number / malformed).  There is a single pass over the parsed
-documents and a single shuffle join; the error rows simply carry a NULL key
-(AQE splits that partition if it is skewed).
+documents and a single shuffle join.  Key-less error rows join on spread,
+non-matching keys; a hot application key is split by AQE on the shuffled
+path, or by :func:`doc_lst_join_hot_keys` where the suggestion side is not
+shuffled (bucketed table).
 """
 
 from __future__ import annotations
@@ -74,16 +76,73 @@ def doc_lst_join(docs: DataFrame, lst: DataFrame) -> DataFrame:
     return joined.drop(s["application_key"]).drop("_join_key")
 
 
-def build_wide(parsed_docs: DataFrame, lst: DataFrame, lst_prefix: str = "lst/") -> DataFrame:
+# Bound on the number of hot application keys whose suggestion lines are broadcast.
+MAX_HOT_KEYS = 10_000
+
+
+def doc_lst_join_hot_keys(docs: DataFrame, lst: DataFrame, hot_key_rows: int) -> DataFrame:
+    """J1 for inputs where one application number may carry a large share of the documents.
+
+    AQE splits a skewed partition only when both join sides are shuffled; a
+    bucketed suggestion table is not, so a hot key would sit in one task.
+    Here the keys with more than ``hot_key_rows`` documents are found by a
+    partial aggregate, their suggestion lines (one per key, at most
+    ``MAX_HOT_KEYS`` keys, checked) are broadcast, and the hot documents join
+    on a per-document key that cannot match, so they spread like error rows
+    and take their line from the broadcast side.  ``docs`` is read twice and
+    should be a materialized table.
+    """
+    from ..session import broadcast_if_small
+
+    key = F.col("application_key")
+    hot = (
+        docs.where(key.isNotNull()).groupBy("application_key").count()
+        .where(F.col("count") > hot_key_rows).select(key.alias("_hot_key"))
+    )
+    hot_b = broadcast_if_small(hot, MAX_HOT_KEYS)
+    if hot_b is hot:
+        raise ValueError(f"more than {MAX_HOT_KEYS} hot application keys; raise hot_key_rows")
+    # Lines of the hot keys: a broadcast lookup into the suggestion table (no
+    # shuffle of it), one row per key; the bound is checked again before the
+    # lines themselves are broadcast.
+    hot_lines = (
+        lst.select(F.col("application_key").alias("_line_key"), F.col("ai_line").alias("_hot_line"))
+        .join(hot_b, F.col("_line_key") == F.col("_hot_key"), "inner")
+        .select("_line_key", "_hot_line")
+    )
+    lines_b = broadcast_if_small(hot_lines, MAX_HOT_KEYS)
+    if lines_b is hot_lines:
+        raise ValueError(f"more than {MAX_HOT_KEYS} suggestion lines for the hot application keys")
+    flagged = docs.join(hot_b, key == F.col("_hot_key"), "left").join(
+        lines_b, F.col("_hot_key") == F.col("_line_key"), "left"
+    )
+    is_hot = F.col("_hot_key").isNotNull()
+    spread = F.concat(F.lit("\u0000"), F.col("source_file"))
+    d = flagged.withColumn("_join_key", F.when(is_hot | key.isNull(), spread).otherwise(key))
+    s = lst.select(F.col("application_key").alias("_lst_key"), F.col("ai_line").alias("_lst_line"))
+    joined = d.join(s, F.col("_join_key") == F.col("_lst_key"), "left")
+    line = F.when(is_hot, F.col("_hot_line")).otherwise(F.col("_lst_line"))
+    return joined.select(*docs.columns, line.alias("ai_line"))
+
+
+def build_wide(parsed_docs: DataFrame, lst: DataFrame, lst_prefix: str = "lst/",
+               hot_key_rows: int | None = None) -> DataFrame:
     """Parsed documents + (application_key, ai_line) -> wide rows (native arrays).
 
     ``parsed_docs`` comes from :func:`parse_patent_xml` (bulletin_code,
     source_file, patent_number, application_number, bulletin_date, ipc_texts,
-    parse_error).
+    parse_error).  With ``hot_key_rows`` the parsed documents are written once
+    to the shared folder and application keys with more documents than that
+    are split off (:func:`doc_lst_join_hot_keys`).
     """
     prefix = normalize_prefix(lst_prefix)
     docs = with_parse_status(parsed_docs).withColumn("expert", expert_codes("ipc_texts"))
-    joined = doc_lst_join(docs, lst)
+    if hot_key_rows is None:
+        joined = doc_lst_join(docs, lst)
+    else:
+        from ..session import cut_lineage
+
+        joined = doc_lst_join_hot_keys(cut_lineage(docs, "parsed_docs"), lst, hot_key_rows)
     # good documents without any AI suggestion are dropped (cheap test
     # first, so the pushed-down filter does not repeat the parse).
     kept = joined.where((F.col("doc_status") != "ok") | has_ai_items("ai_line")).withColumn(

@@ -83,11 +83,13 @@ class PrepResult:
 
 def prep_job(spark: SparkSession, pub_dir: str, lst_source: str | DataFrame, out_dir: str,
              training_last_month: str, months: int, lst_prefix: str = "lst/",
-             encode: bool = True) -> PrepResult:
+             encode: bool = True, hot_key_rows: int | None = None) -> PrepResult:
     """O4 -> F1 -> S1/S2 -> D6 -> K1.
 
     ``lst_source`` is a directory of ``*.LST`` files or an already compacted
-    (application_key, ai_line) DataFrame (see ``ingest_lst``).
+    (application_key, ai_line) DataFrame (see ``ingest_lst``).  Set
+    ``hot_key_rows`` when one application number may hold many documents and
+    the suggestion table is bucketed (see ``build_wide``).
     """
     keys = list_object_keys(spark, pub_dir, "*.zip")
     available = month_ops.list_bulletins(keys, "")
@@ -97,7 +99,7 @@ def prep_job(spark: SparkSession, pub_dir: str, lst_source: str | DataFrame, out
     window_codes = [r["bulletin_code"] for r in window.orderBy("pos").collect()]  # n scalars
     docs = scan_bulletin_documents(spark, pub_dir, window)
     lst = scan_lst(spark, lst_source) if isinstance(lst_source, str) else lst_source
-    wide = build_wide(docs, lst, lst_prefix)
+    wide = build_wide(docs, lst, lst_prefix, hot_key_rows=hot_key_rows)
     out = encode_wide(wide) if encode else wide
     path = _join(out_dir, f"ipc_with_ai_{resolved}_last_{months}.parquet")
     # Written once; the row count then comes from the parquet footers, not a

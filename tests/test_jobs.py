@@ -146,3 +146,25 @@ def test_prep_with_bucketed_suggestions(spark, bucket):
     b = spark.read.parquet(os.path.join(bucket["root"], "dataprep_files", os.path.basename(a.output_path)))
     wa = spark.read.parquet(a.output_path)
     assert wa.exceptAll(b).count() == 0 and b.exceptAll(wa).count() == 0
+
+
+def test_prep_with_bucketed_suggestions_and_hot_keys(spark, bucket):
+    """The hot-key split gives the same wide table and keeps the bucketed read."""
+    from ipcforge.operators.wide import build_wide
+    from ipcforge.sources.files import lst_table
+
+    path = os.path.join(bucket["root"], "lst_bucketed")
+    table = lst_table(spark, path, 8)
+    docs = spark.createDataFrame(
+        [("200101", f"{i}/Document.xml", "RU1", "1", "20010101", ["A01K 31/00"], None) for i in range(3)],
+        "bulletin_code string, source_file string, patent_number string, application_number string, "
+        "bulletin_date string, ipc_texts array<string>, parse_error string",
+    )
+    plan = build_wide(docs, table, hot_key_rows=2)._jdf.queryExecution().executedPlan().toString()
+    assert "Bucketed: true" in plan
+    # Every application key counts as hot here: all documents take the broadcast path.
+    a = prep_job(spark, bucket["pub"], table, os.path.join(bucket["root"], "dataprep_hot"), "last", 3, hot_key_rows=0)
+    b = spark.read.parquet(os.path.join(bucket["root"], "dataprep_files", os.path.basename(a.output_path)))
+    wa = spark.read.parquet(a.output_path)
+    assert wa.count() == b.count() > 0
+    assert wa.exceptAll(b).count() == 0 and b.exceptAll(wa).count() == 0

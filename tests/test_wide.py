@@ -93,3 +93,32 @@ def test_error_rows_spread_over_join_partitions(spark):
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", old)
     assert max(r["count"] for r in per_part) < 3990 / 2
+
+
+def test_hot_key_join_matches_plain_join(spark):
+    """One application key holding most documents: same rows, spread over tasks."""
+    from ipcforge.operators.wide import doc_lst_join, doc_lst_join_hot_keys
+
+    docs = spark.range(6000).select(
+        F.concat(F.col("id").cast("string"), F.lit("/Document.xml")).alias("source_file"),
+        F.when(F.col("id") % 50 == 0, F.lit(None))
+        .when(F.col("id") < 4000, F.lit("HOT"))
+        .otherwise((F.col("id") % 300).cast("string"))
+        .alias("application_key"),
+    )
+    lst = spark.createDataFrame(
+        [("HOT", "AI_IPC:hot")] + [(str(i), f"AI_IPC:{i}") for i in range(0, 300, 2)],
+        "application_key string, ai_line string",
+    )
+    plain = doc_lst_join(docs, lst)
+    old = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        hot = doc_lst_join_hot_keys(docs, lst, hot_key_rows=1000)
+        assert hot.columns == plain.columns
+        assert hot.exceptAll(plain).count() == 0 and plain.exceptAll(hot).count() == 0
+        per_part = hot.where(F.col("application_key") == "HOT").groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", old)
+    assert sum(r["count"] for r in per_part) == 3920
+    assert max(r["count"] for r in per_part) < 3920 / 2
