@@ -78,10 +78,14 @@ def _by_key(df: DataFrame, key: str) -> DataFrame:
 
 
 def _ordered_concat(item: Column, sep: str) -> Column:
-    """Items of one order joined in ``LINE_ORDER`` (hash aggregate, no global sort)."""
+    """Items of one order joined in ``LINE_ORDER`` (hash aggregate, no global sort).
+
+    ``sort_array`` compares the (never NULL) structs with the native ordering;
+    ``array_sort`` would call its comparator lambda per comparison.
+    """
     key = F.struct(*[F.col(c) for c in LINE_ORDER])
     collected = F.collect_list(F.struct(key.alias("k"), item.alias("v")))
-    return F.array_join(F.transform(F.array_sort(collected), lambda x: x["v"]), sep)
+    return F.array_join(F.transform(F.sort_array(collected), lambda x: x["v"]), sep)
 
 
 def ai_files(lines: DataFrame) -> DataFrame:
