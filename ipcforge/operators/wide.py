@@ -131,18 +131,16 @@ def build_wide(parsed_docs: DataFrame, lst: DataFrame, lst_prefix: str = "lst/",
 
     ``parsed_docs`` comes from :func:`parse_patent_xml` (bulletin_code,
     source_file, patent_number, application_number, bulletin_date, ipc_texts,
-    parse_error).  With ``hot_key_rows`` the parsed documents are written once
-    to the shared folder and application keys with more documents than that
-    are split off (:func:`doc_lst_join_hot_keys`).
+    parse_error).  With ``hot_key_rows`` application keys with more documents
+    than that are split off (:func:`doc_lst_join_hot_keys`); the documents are
+    then read twice, so pass a materialized table (``prep_job`` does).
     """
     prefix = normalize_prefix(lst_prefix)
     docs = with_parse_status(parsed_docs).withColumn("expert", expert_codes("ipc_texts"))
     if hot_key_rows is None:
         joined = doc_lst_join(docs, lst)
     else:
-        from ..session import cut_lineage
-
-        joined = doc_lst_join_hot_keys(cut_lineage(docs, "parsed_docs"), lst, hot_key_rows)
+        joined = doc_lst_join_hot_keys(docs, lst, hot_key_rows)
     # good documents without any AI suggestion are dropped (cheap test
     # first, so the pushed-down filter does not repeat the parse).
     kept = joined.where((F.col("doc_status") != "ok") | has_ai_items("ai_line")).withColumn(

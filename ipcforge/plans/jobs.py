@@ -23,7 +23,7 @@ from ..operators.long import wide_to_long
 from ..operators.model import DEFAULT_MAX_ITER, train_candidates
 from ..operators.split import split_long
 from ..operators.wide import build_wide, encode_wide
-from ..session import cut_lineage
+from ..session import cut_lineage, materialize, remove_path
 from ..sources.files import list_object_keys, scan_bulletin_documents, scan_lst
 
 RUNS_SCHEMA = (
@@ -99,12 +99,20 @@ def prep_job(spark: SparkSession, pub_dir: str, lst_source: str | DataFrame, out
     window_codes = [r["bulletin_code"] for r in window.orderBy("pos").collect()]  # n scalars
     docs = scan_bulletin_documents(spark, pub_dir, window)
     lst = scan_lst(spark, lst_source) if isinstance(lst_source, str) else lst_source
+    docs_path = None
+    if hot_key_rows is not None:
+        # The hot-key split reads the documents twice: parse them once.
+        docs, docs_path = materialize(docs, "parsed_docs")
     wide = build_wide(docs, lst, lst_prefix, hot_key_rows=hot_key_rows)
     out = encode_wide(wide) if encode else wide
     path = _join(out_dir, f"ipc_with_ai_{resolved}_last_{months}.parquet")
     # Written once; the row count then comes from the parquet footers, not a
     # second pass over the archives.  No rows at all -> nothing is kept.
-    out.write.mode("overwrite").parquet(path)
+    try:
+        out.write.mode("overwrite").parquet(path)
+    finally:
+        if docs_path:
+            remove_path(spark, docs_path)
     n = spark.read.parquet(path).count()
     if n == 0:
         p, fs = _fs(spark, path)
@@ -125,7 +133,8 @@ def train_job(spark: SparkSession, data_dir: str, models_dir: str, training_last
               max_iter: int = DEFAULT_MAX_ITER, candidates: list[str] | None = None) -> DataFrame:
     """S6/F6 -> S7 -> D1 -> W2 -> P10 -> M1..M6 -> K3/K4/M7.
 
-    One job trains all candidates over one checkpointed split table.
+    One job trains all candidates over one split table written to the shared folder
+    (removed after the fits).
     """
     keys = list_object_keys(spark, data_dir)
     available = month_ops.list_datasets(keys.select(F.regexp_replace("key", r"/.*$", "").alias("key")).distinct(), "")
@@ -133,12 +142,15 @@ def train_job(spark: SparkSession, data_dir: str, models_dir: str, training_last
     name = spark.range(1).select(dataset_name(F.lit(resolved), months).alias("n")).first()["n"]
     input_key = _join(data_dir, name)
     long = wide_to_long(read_wide(spark, input_key))
-    split = cut_lineage(split_long(long))
-    runs = train_candidates(split, max_iter=max_iter, names=candidates, model_dir=models_dir,
-                            input_key=input_key, last_month=resolved, months_window=months)
-    versions = read_table(spark, _join(models_dir, "versions"), VERSIONS_SCHEMA)
-    runs = reg.register_versions(versions, runs)
-    runs = cut_lineage(runs)
+    split, split_path = materialize(split_long(long), "split")
+    try:
+        runs = train_candidates(split, max_iter=max_iter, names=candidates, model_dir=models_dir,
+                                input_key=input_key, last_month=resolved, months_window=months)
+        versions = read_table(spark, _join(models_dir, "versions"), VERSIONS_SCHEMA)
+        runs = cut_lineage(reg.register_versions(versions, runs), "runs")
+    finally:
+        # The split table is read by every fit and by nothing after them.
+        remove_path(spark, split_path)
     new_versions = runs.select("model_name", "model_version", "run_id")
     write_table(versions.unionByName(new_versions), _join(models_dir, "versions"))
     runs.write.mode("append").partitionBy("model_name").parquet(_join(models_dir, "runs"))

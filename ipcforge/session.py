@@ -76,10 +76,22 @@ def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:
     column pruning and filter pushdown, which an RDD checkpoint does not:
     the month-set pass of the split reads one column, not the whole table.
     """
+    return materialize(df, name)[0]
+
+
+def materialize(df: DataFrame, name: str = "stage") -> tuple[DataFrame, str]:
+    """:func:`cut_lineage` that also returns the table's path (for :func:`remove_path`)."""
     spark = df.sparkSession
     path = shared_path(spark, "tables", f"{name}-{uuid.uuid4().hex}")
     df.write.parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.parquet(path), path
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete an intermediate table once no plan reads it any more."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
