@@ -80,10 +80,15 @@ def parse_ai_line(line: Column | str) -> Column:
     )
 
     def item_struct(item: Column) -> Column:
-        hit = item.rlike(_AI_ITEM)
-        raw = F.when(hit, py_strip(F.regexp_extract(item, _AI_ITEM, 1))).otherwise(item)
-        score = F.when(hit, F.regexp_extract(item, _AI_ITEM, 2).try_cast("double"))
-        return F.struct(raw.alias("raw"), score.alias("score"))
+        # The score group has at least one digit, so a non-empty extract is
+        # the match test: one regex run per item, two for scored items.
+        def build(score_text: Column) -> Column:
+            hit = score_text != ""
+            raw = F.when(hit, py_strip(F.regexp_extract(item, _AI_ITEM, 1))).otherwise(item)
+            score = F.when(hit, score_text.try_cast("double"))
+            return F.struct(raw.alias("raw"), score.alias("score"))
+
+        return let(F.regexp_extract(item, _AI_ITEM, 2), build)
 
     parsed = F.transform(items, item_struct)
     out = F.transform(
