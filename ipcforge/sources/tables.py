@@ -124,7 +124,11 @@ def bulletin_documents(spark: SparkSession, sf_dir: str, lines: DataFrame) -> Da
         .groupBy("l_orderkey")
         .agg(_ordered_concat(node, "").alias("ex"))
     )
-    orders = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
+    # Both join sides are hash-distributed by the order key with the same
+    # explicit count: the join needs no further exchange and its output keeps
+    # that many partitions (AQE keeps explicit counts), so the documents are
+    # already spread for the per-document parse that follows.
+    orders = _by_key(read_table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate"), "o_orderkey")
     ok = F.col("o_orderkey")
     key = ok.cast("string")
     xml = F.concat(
@@ -145,11 +149,7 @@ def bulletin_documents(spark: SparkSession, sf_dir: str, lines: DataFrame) -> Da
         F.concat(code, F.lit("/"), key, F.lit("/Document.xml")).alias("source_file"),
         xml.alias("xml"),
     )
-    # Same shape as unzipped archive members: documents hash-spread over an
-    # explicit number of partitions (AQE keeps explicit counts) so the
-    # per-document parse that follows uses every core.
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return out.repartition(n, "bulletin_code", "source_file")
+    return out
 
 
 def bulletin_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
