@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -116,10 +115,3 @@ def spread_for_cpu(df: DataFrame, *keys: str) -> DataFrame:
     if df.rdd.getNumPartitions() >= cores:
         return df
     return df.repartition(cores, *keys) if keys else df.repartition(cores)
-
-
-def env_int(name: str, default: int) -> int:
-    try:
-        return int(os.environ.get(name, default))
-    except ValueError:
-        return default
