@@ -150,16 +150,18 @@ def q_code_parts(spark, sf):
     )
 
 
+# The join forms read the wide table once per long form (and J3/J3b once more
+# through J2): they read it written, as the training job does.
 def q_exact_match_semi(spark, sf):
-    return long_ops.exact_match_semi(derived.wide(spark, sf))
+    return long_ops.exact_match_semi(derived.wide_table(spark, sf))
 
 
 def q_main_match_semi(spark, sf):
-    return long_ops.main_match_semi(derived.wide(spark, sf))
+    return long_ops.main_match_semi(derived.wide_table(spark, sf))
 
 
 def q_unmatched_anti(spark, sf):
-    return long_ops.unmatched_anti(derived.wide(spark, sf))
+    return long_ops.unmatched_anti(derived.wide_table(spark, sf))
 
 
 def q_top_k_codes(spark, sf):

@@ -89,24 +89,26 @@ def _ai_long(wide: DataFrame) -> DataFrame:
 _DOC_KEYS = ["source_file", "bulletin_code"]
 
 
+def _exact(ai: DataFrame, ex: DataFrame) -> DataFrame:
+    cond = [ai[k].eqNullSafe(ex[k]) for k in _DOC_KEYS] + [ai["ipc_code"] == ex["expert_code"]]
+    return ai.join(ex, cond, "left_semi")
+
+
 def exact_match_semi(wide: DataFrame) -> DataFrame:
     """AI codes that are in the document's expert set (LEFT SEMI join on the long forms).
 
     The join key includes the code, so a document with many codes spreads
     over many partitions instead of sitting in one task.
     """
-    ai, ex = _ai_long(wide), _expert_long(wide)
-    cond = [ai[k].eqNullSafe(ex[k]) for k in _DOC_KEYS] + [ai["ipc_code"] == ex["expert_code"]]
-    return ai.join(ex, cond, "left_semi")
+    return _exact(_ai_long(wide), _expert_long(wide))
 
 
 def main_match_semi(wide: DataFrame) -> DataFrame:
     """AI codes whose main group is among the expert main groups (not exact hits)."""
     ai, ex = _ai_long(wide), _expert_long(wide)
     main_cond = [ai[k].eqNullSafe(ex[k]) for k in _DOC_KEYS] + [ai["ipc_main"] == ex["expert_main"]]
-    exact = exact_match_semi(wide)
     on_main = ai.join(ex, main_cond, "left_semi")
-    return on_main.join(exact, [*_DOC_KEYS, "rank"], "left_anti")
+    return on_main.join(_exact(ai, ex), [*_DOC_KEYS, "rank"], "left_anti")
 
 
 def unmatched_anti(wide: DataFrame) -> DataFrame:
@@ -114,5 +116,4 @@ def unmatched_anti(wide: DataFrame) -> DataFrame:
     ai, ex = _ai_long(wide), _expert_long(wide)
     cond = [ai[k].eqNullSafe(ex[k]) for k in _DOC_KEYS] + [ai["ipc_main"] == ex["expert_main"]]
     no_main = ai.join(ex, cond, "left_anti")
-    exact = exact_match_semi(wide)
-    return no_main.join(exact, [*_DOC_KEYS, "rank"], "left_anti")
+    return no_main.join(_exact(ai, ex), [*_DOC_KEYS, "rank"], "left_anti")

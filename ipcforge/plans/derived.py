@@ -40,6 +40,11 @@ def wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     return build_wide(parse_patent_xml(docs), files)
 
 
+def wide_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The wide table written once (as the prep job writes it), for plans that read it twice."""
+    return cut_lineage(wide(spark, sf_dir), "wide")
+
+
 def long(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wide_to_long(wide(spark, sf_dir))
 

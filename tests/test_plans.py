@@ -65,3 +65,21 @@ def test_xml_parse_is_the_only_python_step(spark):
     plan = _plan(derived.wide(spark, SF_SMALL))
     assert plan.count("MapInPandas") == 1
     assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
+
+
+FACT_QUERIES = [
+    "label_distribution_by_month", "wide_to_long", "wide_to_long_encoded", "build_wide", "bulletin_counts",
+    "doc_lst_join", "parse_ai_line", "canonicalize_code", "expert_codes", "code_parts", "exact_match_semi",
+    "main_match_semi", "unmatched_anti", "top_k_codes",
+]
+
+
+@pytest.mark.parametrize("name", FACT_QUERIES)
+def test_fact_queries_never_funnel_into_one_task(spark, name):
+    """No single-partition exchange, no row-at-a-time Python, at most one document parse per plan."""
+    import __spark_entry__ as E
+
+    plan = _plan(E.queries()[name](spark, SF_SMALL))
+    assert "SinglePartition" not in plan
+    assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
+    assert plan.count("MapInPandas") <= 1
