@@ -83,3 +83,12 @@ def test_fact_queries_never_funnel_into_one_task(spark, name):
     assert "SinglePartition" not in plan
     assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
     assert plan.count("MapInPandas") <= 1
+
+
+def test_window_filter_does_not_shuffle_rows_by_month(spark):
+    import __spark_entry__ as E
+
+    df = E.queries()["window_filter"](spark, SF_SMALL)
+    df.collect()
+    plan = _plan(df)
+    assert "BroadcastHashJoin" in plan and "LeftSemi" in plan
