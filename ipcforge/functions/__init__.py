@@ -7,6 +7,7 @@ from .codes import (
     expert_codes,
     first_ai_line,
     has_ai_items,
+    expert_main_groups,
     label_match,
     main_group_of,
     parse_ai_line,
@@ -44,6 +45,7 @@ __all__ = [
     "first_ai_line",
     "first_line_starting_with",
     "has_ai_items",
+    "expert_main_groups",
     "label_match",
     "let",
     "main_group_of",

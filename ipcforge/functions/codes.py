@@ -169,11 +169,20 @@ def code_parts(code: Column | str) -> Column:
     )
 
 
-def label_match(code: Column | str, expert: Column | str) -> Column:
-    """1.0 exact hit, 0.5 same main group, else 0.0."""
+def expert_main_groups(expert: Column | str) -> Column:
+    """Main groups of an expert code list (NULLs dropped); compute once per document."""
+    return F.filter(F.transform(col_of(expert), lambda x: main_group_of(x)), lambda x: x.isNotNull())
+
+
+def label_match(code: Column | str, expert: Column | str, expert_main: Column | str | None = None) -> Column:
+    """1.0 exact hit, 0.5 same main group, else 0.0.
+
+    Pass ``expert_main`` (:func:`expert_main_groups` of the same list, computed
+    before an explode) so it is not recomputed for every suggested code.
+    """
     c, e = col_of(code), col_of(expert)
     main = main_group_of(c)
-    expert_main = F.filter(F.transform(e, lambda x: main_group_of(x)), lambda x: x.isNotNull())
+    expert_main = expert_main_groups(e) if expert_main is None else col_of(expert_main)
     return (
         F.when(F.array_contains(e, c), F.lit(1.0))
         .when(main.isNotNull() & F.array_contains(expert_main, main), F.lit(0.5))

@@ -10,7 +10,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import code_parts, decode_code_list, decode_score_list, label_match, main_group_of, zip_scores
+from ..functions import (
+    code_parts,
+    decode_code_list,
+    decode_score_list,
+    expert_main_groups,
+    label_match,
+    main_group_of,
+    zip_scores,
+)
 
 LONG_COLUMNS = [
     "patent_id", "bulletin_code", "ipc_code", "ipc_main", "ai_score", "rank", "y",
@@ -28,10 +36,12 @@ def wide_to_long(wide: DataFrame) -> DataFrame:
         F.col("application_number").alias("patent_id"),
         "bulletin_code",
         expert.alias("expert"),
+        # once per document, below the explode (not once per suggested code)
+        expert_main_groups(expert).alias("expert_main"),
         F.posexplode(zip_scores(codes, scores)).alias("pos", "item"),
     )
     with_code = exploded.select(
-        "patent_id", "bulletin_code", "expert", "pos",
+        "patent_id", "bulletin_code", "expert", "expert_main", "pos",
         F.col("item.code").alias("ipc_code"), F.col("item.score").alias("ai_score"),
     )
     parts = code_parts("ipc_code")
@@ -42,7 +52,7 @@ def wide_to_long(wide: DataFrame) -> DataFrame:
         main_group_of("ipc_code").alias("ipc_main"),
         F.col("ai_score").cast("double").alias("ai_score"),
         (F.col("pos") + 1).cast("int").alias("rank"),
-        label_match("ipc_code", "expert").alias("y"),
+        label_match("ipc_code", "expert", "expert_main").alias("y"),
         parts["section"].alias("section"),
         parts["class2"].alias("class2"),
         parts["subclass"].alias("subclass"),
