@@ -24,6 +24,8 @@ CANDIDATES = [
     ("v1_reg_shallow", 2, 4, 0.05, True),
     ("v1_reg_no_ipc_parts", 3, 6, 0.05, False),
 ]
+# The alias the promotion points at, and the slot names.
+# MODEL_NAME is our default registry name (the reference takes it as an argument).
 MODEL_NAME = "ipc_regressor"
 ALIAS = "airflow"
 CHAMPION, PREVIOUS = "champion", "previous"
