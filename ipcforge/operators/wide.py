@@ -90,7 +90,9 @@ def doc_lst_join_hot_keys(docs: DataFrame, lst: DataFrame, hot_key_rows: int) ->
     ``MAX_HOT_KEYS`` keys, checked) are broadcast, and the hot documents join
     on a per-document key that cannot match, so they spread like error rows
     and take their line from the broadcast side.  ``docs`` is read twice and
-    should be a materialized table.
+    should be a materialized table.  Cost: besides the main join, the
+    hot-line lookup reads the suggestion table's two columns twice (size
+    check and broadcast build), without shuffling it.
     """
     from ..session import broadcast_if_small
 
