@@ -337,8 +337,21 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 
+def _llm() -> tuple[dict, dict]:
+    """Queries and SQL of the training-data subpackage, where it is installed."""
+    try:
+        import corpus_pipeline
+        from ipcforge.llm import queries as llm_queries
+    except ModuleNotFoundError as error:
+        if error.name not in ("corpus_pipeline", "ipcforge.llm"):
+            raise
+        return {}, {}
+    oracle = {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}
+    return {**llm_queries.QUERIES, "pipeline": corpus_pipeline.run}, {**llm_queries.ORACLES, **oracle}
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(_QUERIES)
+    return {**_QUERIES, **_llm()[0]}
 
 
 # --------------------------------------------------------------------------
@@ -633,4 +646,4 @@ SELECT candidate_name, metric, round(value, 6) AS value FROM (
 
 
 def oracle_sql() -> dict[str, str]:
-    return {k: v for k, v in _ORACLE.items() if k in _QUERIES}
+    return {**{k: v for k, v in _ORACLE.items() if k in _QUERIES}, **_llm()[1]}
