@@ -6,20 +6,30 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import pii, secrets
+from . import dedup, packing, pii, secrets
 from .common import table
 
 
+def op3_packing(spark: SparkSession, sf: str) -> DataFrame:
+    return packing.pack(table(spark, sf, "documents"))
+
+
 def op6_secrets(spark: SparkSession, sf: str) -> DataFrame:
     return secrets.secret_digest(table(spark, sf, "documents"))
 
 
+def op9_minhash(spark: SparkSession, sf: str) -> DataFrame:
+    return dedup.dedup_digest(table(spark, sf, "documents"))
+
+
 def op10_pii(spark: SparkSession, sf: str) -> DataFrame:
     return pii.pii_digest(table(spark, sf, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_packing": op3_packing,
     "op6_secrets": op6_secrets,
+    "op9_minhash": op9_minhash,
     "op10_pii": op10_pii,
 }
 
