@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import dedup, packing, pii, secrets
+from . import dedup, lm, packing, pii, secrets
 from .common import table
 
 
@@ -18,6 +18,10 @@ def op6_secrets(spark: SparkSession, sf: str) -> DataFrame:
     return secrets.secret_digest(table(spark, sf, "documents"))
 
 
+def op8_lm(spark: SparkSession, sf: str) -> DataFrame:
+    return lm.lm_digest(table(spark, sf, "documents"))
+
+
 def op9_minhash(spark: SparkSession, sf: str) -> DataFrame:
     return dedup.dedup_digest(table(spark, sf, "documents"))
 
@@ -29,6 +33,7 @@ def op10_pii(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_packing": op3_packing,
     "op6_secrets": op6_secrets,
+    "op8_lm": op8_lm,
     "op9_minhash": op9_minhash,
     "op10_pii": op10_pii,
 }
