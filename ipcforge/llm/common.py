@@ -66,12 +66,12 @@ def text_buffer(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0]: offsets[-1]], offsets - offsets[0]
 
 
-def slices(offsets: np.ndarray, most: int = 1 << 20) -> Iterator[tuple[int, int]]:
-    """Row ranges whose texts hold about ``most`` bytes (at least one row each)."""
+def slices(offsets: np.ndarray, most: int = 1 << 20, rows: int = 1 << 30) -> Iterator[tuple[int, int]]:
+    """Row ranges whose texts hold about ``most`` bytes in at most ``rows`` rows (at least one row each)."""
     lo, n = 0, len(offsets) - 1
     while lo < n:
         hi = int(np.searchsorted(offsets, offsets[lo] + most, "right")) - 1
-        hi = min(n, max(hi, lo + 1))
+        hi = min(n, lo + rows, max(hi, lo + 1))
         yield lo, hi
         lo = hi
 

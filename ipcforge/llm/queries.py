@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import dedup, lm, packing, pii, secrets
+from . import dedup, lm, packing, pii, quality, secrets
 from .common import table
 
 
+def op1_quality(spark: SparkSession, sf: str) -> DataFrame:
+    return quality.quality_table(table(spark, sf, "documents"))
+
+
 def op3_packing(spark: SparkSession, sf: str) -> DataFrame:
     return packing.pack(table(spark, sf, "documents"))
 
@@ -31,6 +35,7 @@ def op10_pii(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_quality": op1_quality,
     "op3_packing": op3_packing,
     "op6_secrets": op6_secrets,
     "op8_lm": op8_lm,
