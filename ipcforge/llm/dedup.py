@@ -13,8 +13,9 @@
    far apart go, the rest is confirmed exactly on full sets.  Confirmed links
    give components.
 4. Rest round: members of one bucket that are not yet in one component
-   are compared with each other (sketches first, in salted blocks of bounded
-   size), confirmed exactly and merged.  So pairs are skipped only when their
+   are compared with each other, in salted blocks of bounded size, by their
+   sketches and by a finer odd sketch that only these members get; what
+   is near is confirmed exactly and merged.  So pairs are skipped only when their
    component is already known, and no link between components is lost.
 
 With 24 bands of 4 rows a pair of similarity 0.8 shares no bucket with
@@ -45,24 +46,30 @@ WORDS64 = 8  # odd sketch of 512 bits
 FAR = 73  # sketches of a pair at the similarity bound differ in 36 bits on average, deviation 7
 BLOCK = 256  # rows per block of a bucket in the rest round, and copies of a text per salt
 
-_MULT = mix64(np.arange(1, BANDS * ROWS + 1, dtype=np.uint64) * np.uint64(0xA24BAED4963EE407)) | np.uint64(1)
-_XOR = mix64(np.arange(1, BANDS * ROWS + 1, dtype=np.uint64) * np.uint64(0x9FB21C651E98DF25))
+# A finer sketch for the members of shared buckets: more samples, 2048 bits; a
+# pair at the bound differs in 265 bits on average, deviation 20.
+FINE, FINE64, FINE_FAR = 768, 32, 365
 
+_INDEX = np.arange(1, FINE + 1, dtype=np.uint64)
+_MULT = mix64(_INDEX * np.uint64(0xA24BAED4963EE407)) | np.uint64(1)
+_XOR = mix64(_INDEX * np.uint64(0x9FB21C651E98DF25))
 
-def minhash(hashes: np.ndarray) -> np.ndarray:
-    """``BANDS * ROWS`` MinHash samples of a non-empty set."""
-    least = np.full(BANDS * ROWS, np.iinfo(np.uint64).max, np.uint64)
-    for lo in range(0, len(hashes), 1024):
-        part = (hashes[None, lo:lo + 1024] ^ _XOR[:, None]) * _MULT[:, None]
+
+def minhash(hashes: np.ndarray, samples: int = BANDS * ROWS) -> np.ndarray:
+    """MinHash samples of a non-empty set."""
+    least = np.full(samples, np.iinfo(np.uint64).max, np.uint64)
+    xor, mult, width = _XOR[:samples, None], _MULT[:samples, None], (1 << 17) // samples
+    for lo in range(0, len(hashes), width):
+        part = (hashes[None, lo:lo + width] ^ xor) * mult
         np.minimum(least, part.min(axis=1), out=least)
     return least
 
 
-def odd_sketches(samples: np.ndarray) -> np.ndarray:
-    """Parity bitmaps (n x WORDS64 uint64) of n rows of samples."""
+def odd_sketches(samples: np.ndarray, words64: int = WORDS64) -> np.ndarray:
+    """Parity bitmaps (n x words64 uint64) of n rows of samples."""
     index = np.arange(samples.shape[1], dtype=np.uint64)
-    bit = mix64(samples + mix64(index + np.uint64(1))) % np.uint64(64 * WORDS64)
-    out = np.zeros((len(samples), WORDS64), np.uint64)
+    bit = mix64(samples + mix64(index + np.uint64(1))) % np.uint64(64 * words64)
+    out = np.zeros((len(samples), words64), np.uint64)
     rows = np.arange(len(samples))
     for j in range(samples.shape[1]):
         word = (bit[:, j] >> np.uint64(6)).astype(np.int64)
@@ -109,6 +116,26 @@ def features(docs: DataFrame, width: int) -> DataFrame:
     return docs.mapInArrow(run, FEATURES)
 
 
+def fine_sketches(texts: DataFrame, width: int) -> DataFrame:
+    """(id, f0 ..) with the finer odd sketch of (id, text) rows whose sets are not empty."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data, offsets = text_buffer(batch.column(1))
+            for lo, hi in slices(offsets):
+                own = offsets[lo:hi + 1] - offsets[lo]
+                sets = shingle_hashes(*word_hashes(data[offsets[lo]:offsets[hi]], own), width)
+                full = [i for i, x in enumerate(sets) if len(x)]
+                samples = np.array([minhash(sets[i], FINE) for i in full], np.uint64).reshape(len(full), FINE)
+                sketch = odd_sketches(samples, FINE64)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).slice(lo, hi - lo).take(pa.array(full, pa.int64())),
+                     *[pa.array(sketch[:, i].copy().view(np.int64)) for i in range(FINE64)]],
+                    ["id", *[f"f{i}" for i in range(FINE64)]])
+
+    return texts.select("id", "text").mapInArrow(run, "id long, " + ", ".join(f"f{i} long" for i in range(FINE64)))
+
+
 def _similar(pairs: DataFrame, width: int, percent: int) -> DataFrame:
     """Pairs (u, v, text_u, text_v) whose sets reach the similarity, exactly."""
 
@@ -213,13 +240,13 @@ def near_duplicates(docs: DataFrame, key_col: str = "doc_id", text_col: str = "t
     shared, shared_path = materialize(shared, "shared")
     members = shared.select("id").distinct()
     sketches, sketches_path = materialize(
-        feats.join(members, "id", "left_semi").select("id", *sketch).dropDuplicates(["id"]), "sketches")
+        feats.join(members, "id", "left_semi").select("id", "bands", *sketch).dropDuplicates(["id"]), "sketches")
     texts, texts_path = materialize(docs.join(members, "id", "left_semi"), "texts")
 
     pairs, star_path = materialize(shared.where("id <> head").select("id", "head").distinct(), "star")
     degree = pairs.groupBy("head").agg(F.count(F.lit(1)).alias("n"))
     centres = degree.join(sketches.select(F.col("id").alias("head"), *[F.col(c).alias(f"h{c}") for c in sketch]), "head")
-    near = join_hot(pairs.join(sketches, "id"), centres, ["head"], "n", pairs.count())
+    near = join_hot(pairs.join(sketches.drop("bands"), "id"), centres, ["head"], "n", pairs.count())
     near = near.where(_bits_apart([F.col(c) for c in sketch], [F.col(f"h{c}") for c in sketch]) <= FAR)
     links = _confirm(near.select(F.col("id").alias("u"), F.col("head").alias("v")), texts, width, percent)
     label, _ = components(links)
@@ -233,15 +260,22 @@ def near_duplicates(docs: DataFrame, key_col: str = "doc_id", text_col: str = "t
     # members outside the head's component against all others, in blocks of both sides
     odds = odd.where("label <> main").groupBy("band").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("lblocks"))
     sized = join_hot(odd, odds.join(main.select("band", "n"), "band"), ["band"], "n", total)
-    sized = sized.withColumn("rblocks", F.ceil(F.col("size") / BLOCK).cast("int")).join(sketches, "id")
-    sized, sized_path = materialize(sized, "sized")
+    fine = fine_sketches(texts.join(sized.select("id").distinct(), "id", "left_semi"), width).dropDuplicates(["id"])
+    sized = sized.withColumn("rblocks", F.ceil(F.col("size") / BLOCK).cast("int")).join(sketches.join(fine, "id"), "id")
+    sized, sized_path = materialize(sized.withColumn("place", F.array_position("bands", F.col("band")).cast("int")), "sized")
     cell = lambda blocks, salt: F.pmod(F.xxhash64("id", F.lit(salt)), F.col(blocks)).cast("int")
     others = lambda blocks: F.explode(F.sequence(F.lit(0), F.col(blocks) - 1))
     left = sized.where("label <> main").select("*", cell("lblocks", 1).alias("i"), others("rblocks").alias("j"))
     right = sized.select("*", cell("rblocks", 2).alias("j"), others("lblocks").alias("i"))
-    same = [F.col(f"l.{c}") == F.col(f"r.{c}") for c in ("band", "i", "j")]
-    apart = _bits_apart(*[[F.col(f"{side}.{c}") for c in sketch] for side in "lr"])
-    met = left.alias("l").join(right.alias("r"), reduce(lambda x, y: x & y, same) & (F.col("l.label") != F.col("r.label")) & (apart <= FAR))
+    both = lambda names: [[F.col(f"{side}.{c}") for c in names] for side in "lr"]
+    same = [x == y for x, y in zip(*both(["band", "i", "j"]))]
+    close = (_bits_apart(*both(sketch)) <= FAR) & (_bits_apart(*both([f"f{i}" for i in range(FINE64)])) <= FINE_FAR)
+    # a pair that shares several buckets counts in the first of them
+    first = ~F.arrays_overlap(F.slice("l.bands", F.lit(1), F.col("l.place") - 1), F.col("r.bands"))
+    # two members outside the head's component meet on both sides: once is enough
+    once = (F.col("r.label") == F.col("r.main")) | (F.col("l.id") < F.col("r.id"))
+    met = left.alias("l").join(right.alias("r"), reduce(lambda x, y: x & y, same) & (F.col("l.label") != F.col("r.label"))
+                               & once & close & first)
     met = met.select(F.greatest("l.id", "r.id").alias("u"), F.least("l.id", "r.id").alias("v")).distinct()
     more = _confirm(met, texts, width, percent)
     label, _ = components(links.unionByName(more))
