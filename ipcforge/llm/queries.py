@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import dedup, lm, packing, pii, quality, secrets
+from . import ann, dedup, html_text, lm, packing, pieces, pii, quality, secret_scan, topk
 from .common import table
 
 
@@ -14,12 +14,28 @@ def op1_quality(spark: SparkSession, sf: str) -> DataFrame:
     return quality.quality_table(table(spark, sf, "documents"))
 
 
+def op2_ann(spark: SparkSession, sf: str) -> DataFrame:
+    return ann.ann_digest(table(spark, sf, "embeddings"))
+
+
 def op3_packing(spark: SparkSession, sf: str) -> DataFrame:
     return packing.pack(table(spark, sf, "documents"))
 
 
+def op4_pieces(spark: SparkSession, sf: str) -> DataFrame:
+    return pieces.pieces_digest(table(spark, sf, "documents"))
+
+
+def op5_html(spark: SparkSession, sf: str) -> DataFrame:
+    return html_text.html_digest(table(spark, sf, "pages"))
+
+
 def op6_secrets(spark: SparkSession, sf: str) -> DataFrame:
-    return secrets.secret_digest(table(spark, sf, "documents"))
+    return secret_scan.secret_digest(table(spark, sf, "documents"))
+
+
+def op7_topk(spark: SparkSession, sf: str) -> DataFrame:
+    return topk.topk_digest(table(spark, sf, "embeddings"))
 
 
 def op8_lm(spark: SparkSession, sf: str) -> DataFrame:
@@ -36,11 +52,30 @@ def op10_pii(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
+    "op2_ann": op2_ann,
     "op3_packing": op3_packing,
+    "op4_pieces": op4_pieces,
+    "op5_html": op5_html,
     "op6_secrets": op6_secrets,
+    "op7_topk": op7_topk,
     "op8_lm": op8_lm,
     "op9_minhash": op9_minhash,
     "op10_pii": op10_pii,
 }
 
-ORACLES: dict[str, str] = {}
+# Brute force over the quantised vectors: the same rows as the tree search.
+_TOPK = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, x -> floor(256 * CAST(x AS DOUBLE))) AS q
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, x -> x IS NOT NULL AND isfinite(x))) = len(embedding)),
+pairs AS (
+  SELECT a.vec_id AS query_id, b.vec_id AS vec_id, CAST(list_dot_product(a.q, b.q) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id AND len(a.q) = len(b.q))
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+FROM pairs
+QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) <= 5
+"""
+
+ORACLES: dict[str, str] = {"op7_topk": _TOPK}
