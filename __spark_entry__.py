@@ -31,14 +31,14 @@ from ipcforge.functions import (  # noqa: E402
 from ipcforge.operators import long as long_ops  # noqa: E402
 from ipcforge.operators import months as month_ops  # noqa: E402
 from ipcforge.operators import registry as reg_ops  # noqa: E402
-from ipcforge.operators.features import fill_features  # noqa: E402
-from ipcforge.operators.metrics import evaluate_split  # noqa: E402
+from ipcforge.operators.features import fill_features, project_features  # noqa: E402
+from ipcforge.operators.metrics import evaluate_by_month  # noqa: E402
 from ipcforge.operators.split import month_split, split_counts, split_long  # noqa: E402
 from ipcforge.operators.wide import bulletin_counts, encode_wide, error_kind  # noqa: E402
 from ipcforge.plans import derived  # noqa: E402
-from ipcforge.session import spread_for_cpu  # noqa: E402
+from ipcforge.session import cut_lineage, shared_path  # noqa: E402
 from ipcforge.sources import tables  # noqa: E402
-from ipcforge.sources.xmldocs import parse_patent_xml  # noqa: E402
+import entry_inputs as inputs  # noqa: E402
 
 FLAGSHIP_SF = "/root/testdata/sf0.001"
 
@@ -76,19 +76,39 @@ def q_doc_lst_join(spark, sf):
     from ipcforge.operators.wide import doc_lst_join
     from ipcforge.sources.xmldocs import with_parse_status
 
-    docs = with_parse_status(parse_patent_xml(derived.documents(spark, sf))).where(F.col("doc_status") == "ok")
+    docs = with_parse_status(derived.parsed_documents(spark, sf)).where(F.col("doc_status") == "ok")
     joined = doc_lst_join(docs.select("source_file", "application_key"), derived.suggestion_lines(spark, sf))
     return joined.where(F.col("ai_line").isNotNull()).select("source_file", "application_key", "ai_line")
 
 
+def q_read_wide(spark, sf):
+    """The interchange form written and read back, with the columns that training takes."""
+    import uuid
+
+    from ipcforge.plans.jobs import TRAINING_COLUMNS, read_wide
+
+    path = shared_path(spark, "tables", f"wide-{uuid.uuid4().hex}")
+    encode_wide(derived.wide(spark, sf)).write.parquet(path)
+    return read_wide(spark, path).select(*TRAINING_COLUMNS)
+
+
 def q_train_candidates(spark, sf):
-    """M1-M6: three GBT candidates (10 trees max, best iteration on validation); rows only."""
+    """M1-M6: three boosted candidates, the number of trees decided by the validation rows.
+
+    The derived labels hold no signal, so the target is one that score and
+    rank decide.  Error values are the engine's own; what SQL can know is
+    compared: names, order, row counts, and that every candidate's error is
+    below half of the train mean's.
+    """
     from ipcforge.operators.model import train_candidates
-    from ipcforge.session import cut_lineage
 
-    split = cut_lineage(split_long(derived.long_table(spark, sf)))
-    runs = train_candidates(split, max_iter=10)
-    return runs.select("candidate_name", "ord", "n_train", "n_val", "n_trees", *_r6("val_rmse", "val_mae"))
+    target = F.when(F.col("ai_score") > 25, 1.0).when(F.col("rank") <= 2, 0.5).otherwise(0.0)
+    long = cut_lineage(derived.long(spark, sf).withColumn("y", target), "long")
+    runs = train_candidates(cut_lineage(split_long(long)))
+    mean = inputs.mean_predictor_champion(inputs.split_sums(inputs.month_sums(long))).select(F.col("val_rmse").alias("mean_rmse"))
+    return runs.join(F.broadcast(mean), F.lit(True)).select(
+        "candidate_name", "ord", "n_train", "n_val",
+        (F.col("val_rmse") < F.col("mean_rmse") * 0.5).alias("beats_mean"), (F.col("n_trees") > 0).alias("has_trees"))
 
 
 def q_bulletin_counts(spark, sf):
@@ -96,7 +116,7 @@ def q_bulletin_counts(spark, sf):
 
 
 def q_parse_ai_line(spark, sf):
-    files = derived.suggestion_lines(spark, sf)
+    files = derived.suggestion_lines(spark, sf, all_orders=True)
     items = files.select("application_key", F.posexplode(parse_ai_line("ai_line")).alias("pos", "it"))
     return items.select(
         "application_key",
@@ -123,13 +143,13 @@ def _code_variants(cl: DataFrame) -> DataFrame:
 
 
 def q_canonicalize_code(spark, sf):
-    v = _code_variants(spread_for_cpu(derived.lines(spark, sf), "l_orderkey", "l_linenumber"))
+    v = _code_variants(derived.lines(spark, sf))
     return v.select("l_orderkey", "l_linenumber", F.col("variant").cast("int").alias("variant"),
                     canonicalize_code("raw").alias("canon"))
 
 
 def q_expert_codes(spark, sf):
-    parsed = parse_patent_xml(derived.documents(spark, sf)).where(F.col("parse_error").isNull())
+    parsed = derived.parsed_documents(spark, sf)  # a malformed document has an empty list, as in the wide table
     ex = expert_codes("ipc_texts")
     return parsed.select(
         "source_file",
@@ -139,7 +159,7 @@ def q_expert_codes(spark, sf):
 
 
 def q_code_parts(spark, sf):
-    cl = spread_for_cpu(derived.lines(spark, sf), "l_orderkey", "l_linenumber")
+    cl = derived.lines(spark, sf)
     parts = code_parts("raw_code")
     return cl.select(
         "l_orderkey", "l_linenumber",
@@ -150,18 +170,16 @@ def q_code_parts(spark, sf):
     )
 
 
-# The join forms read the wide table once per long form (and J3/J3b once more
-# through J2): they read it written, as the training job does.
 def q_exact_match_semi(spark, sf):
-    return long_ops.exact_match_semi(derived.wide_table(spark, sf))
+    return long_ops.exact_match_semi(derived.wide(spark, sf))
 
 
 def q_main_match_semi(spark, sf):
-    return long_ops.main_match_semi(derived.wide_table(spark, sf))
+    return long_ops.main_match_semi(derived.wide(spark, sf))
 
 
 def q_unmatched_anti(spark, sf):
-    return long_ops.unmatched_anti(derived.wide_table(spark, sf))
+    return long_ops.unmatched_anti(derived.wide(spark, sf))
 
 
 def q_top_k_codes(spark, sf):
@@ -173,22 +191,24 @@ def q_month_split(spark, sf):
 
 
 def q_split_counts(spark, sf):
-    return split_counts(split_long(derived.long_table(spark, sf)))
+    return split_counts(split_long(derived.long_table(spark, sf, "bulletin_code")))
 
 
 def q_evaluate_fixed_predictor(spark, sf):
-    split = split_long(derived.long_table(spark, sf))
-    m = evaluate_split(split, F.coalesce(F.col("ai_score"), F.lit(0.0)) / 100.0)
+    m = evaluate_by_month(derived.long(spark, sf), inputs.fixed_predictions()["v1_reg_base"])
     return m.select(F.round("val_rmse", 6).alias("val_rmse"), F.round("val_mae", 6).alias("val_mae"),
                     "n_train", "n_val")
 
 
+_FEATURES = ("patent_id", "bulletin_code", "ai_score", "rank", "main_group", "subgroup", "section", "class2", "subclass", "y")
+
+
 def q_fill_features(spark, sf):
-    split = split_long(derived.long_table(spark, sf)).where(F.col("split") == "val")
-    return fill_features(split).select(
-        "patent_id", "bulletin_code", "ai_score", "rank", "main_group", "subgroup",
-        "section", "class2", "subclass", "y",
-    )
+    return fill_features(split_long(derived.long_table(spark, sf))).select("split", *_FEATURES)
+
+
+def q_project_features(spark, sf):
+    return project_features(derived.long(spark, sf), use_ipc_parts=True, keep=("patent_id", "bulletin_code"))
 
 
 def q_list_bulletins(spark, sf):
@@ -245,59 +265,96 @@ def _r6(*names):
     return [F.round(n, 6).alias(n) for n in names]
 
 
+def _split_sums(spark, sf) -> DataFrame:
+    """A row per month, written once: all registry checks start from it."""
+    return inputs.split_sums(cut_lineage(inputs.month_sums(derived.long(spark, sf)), "month_sums"))
+
+
+def q_candidate_grid(spark, sf):
+    """The candidate grid with the rows that each candidate trains and validates on."""
+    counts = inputs.side_counts(_split_sums(spark, sf))  # one row
+    return reg_ops.candidate_grid(spark).join(F.broadcast(counts), F.lit(True))
+
+
 def q_candidate_metrics(spark, sf):
-    runs = reg_ops.fixed_candidate_runs(split_long(derived.long_table(spark, sf)))
+    runs = inputs.fixed_candidate_runs(_split_sums(spark, sf))
     return runs.select("candidate_name", "ord", *_r6("val_rmse", "val_mae"), "n_train", "n_val")
 
 
 def q_best_candidate(spark, sf):
-    runs = reg_ops.fixed_candidate_runs(split_long(derived.long_table(spark, sf)))
-    best = reg_ops.best_candidate(runs)
+    best = reg_ops.best_candidate(inputs.fixed_candidate_runs(_split_sums(spark, sf)))
     return best.select("candidate_name", "ord", *_r6("val_rmse", "val_mae"), "n_train", "n_val")
 
 
 def q_promotion_decision(spark, sf):
-    split = split_long(derived.long_table(spark, sf))
-    runs = reg_ops.fixed_candidate_runs(split)
-    champion = reg_ops.mean_predictor_champion(split)
+    split = _split_sums(spark, sf)
+    runs, champion = inputs.fixed_candidate_runs(split), inputs.mean_predictor_champion(split)
     decision = reg_ops.promotion_decision(reg_ops.best_candidate(runs), champion, margin=0.0)
     return decision.select(
         "candidate_name", *_r6("val_rmse", "champion_rmse", "threshold"), "promote", "reason_code"
     )
 
 
+def q_promotion_cases(spark, sf):
+    """No champion, a tie, a positive margin, NaN on either side, two champion rows."""
+    split = _split_sums(spark, sf)
+    best = reg_ops.best_candidate(inputs.fixed_candidate_runs(split))
+    champion = inputs.mean_predictor_champion(split)
+    nan = F.lit(float("nan"))
+    same = champion.drop("val_rmse").join(F.broadcast(best.select("val_rmse")), F.lit(True))
+    older = same.withColumn("model_version", F.lit("0"))
+    cases = {
+        "no_champion": (best, champion.where(F.lit(False)), 0.0),
+        "tie": (best, same, 0.0),
+        "margin": (best, champion, 0.05),
+        "nan_champion": (best, champion.withColumn("val_rmse", nan), 0.0),
+        "nan_candidate": (best.withColumn("val_rmse", nan), champion, 0.0),
+        "two_champions": (best, champion.unionByName(older), 0.0),
+    }
+    out = None
+    for name, (new, held, margin) in cases.items():
+        one = reg_ops.promotion_decision(new, held, margin).select(F.lit(name).alias("case"), "promote", "reason_code")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+def _registered(spark, sf) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Registered runs, champion and decision, a few rows, written once."""
+    split = _split_sums(spark, sf)
+    champion = cut_lineage(inputs.mean_predictor_champion(split), "champion")
+    versions = champion.select("model_name", "model_version", "run_id")
+    runs = cut_lineage(reg_ops.register_versions(versions, inputs.fixed_candidate_runs(split)), "runs")
+    return runs, champion, reg_ops.promotion_decision(reg_ops.best_candidate(runs), champion, margin=0.0)
+
+
 def q_rotate_slots(spark, sf):
-    split = split_long(derived.long_table(spark, sf))
-    runs = reg_ops.register_versions(reg_ops.seed_versions(split), reg_ops.fixed_candidate_runs(split))
-    champion = reg_ops.mean_predictor_champion(split)
-    decision = reg_ops.promotion_decision(reg_ops.best_candidate(runs), champion, margin=0.0)
+    _, champion, decision = _registered(spark, sf)
     state = reg_ops.rotate_slots(champion, decision)
     return state.select("slot", "candidate_name", *_r6("val_rmse"), "model_version")
 
 
 def q_register_version(spark, sf):
-    split = split_long(derived.long_table(spark, sf))
-    runs = reg_ops.fixed_candidate_runs(split)
-    versions = reg_ops.seed_versions(split)
-    return reg_ops.register_versions(versions, runs).select("candidate_name", "model_name", "model_version")
+    """Two training rounds over the same data."""
+    split = cut_lineage(_split_sums(spark, sf), "split_sums")
+    versions = inputs.seed_versions(split)
+    first = reg_ops.register_versions(versions, inputs.fixed_candidate_runs(split, "round-1"))
+    known = versions.unionByName(first.select("model_name", "model_version", "run_id"))
+    second = reg_ops.register_versions(known, inputs.fixed_candidate_runs(split, "round-2"))
+    cols = ["candidate_name", "model_name", "model_version"]
+    return first.select(F.lit(1).alias("round"), *cols).unionByName(second.select(F.lit(2).alias("round"), *cols))
 
 
 def q_set_alias(spark, sf):
-    split = split_long(derived.long_table(spark, sf))
-    runs = reg_ops.register_versions(reg_ops.seed_versions(split), reg_ops.fixed_candidate_runs(split))
-    champion = reg_ops.mean_predictor_champion(split)
-    decision = reg_ops.promotion_decision(reg_ops.best_candidate(runs), champion, margin=0.0)
+    _, champion, decision = _registered(spark, sf)
     aliases = champion.select("model_name", F.explode(F.array(F.lit("airflow"), F.lit("baseline"))).alias("alias"),
                               "model_version")
     return reg_ops.set_alias(aliases, decision)
 
 
 def q_run_metrics_map(spark, sf):
-    runs = reg_ops.fixed_candidate_runs(split_long(derived.long_table(spark, sf)))
-    m = reg_ops.run_metrics_map(runs)
-    return m.select("candidate_name", F.explode("metrics").alias("metric", "value")).select(
-        "candidate_name", "metric", F.round("value", 6).alias("value")
-    )
+    m = reg_ops.run_metrics_map(inputs.fixed_candidate_runs(_split_sums(spark, sf)))
+    both = F.map_concat(F.transform_values("metrics", lambda k, v: F.round(v, 6).cast("string")), "params")
+    return m.select("candidate_name", F.explode(both).alias("entry", "value"))
 
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -317,6 +374,10 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "top_k_codes": q_top_k_codes,
     "month_split": q_month_split,
     "split_counts": q_split_counts,
+    "read_wide": q_read_wide,
+    "project_features": q_project_features,
+    "candidate_grid": q_candidate_grid,
+    "promotion_cases": q_promotion_cases,
     "evaluate_fixed_predictor": q_evaluate_fixed_predictor,
     "fill_features": q_fill_features,
     "list_bulletins": q_list_bulletins,
@@ -360,7 +421,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 _BASE = """
 lines AS (
-  SELECT l_orderkey, l_returnflag, l_linenumber,
+  SELECT l_orderkey, l_returnflag, l_linenumber, l_partkey,
     row_number() OVER (PARTITION BY l_orderkey, CASE WHEN l_returnflag = 'R' THEN 'E' ELSE 'A' END
       ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_quantity, l_shipdate) AS pos,
     substr('ABCDEFGH', CAST(l_orderkey % 8 AS INTEGER) + 1, 1) AS sec,
@@ -386,12 +447,14 @@ patents AS (
   FROM orders),
 expert AS (SELECT DISTINCT l_orderkey, want, want_main FROM codes WHERE l_returnflag = 'R'),
 ai_all AS (
-  SELECT l_orderkey, raw_code, want, want_main, sec, mg, sg, sc, CAST(sc AS DOUBLE) AS score,
-    CAST(row_number() OVER (PARTITION BY l_orderkey ORDER BY pos) AS INTEGER) AS rank
-  FROM codes WHERE l_returnflag <> 'R'),
+  SELECT l_orderkey, CASE WHEN coded THEN raw_code ELSE '20060101' END AS raw_code, CASE WHEN coded THEN want END AS want,
+    want_main, sec, mg, sg, sc, CAST(sc AS DOUBLE) AS score, pos, coded,
+    CAST(row_number() OVER (PARTITION BY l_orderkey ORDER BY pos) AS INTEGER) AS place
+  FROM (SELECT *, l_partkey % 13 <> 0 AS coded FROM codes WHERE l_returnflag <> 'R')),
 ai AS (
-  SELECT a.*, p.k AS patent_id, p.bulletin_code, p.source_file
-  FROM ai_all a JOIN patents p ON p.o_orderkey = a.l_orderkey WHERE p.status = 'ok'),
+  SELECT a.*, CAST(row_number() OVER (PARTITION BY a.l_orderkey ORDER BY a.pos) AS INTEGER) AS rank,
+    p.k AS patent_id, p.bulletin_code, p.source_file
+  FROM ai_all a JOIN patents p ON p.o_orderkey = a.l_orderkey WHERE p.status = 'ok' AND a.coded),
 long AS (
   SELECT patent_id, bulletin_code, want AS ipc_code, want_main AS ipc_main, score AS ai_score, rank,
     CAST(CASE WHEN EXISTS (SELECT 1 FROM expert e WHERE e.l_orderkey = ai.l_orderkey AND e.want = ai.want) THEN 1.0
@@ -411,6 +474,36 @@ split_dim AS (
 split AS (SELECT l.*, d.split FROM long l LEFT JOIN split_dim d USING (bulletin_code))
 """
 
+_WIDE = """
+, good AS (
+  SELECT p.source_file, concat('RU', p.k) AS patent_number, p.k AS application_number, p.bulletin_date,
+    (SELECT CAST(count(*) AS INTEGER) FROM expert e WHERE e.l_orderkey = p.o_orderkey) AS expert_ipc_count,
+    coalesce((SELECT string_agg(e.want, '|' ORDER BY e.want) FROM expert e WHERE e.l_orderkey = p.o_orderkey), '') AS expert_ipc_canon,
+    concat('lst/', p.k, '.LST') AS lst_key, true AS lst_found,
+    CAST(count(*) AS INTEGER) AS ai_ipc_count,
+    string_agg(a.raw_code, '|' ORDER BY a.place) AS ai_ipc_raw,
+    string_agg(coalesce(a.want, ''), '|' ORDER BY a.place) AS ai_ipc_canon,
+    string_agg(coalesce(CAST(a.score AS VARCHAR), ''), '|' ORDER BY a.place) AS ai_scores,
+    p.bulletin_code, CAST(NULL AS VARCHAR) AS error_kind
+  FROM patents p JOIN ai_all a ON a.l_orderkey = p.o_orderkey
+  WHERE p.status = 'ok'
+  GROUP BY p.o_orderkey, p.k, p.source_file, p.bulletin_date, p.bulletin_code),
+blank AS (
+  SELECT p.source_file, concat('RU', p.k) AS patent_number, '' AS application_number, p.bulletin_date,
+    (SELECT CAST(count(*) AS INTEGER) FROM expert e WHERE e.l_orderkey = p.o_orderkey) AS expert_ipc_count,
+    coalesce((SELECT string_agg(e.want, '|' ORDER BY e.want) FROM expert e WHERE e.l_orderkey = p.o_orderkey), '') AS expert_ipc_canon,
+    CAST(NULL AS VARCHAR) AS lst_key, false AS lst_found, 0 AS ai_ipc_count, '' AS ai_ipc_raw, '' AS ai_ipc_canon,
+    '' AS ai_scores, p.bulletin_code, 'blank_application' AS error_kind
+  FROM patents p WHERE p.status = 'blank'),
+bad AS (
+  SELECT p.source_file, CAST(NULL AS VARCHAR) AS patent_number, CAST(NULL AS VARCHAR) AS application_number,
+    CAST(NULL AS VARCHAR) AS bulletin_date, 0 AS expert_ipc_count, '' AS expert_ipc_canon,
+    CAST(NULL AS VARCHAR) AS lst_key, false AS lst_found, 0 AS ai_ipc_count, '' AS ai_ipc_raw, '' AS ai_ipc_canon,
+    '' AS ai_scores, p.bulletin_code, 'malformed' AS error_kind
+  FROM patents p WHERE p.status = 'malformed'),
+wide_rows AS (SELECT * FROM good UNION ALL SELECT * FROM blank UNION ALL SELECT * FROM bad)
+"""
+
 _LONG_COLS = ("patent_id, bulletin_code, ipc_code, ipc_main, ai_score, rank, y, section, class2, subclass, "
               "main_group, subgroup")
 
@@ -419,7 +512,7 @@ def _sql(body: str) -> str:
     return "WITH " + _BASE.strip() + "\n" + body
 
 
-# Fixed scorers of the registry checks (same in ipcforge.operators.registry).
+# Fixed scorers of the registry checks (same in entry_inputs).
 _CAND = """
 cand AS (
   SELECT 'v1_reg_base' AS candidate_name, 1 AS ord,
@@ -455,39 +548,12 @@ _ORACLE = {
         "SELECT bulletin_code, y, count(*) AS n_rows FROM long GROUP BY bulletin_code, y"),
     "wide_to_long": _sql(f"SELECT {_LONG_COLS} FROM long"),
     "wide_to_long_encoded": _sql(f"SELECT {_LONG_COLS} FROM long"),
-    "build_wide": _sql("""
-, good AS (
-  SELECT p.source_file, concat('RU', p.k) AS patent_number, p.k AS application_number, p.bulletin_date,
-    (SELECT CAST(count(*) AS INTEGER) FROM expert e WHERE e.l_orderkey = p.o_orderkey) AS expert_ipc_count,
-    coalesce((SELECT string_agg(e.want, '|' ORDER BY e.want) FROM expert e WHERE e.l_orderkey = p.o_orderkey), '') AS expert_ipc_canon,
-    concat('lst/', p.k, '.LST') AS lst_key, true AS lst_found,
-    CAST(count(*) AS INTEGER) AS ai_ipc_count,
-    string_agg(a.raw_code, '|' ORDER BY a.rank) AS ai_ipc_raw,
-    string_agg(a.want, '|' ORDER BY a.rank) AS ai_ipc_canon,
-    string_agg(coalesce(CAST(a.score AS VARCHAR), ''), '|' ORDER BY a.rank) AS ai_scores,
-    p.bulletin_code, CAST(NULL AS VARCHAR) AS error_kind
-  FROM patents p JOIN ai_all a ON a.l_orderkey = p.o_orderkey
-  WHERE p.status = 'ok'
-  GROUP BY p.o_orderkey, p.k, p.source_file, p.bulletin_date, p.bulletin_code),
-blank AS (
-  SELECT p.source_file, concat('RU', p.k) AS patent_number, '' AS application_number, p.bulletin_date,
-    (SELECT CAST(count(*) AS INTEGER) FROM expert e WHERE e.l_orderkey = p.o_orderkey) AS expert_ipc_count,
-    coalesce((SELECT string_agg(e.want, '|' ORDER BY e.want) FROM expert e WHERE e.l_orderkey = p.o_orderkey), '') AS expert_ipc_canon,
-    CAST(NULL AS VARCHAR) AS lst_key, false AS lst_found, 0 AS ai_ipc_count, '' AS ai_ipc_raw, '' AS ai_ipc_canon,
-    '' AS ai_scores, p.bulletin_code, 'blank_application' AS error_kind
-  FROM patents p WHERE p.status = 'blank'),
-bad AS (
-  SELECT p.source_file, CAST(NULL AS VARCHAR) AS patent_number, CAST(NULL AS VARCHAR) AS application_number,
-    CAST(NULL AS VARCHAR) AS bulletin_date, 0 AS expert_ipc_count, '' AS expert_ipc_canon,
-    CAST(NULL AS VARCHAR) AS lst_key, false AS lst_found, 0 AS ai_ipc_count, '' AS ai_ipc_raw, '' AS ai_ipc_canon,
-    '' AS ai_scores, p.bulletin_code, 'malformed' AS error_kind
-  FROM patents p WHERE p.status = 'malformed')
-SELECT * FROM good UNION ALL SELECT * FROM blank UNION ALL SELECT * FROM bad
-"""),
+    "build_wide": _sql(_WIDE + "SELECT * FROM wide_rows"),
+    "read_wide": _sql(_WIDE + "SELECT application_number, bulletin_code, expert_ipc_canon, ai_ipc_canon, ai_scores FROM wide_rows"),
     "doc_lst_join": _sql("""
 SELECT p.source_file, p.k AS application_key,
   concat('AI_IPC:', string_agg(CASE WHEN a.sc IS NULL THEN a.raw_code ELSE concat(a.raw_code, ' (', a.sc, '%)') END,
-    ';' ORDER BY a.rank), ';') AS ai_line
+    ';' ORDER BY a.place), ';') AS ai_line
 FROM patents p JOIN ai_all a ON a.l_orderkey = p.o_orderkey
 WHERE p.status = 'ok'
 GROUP BY p.source_file, p.k
@@ -501,8 +567,7 @@ SELECT bulletin_code, count(*) AS n_rows, count(CASE WHEN good = 1 THEN 1 END) A
 FROM wide GROUP BY ROLLUP (bulletin_code)
 """),
     "parse_ai_line": _sql("""
-SELECT CAST(l_orderkey AS VARCHAR) AS application_key, rank, raw_code AS raw, want AS canon, score
-FROM ai_all WHERE l_orderkey % 11 <> 0
+SELECT CAST(l_orderkey AS VARCHAR) AS application_key, place AS rank, raw_code AS raw, want AS canon, score FROM ai_all
 """),
     "canonicalize_code": _sql("""
 SELECT l_orderkey, l_linenumber, variant, canon FROM (
@@ -517,9 +582,11 @@ SELECT l_orderkey, l_linenumber, variant, canon FROM (
 """),
     "expert_codes": _sql("""
 SELECT p.source_file,
-  (SELECT CAST(count(*) AS INTEGER) FROM expert e WHERE e.l_orderkey = p.o_orderkey) AS expert_ipc_count,
-  coalesce((SELECT string_agg(e.want, '|' ORDER BY e.want) FROM expert e WHERE e.l_orderkey = p.o_orderkey), '') AS expert_ipc_canon
-FROM patents p WHERE p.status <> 'malformed'
+  CASE WHEN p.status = 'malformed' THEN 0 ELSE
+    (SELECT CAST(count(*) AS INTEGER) FROM expert e WHERE e.l_orderkey = p.o_orderkey) END AS expert_ipc_count,
+  CASE WHEN p.status = 'malformed' THEN '' ELSE
+    coalesce((SELECT string_agg(e.want, '|' ORDER BY e.want) FROM expert e WHERE e.l_orderkey = p.o_orderkey), '') END AS expert_ipc_canon
+FROM patents p
 """),
     "code_parts": _sql("""
 SELECT l_orderkey, l_linenumber,
@@ -555,10 +622,31 @@ SELECT round(sqrt(avg(CASE WHEN split = 'val' THEN pow(y - coalesce(ai_score, 0)
 FROM split
 """),
     "fill_features": _sql("""
-SELECT patent_id, bulletin_code, coalesce(ai_score, 0) AS ai_score, rank, coalesce(main_group, 0) AS main_group,
+SELECT split, patent_id, bulletin_code, coalesce(ai_score, 0) AS ai_score, rank, coalesce(main_group, 0) AS main_group,
   coalesce(subgroup, 0) AS subgroup, coalesce(section, 'NA') AS section, coalesce(class2, 'NA') AS class2,
   coalesce(subclass, 'NA') AS subclass, y
-FROM split WHERE split = 'val'
+FROM split
+"""),
+    "project_features": _sql("""
+SELECT patent_id, bulletin_code, ai_score, rank, main_group, subgroup, section, class2, subclass, y FROM long
+"""),
+    "candidate_grid": _sql("""
+SELECT g.*, count(CASE WHEN split = 'train' THEN 1 END) AS n_train, count(CASE WHEN split = 'val' THEN 1 END) AS n_val
+FROM split, (VALUES ('v1_reg_base', CAST(1 AS INTEGER), CAST(6 AS INTEGER), CAST(0.05 AS DOUBLE), true),
+  ('v1_reg_shallow', 2, 4, 0.05, true), ('v1_reg_no_ipc_parts', 3, 6, 0.05, false))
+  AS g(candidate_name, ord, depth, learning_rate, use_ipc_parts)
+GROUP BY ALL
+"""),
+    "train_candidates": _cand_sql("""
+SELECT candidate_name, CAST(ord AS INTEGER) AS ord, n_train, n_val, true AS beats_mean, true AS has_trees FROM cand
+"""),
+    "promotion_cases": _cand_sql("""
+SELECT 'no_champion' AS "case", true AS promote, 'no_current_champion' AS reason_code FROM best
+UNION ALL SELECT 'tie', false, 'threshold' FROM best
+UNION ALL SELECT 'margin', b.val_rmse < c.champion_rmse * (1.0 - 0.05), 'threshold' FROM best b, champ c
+UNION ALL SELECT 'nan_champion', false, 'threshold' FROM best
+UNION ALL SELECT 'nan_candidate', false, 'threshold' FROM best
+UNION ALL SELECT 'two_champions', b.val_rmse < c.champion_rmse, 'threshold' FROM best b, champ c
 """),
     "list_bulletins": """
 SELECT bulletin_code, CAST(row_number() OVER (ORDER BY bulletin_code) AS INTEGER) AS pos
@@ -627,7 +715,8 @@ UNION ALL
 SELECT 'previous', 'mean_predictor', round(champion_rmse, 6), '1' FROM d WHERE promote
 """),
     "register_version": _cand_sql("""
-SELECT candidate_name, 'ipc_regressor' AS model_name, CAST(1 + ord AS VARCHAR) AS model_version FROM cand
+SELECT round, candidate_name, 'ipc_regressor' AS model_name, CAST(1 + 3 * (round - 1) + ord AS VARCHAR) AS model_version
+FROM cand, (VALUES (CAST(1 AS INTEGER)), (2)) AS r(round)
 """),
     "set_alias": _cand_sql("""
 SELECT 'ipc_regressor' AS model_name, 'airflow' AS alias,
@@ -636,11 +725,22 @@ FROM best b, champ c
 UNION ALL SELECT 'ipc_regressor', 'baseline', '1'
 """),
     "run_metrics_map": _cand_sql("""
-SELECT candidate_name, metric, round(value, 6) AS value FROM (
-  SELECT candidate_name, 'val_rmse' AS metric, val_rmse AS value FROM cand
-  UNION ALL SELECT candidate_name, 'val_mae', val_mae FROM cand
-  UNION ALL SELECT candidate_name, 'n_train', CAST(n_train AS DOUBLE) FROM cand
-  UNION ALL SELECT candidate_name, 'n_val', CAST(n_val AS DOUBLE) FROM cand)
+, e AS (
+  SELECT candidate_name, entry, CAST(value AS VARCHAR) AS value FROM (
+    SELECT candidate_name, 'val_rmse' AS entry, round(val_rmse, 6) AS value FROM cand
+    UNION ALL SELECT candidate_name, 'val_mae', round(val_mae, 6) FROM cand
+    UNION ALL SELECT candidate_name, 'n_train', CAST(n_train AS DOUBLE) FROM cand
+    UNION ALL SELECT candidate_name, 'n_val', CAST(n_val AS DOUBLE) FROM cand)
+  UNION ALL SELECT candidate_name, 'candidate_name', candidate_name FROM cand
+  UNION ALL SELECT candidate_name, 'input_key', 'derived' FROM cand
+  UNION ALL SELECT candidate_name, 'training_last_month_resolved', NULL FROM cand
+  UNION ALL SELECT candidate_name, 'months_window', NULL FROM cand
+  UNION ALL SELECT candidate_name, 'train_frac', '0.666667' FROM cand
+  UNION ALL SELECT candidate_name, 'random_state', '42' FROM cand
+  UNION ALL SELECT candidate_name, 'depth', CASE WHEN ord = 2 THEN '4' ELSE '6' END FROM cand
+  UNION ALL SELECT candidate_name, 'learning_rate', '0.05' FROM cand
+  UNION ALL SELECT candidate_name, 'use_ipc_parts', CASE WHEN ord = 3 THEN 'false' ELSE 'true' END FROM cand)
+SELECT candidate_name, entry, value FROM e
 """),
 }
 

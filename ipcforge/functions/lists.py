@@ -34,11 +34,13 @@ def _is_bracketed(s: Column) -> Column:
     return s.startswith("[") & s.endswith("]")
 
 
-def decode_code_list(c: Column | str, dtype: DataType = StringType()) -> Column:
+def decode_code_list(c: Column | str, dtype: DataType = StringType(), positional: bool = False) -> Column:
     """P5: array | 'a|b' | "['a','b']" -> array<string>.
 
     Pipe form drops empty tokens; a malformed bracket form or any other value
-    gives an empty array.  Native arrays pass through unchanged.
+    gives an empty array.  Native arrays pass through unchanged.  With
+    ``positional`` an empty token stays, as NULL, so that the list keeps its
+    alignment with the score list.
     """
     c = col_of(c)
     empty = F.array().cast("array<string>")
@@ -46,7 +48,10 @@ def decode_code_list(c: Column | str, dtype: DataType = StringType()) -> Column:
         return F.coalesce(c.cast("array<string>"), empty)
     s = py_strip(c)
     bracket = F.from_json(s, "array<string>", {"mode": "PERMISSIVE"})
-    pipe = F.filter(F.split(s, _SEP_RE), lambda x: x != "")
+    if positional:
+        pipe = F.when(s == "", empty).otherwise(F.transform(F.split(s, _SEP_RE), lambda x: F.nullif(x, F.lit(""))))
+    else:
+        pipe = F.filter(F.split(s, _SEP_RE), lambda x: x != "")
     return F.coalesce(F.when(_is_bracketed(s), bracket).otherwise(pipe), empty)
 
 
@@ -69,9 +74,13 @@ def decode_score_list(c: Column | str, dtype: DataType = StringType()) -> Column
 
 
 def zip_scores(codes: Column | str, scores: Column | str) -> Column:
-    """I-th code with i-th score; missing scores are NULL, extra ones ignored."""
+    """I-th code with i-th score; missing scores are NULL, extra ones ignored.
+
+    Pairs without a code go after the zip, so a score never moves to another code.
+    """
     sc = col_of(scores)
-    return F.transform(
+    pairs = F.transform(
         col_of(codes),
         lambda code, i: F.struct(code.alias("code"), F.get(sc, i).alias("score")),
     )
+    return F.filter(pairs, lambda p: p["code"].isNotNull() & (p["code"] != ""))

@@ -30,7 +30,7 @@ def wide_to_long(wide: DataFrame) -> DataFrame:
     """One row per (document, AI code); accepts native or '|'-encoded lists."""
     types = {f.name: f.dataType for f in wide.schema.fields}
     expert = decode_code_list("expert_ipc_canon", types["expert_ipc_canon"])
-    codes = decode_code_list("ai_ipc_canon", types["ai_ipc_canon"])
+    codes = decode_code_list("ai_ipc_canon", types["ai_ipc_canon"], positional=True)
     scores = decode_score_list("ai_scores", types["ai_scores"])
     exploded = wide.select(
         F.col("application_number").alias("patent_id"),
@@ -71,59 +71,41 @@ def label_distribution_by_month(long: DataFrame) -> DataFrame:
     return long.groupBy("bulletin_code", "y").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
-def _expert_long(wide: DataFrame) -> DataFrame:
-    types = {f.name: f.dataType for f in wide.schema.fields}
-    expert = decode_code_list("expert_ipc_canon", types["expert_ipc_canon"])
-    return wide.select(
-        F.col("application_number").alias("patent_id"),
-        "bulletin_code",
-        "source_file",
-        F.explode(expert).alias("expert_code"),
-    ).withColumn("expert_main", main_group_of("expert_code"))
+def _marked_codes(wide: DataFrame) -> DataFrame:
+    """Every AI code with whether it, or its main group, is among the document's expert codes.
 
-
-def _ai_long(wide: DataFrame) -> DataFrame:
+    Both lists are on the same row, so membership is tested below the
+    explode: one narrow stage, no join, and a missing month or number does not
+    matter.
+    """
     types = {f.name: f.dataType for f in wide.schema.fields}
-    codes = decode_code_list("ai_ipc_canon", types["ai_ipc_canon"])
-    return wide.select(
-        F.col("application_number").alias("patent_id"),
-        "bulletin_code",
-        "source_file",
-        F.posexplode(codes).alias("pos", "ipc_code"),
-    ).select(
-        "patent_id", "bulletin_code", "source_file", (F.col("pos") + 1).cast("int").alias("rank"),
-        "ipc_code", main_group_of("ipc_code").alias("ipc_main"),
+    expert = decode_code_list("expert_ipc_canon", types["expert_ipc_canon"])
+    codes = decode_code_list("ai_ipc_canon", types["ai_ipc_canon"], positional=True)
+    coded = F.filter(codes, lambda c: c.isNotNull() & (c != ""))
+    lists = wide.select(
+        F.col("application_number").alias("patent_id"), "bulletin_code", "source_file",
+        expert.alias("expert"), expert_main_groups(expert).alias("expert_main"), coded.alias("codes"),
+    )
+    items = lists.select(
+        "patent_id", "bulletin_code", "source_file", "expert", "expert_main", F.posexplode("codes").alias("pos", "ipc_code")
+    ).withColumn("ipc_main", main_group_of("ipc_code"))
+    return items.select(
+        "patent_id", "bulletin_code", "source_file", (F.col("pos") + 1).cast("int").alias("rank"), "ipc_code", "ipc_main",
+        F.coalesce(F.array_contains("expert", F.col("ipc_code")), F.lit(False)).alias("exact"),
+        F.coalesce(F.array_contains("expert_main", F.col("ipc_main")), F.lit(False)).alias("main"),
     )
-
-
-_DOC_KEYS = ["source_file", "bulletin_code"]
-
-
-def _exact(ai: DataFrame, ex: DataFrame) -> DataFrame:
-    cond = [ai[k].eqNullSafe(ex[k]) for k in _DOC_KEYS] + [ai["ipc_code"] == ex["expert_code"]]
-    return ai.join(ex, cond, "left_semi")
 
 
 def exact_match_semi(wide: DataFrame) -> DataFrame:
-    """AI codes that are in the document's expert set (LEFT SEMI join on the long forms).
-
-    The join key includes the code, so a document with many codes spreads
-    over many partitions instead of sitting in one task.
-    """
-    return _exact(_ai_long(wide), _expert_long(wide))
+    """AI codes that are in the document's expert set."""
+    return _marked_codes(wide).where("exact").drop("exact", "main")
 
 
 def main_match_semi(wide: DataFrame) -> DataFrame:
     """AI codes whose main group is among the expert main groups (not exact hits)."""
-    ai, ex = _ai_long(wide), _expert_long(wide)
-    main_cond = [ai[k].eqNullSafe(ex[k]) for k in _DOC_KEYS] + [ai["ipc_main"] == ex["expert_main"]]
-    on_main = ai.join(ex, main_cond, "left_semi")
-    return on_main.join(_exact(ai, ex), [*_DOC_KEYS, "rank"], "left_anti")
+    return _marked_codes(wide).where("main AND NOT exact").drop("exact", "main")
 
 
 def unmatched_anti(wide: DataFrame) -> DataFrame:
     """AI codes with neither an exact nor a main-group hit (the y = 0 rows)."""
-    ai, ex = _ai_long(wide), _expert_long(wide)
-    cond = [ai[k].eqNullSafe(ex[k]) for k in _DOC_KEYS] + [ai["ipc_main"] == ex["expert_main"]]
-    no_main = ai.join(ex, cond, "left_anti")
-    return no_main.join(_exact(ai, ex), [*_DOC_KEYS, "rank"], "left_anti")
+    return _marked_codes(wide).where("NOT exact AND NOT main").drop("exact", "main")

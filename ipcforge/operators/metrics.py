@@ -27,3 +27,24 @@ def evaluate_split(split: DataFrame, prediction: Column, label: str = "y") -> Da
         F.count(F.when(F.col("split") == "train", 1)).alias("n_train"),
         F.count(F.when(is_val, 1)).alias("n_val"),
     )
+
+
+def evaluate_by_month(long: DataFrame, prediction: Column, label: str = "y") -> DataFrame:
+    """The result of :func:`evaluate_split` from one pass over the long rows.
+
+    Errors are summed per month first; the split and the averages then work on
+    a row per month, and the long rows are never joined.
+    """
+    from .split import month_split
+
+    diff = F.col(label).cast("double") - prediction.cast("double")
+    sums = long.groupBy("bulletin_code").agg(
+        F.count(F.lit(1)).alias("n"), F.count(diff).alias("known"), F.sum(diff * diff).alias("se"), F.sum(F.abs(diff)).alias("ae"))
+    split = sums.join(F.broadcast(month_split(sums).select("bulletin_code", "split")), "bulletin_code", "left")
+    side = lambda which, c: F.sum(F.when(F.col("split") == which, F.col(c)))
+    return split.agg(
+        F.sqrt(side("val", "se") / side("val", "known")).alias("val_rmse"),
+        (side("val", "ae") / side("val", "known")).alias("val_mae"),
+        F.coalesce(side("train", "n"), F.lit(0)).alias("n_train"),
+        F.coalesce(side("val", "n"), F.lit(0)).alias("n_val"),
+    )

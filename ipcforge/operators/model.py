@@ -3,29 +3,31 @@
 Gradient-boosted trees (squared loss) on the long table's features; the
 categorical code parts go through ``StringIndexer`` (fit on train only,
 unseen values kept in an extra bucket) so the trees split them as nominal
-features.  The best boosting iteration is chosen on the validation rows with
-``evaluateEachIteration`` and the model is refit to that length (the boosting
-sequence with a fixed seed is a deterministic prefix).
+features.  Training watches the squared error on the validation rows, ends
+when a further tree does not lower it by ``tolerance`` any more, and keeps
+the prefix of trees with the lowest error; nothing is fitted twice.
 """
 
 from __future__ import annotations
 
-import math
-
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .features import feature_columns, fill_features
+from .features import feature_columns, fill_features, project_features
 from .metrics import error_metrics
-from .registry import CANDIDATES, candidate_config, runs_from_metrics
+from .registry import CANDIDATES, MODEL_NAME, candidate_config, runs_from_metrics
 
 # Fixed values of the training configuration.
 SEED = 42
-DEFAULT_MAX_ITER = 50
+# The most trees a fit may grow, the training library's own default; callers may lower it.
+DEFAULT_MAX_ITER = 1000
+# A further tree must lower the validation error by this share of it.
+DEFAULT_TOLERANCE = 0.001
 MIN_BINS = 32
+IS_VALIDATION = "is_validation"
 
 
 def _indexer(cats: list[str]) -> StringIndexer:
@@ -35,19 +37,25 @@ def _indexer(cats: list[str]) -> StringIndexer:
     )
 
 
-def _gbt(cfg: dict, max_iter: int, max_bins: int, target: str) -> GBTRegressor:
+def _gbt(cfg: dict, max_iter: int, max_bins: int, target: str, tolerance: float | None) -> GBTRegressor:
+    watch = {} if tolerance is None else {"validationIndicatorCol": IS_VALIDATION, "validationTol": float(tolerance)}
     return GBTRegressor(
         featuresCol="features", labelCol=target, predictionCol="prediction",
         maxDepth=int(cfg["depth"]), stepSize=float(cfg["learning_rate"]), lossType="squared",
         maxIter=int(max_iter), maxBins=int(max_bins), seed=SEED, checkpointInterval=10,
-        cacheNodeIds=False,
+        cacheNodeIds=False, **watch,
     )
 
 
-def _fit(train: DataFrame, cfg: dict, max_iter: int, target: str) -> PipelineModel:
-    """Fit indexer -> assembler -> GBT; maxBins comes from the fitted label counts
-    (>= the largest category count + the unseen bucket), no extra pass."""
+def _fit(rows: DataFrame, cfg: dict, max_iter: int, target: str, tolerance: float | None) -> PipelineModel:
+    """Fit indexer -> assembler -> GBT on rows with the validation marker.
+
+    M3: with a ``tolerance`` the validation rows decide the number of trees.
+    maxBins comes from the fitted label counts (>= the largest category
+    count + the unseen bucket), no extra pass.
+    """
     num, cats = feature_columns(cfg["use_ipc_parts"])
+    train = rows.where(~F.col(IS_VALIDATION))
     stages: list = []
     bins = MIN_BINS
     if cats:
@@ -56,43 +64,34 @@ def _fit(train: DataFrame, cfg: dict, max_iter: int, target: str) -> PipelineMod
         stages.append(indexer)
     assembler = VectorAssembler(inputCols=num + [f"{c}_idx" for c in cats], outputCol="features", handleInvalid="keep")
     stages.append(assembler)
-    prepared = PipelineModel(stages).transform(train)
-    gbt = _gbt(cfg, max_iter, bins, target).fit(prepared)
+    prepared = PipelineModel(stages).transform(rows if tolerance is not None else train)
+    gbt = _gbt(cfg, max_iter, bins, target, tolerance).fit(prepared)
     return PipelineModel([*stages, gbt])
 
 
-def best_iteration(model: PipelineModel, val: DataFrame) -> tuple[int, list[float]]:
-    """M3: number of trees with the lowest validation squared error (1-based)."""
-    gbt = model.stages[-1]
-    prepared = PipelineModel(model.stages[:-1]).transform(val)
-    losses = list(gbt.evaluateEachIteration(prepared, "squared"))
-    best = min(range(len(losses)), key=lambda i: (math.isnan(losses[i]), losses[i], i))
-    return best + 1, losses
-
-
 def train_regressor(train: DataFrame, val: DataFrame, cfg: dict, max_iter: int = DEFAULT_MAX_ITER,
-                    target: str = "y", use_best_iteration: bool = True) -> tuple[PipelineModel, dict]:
-    """M1+M2+M3+M4+M5: fit one candidate and evaluate it on the validation rows."""
-    train_f, val_f = fill_features(train), fill_features(val)
-    model = _fit(train_f, cfg, max_iter, target)
-    n_trees = max_iter
-    if use_best_iteration and max_iter > 1:
-        n_trees, _ = best_iteration(model, val_f)
-        if n_trees < max_iter:
-            model = _fit(train_f, cfg, n_trees, target)
-    pred = model.transform(val_f)
+                    target: str = "y", tolerance: float | None = DEFAULT_TOLERANCE) -> tuple[PipelineModel, dict]:
+    """M1+M2+M3+M4+M5: fit one candidate and evaluate it on the validation rows.
+
+    ``tolerance`` None grows exactly ``max_iter`` trees.
+    """
+    keep = lambda df, mark: project_features(df, cfg["use_ipc_parts"], target).withColumn(IS_VALIDATION, F.lit(mark))
+    rows = fill_features(keep(train, False).unionByName(keep(val, True)))
+    model = _fit(rows, cfg, max_iter, target, tolerance)
+    pred = model.transform(rows.where(F.col(IS_VALIDATION)))
     m = error_metrics(pred, label=target, prediction="prediction").first()
     return model, {
         "val_rmse": float(m["val_rmse"]) if m["val_rmse"] is not None else float("nan"),
         "val_mae": float(m["val_mae"]) if m["val_mae"] is not None else float("nan"),
         "n_val": int(m["n_rows"]),
-        "n_trees": int(n_trees),
+        "n_trees": int(model.stages[-1].getNumTrees),
     }
 
 
 def train_candidates(split: DataFrame, max_iter: int = DEFAULT_MAX_ITER, names: list[str] | None = None,
                      model_dir: str | None = None, input_key: str = "", last_month: str | None = None,
-                     months_window: int | None = None, target: str = "y") -> DataFrame:
+                     months_window: int | None = None, target: str = "y", tolerance: float | None = DEFAULT_TOLERANCE,
+                     model_name: str = MODEL_NAME) -> DataFrame:
     """M6: the same split data, each candidate configuration, one run row each.
 
     ``split`` should be materialized by the caller (checkpoint or written
@@ -112,7 +111,7 @@ def train_candidates(split: DataFrame, max_iter: int = DEFAULT_MAX_ITER, names:
     rows = []
     for name in names or [c[0] for c in CANDIDATES]:
         cfg = candidate_config(name)
-        model, metrics = train_regressor(train, val, cfg, max_iter=max_iter, target=target)
+        model, metrics = train_regressor(train, val, cfg, max_iter=max_iter, target=target, tolerance=tolerance)
         if model_dir:
             model.write().overwrite().save(f"{prefix}candidates/{name}")
         rows.append((name, cfg["ord"], metrics["val_rmse"], metrics["val_mae"], n["train"], n["val"], metrics["n_trees"]))
@@ -120,5 +119,5 @@ def train_candidates(split: DataFrame, max_iter: int = DEFAULT_MAX_ITER, names:
         rows, "candidate_name string, ord int, val_rmse double, val_mae double, n_train long, n_val long, n_trees int"
     )
     runs = runs_from_metrics(metrics_df, input_key=input_key, last_month=last_month,
-                             months_window=months_window, models_prefix=prefix)
+                             months_window=months_window, models_prefix=prefix, model_name=model_name)
     return runs.join(metrics_df.select("candidate_name", "n_trees"), "candidate_name")

@@ -92,18 +92,20 @@ def month_window(last_month: DataFrame, n: int, col: str = "last_month") -> Data
     ).withColumn("pos", (F.col("pos") + 1).cast("int"))
 
 
-# Broadcast bound of a month set (a century of months is 1,200 rows).
-MAX_WINDOW_MONTHS = 100_000
+def month_codes(df: DataFrame, col: str = "bulletin_code") -> DataFrame:
+    """Distinct six-digit codes: at most a million rows of six characters, whatever the data.
+
+    This domain bound is why month sets may be broadcast below.
+    """
+    return distinct_months(df, col).where(F.col("bulletin_code").rlike(MONTH_CODE_RE))
 
 
 def window_filter(df: DataFrame, window: DataFrame, col: str = "bulletin_code") -> DataFrame:
     """keep rows whose month is in the window (LEFT SEMI join, before any file is opened).
 
-    The month set is broadcast after a row-count check, so the filtered rows
-    are never shuffled by month (a month holding a third of the rows would
-    otherwise sit in one task); beyond the bound it is a plain shuffle join.
+    The month set is broadcast (:func:`month_codes` bounds it), so the
+    filtered rows are never shuffled by month and a month holding a third of
+    the rows stays spread.
     """
-    from ..session import broadcast_if_small
-
-    months = window.select(F.col("bulletin_code").alias(col)).distinct()
-    return df.join(broadcast_if_small(months, MAX_WINDOW_MONTHS), col, "left_semi")
+    months = month_codes(window).select(F.col("bulletin_code").alias(col))
+    return df.join(F.broadcast(months), col, "left_semi")

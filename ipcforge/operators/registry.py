@@ -13,10 +13,11 @@ operators are still plain aggregates/joins so they work on any history size.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .metrics import evaluate_split
 
 # The candidate grid (name, order for ties, depth, rate, parts).
 CANDIDATES = [
@@ -25,14 +26,14 @@ CANDIDATES = [
     ("v1_reg_no_ipc_parts", 3, 6, 0.05, False),
 ]
 # The alias the promotion points at, and the slot names.
-# MODEL_NAME is our default registry name (the reference takes it as an argument).
+# MODEL_NAME is the default registry name; the jobs take it as an argument.
 MODEL_NAME = "ipc_regressor"
 ALIAS = "airflow"
 CHAMPION, PREVIOUS = "champion", "previous"
 
 RUN_COLUMNS = [
     "candidate_name", "ord", "run_id", "model_name", "model_version", "val_rmse", "val_mae",
-    "n_train", "n_val", "model_key", "input_key", "training_last_month_resolved", "months_window",
+    "n_train", "n_val", "model_key", "meta_key", "input_key", "training_last_month_resolved", "months_window",
 ]
 
 
@@ -41,7 +42,7 @@ def candidate_config(name: str) -> dict:
     for cand, ord_, depth, rate, parts in CANDIDATES:
         if cand == name:
             return {"name": cand, "ord": ord_, "depth": depth, "learning_rate": rate, "use_ipc_parts": parts}
-    raise ValueError(f"Unknown candidate_name: {name}")
+    raise ValueError(f"no candidate is called {name!r}; known: {[c[0] for c in CANDIDATES]}")
 
 
 def candidate_grid(spark) -> DataFrame:
@@ -51,57 +52,34 @@ def candidate_grid(spark) -> DataFrame:
     )
 
 
-def run_id_of(*cols: Column) -> Column:
-    """Deterministic run id from the run's identifying values."""
-    return F.substr(F.sha2(F.concat_ws("|", *[c.cast("string") for c in cols]), 256), F.lit(1), F.lit(32))
-
-
 def runs_from_metrics(metrics: DataFrame, input_key: str = "", last_month: str | None = None,
-                      months_window: int | None = None, models_prefix: str = "models/") -> DataFrame:
-    """K3: shape per-candidate metrics (candidate_name, ord, val_rmse, val_mae, n_train, n_val) as runs."""
+                      months_window: int | None = None, models_prefix: str = "models/",
+                      model_name: str = MODEL_NAME, round_id: str | None = None) -> DataFrame:
+    """K3: shape per-candidate metrics (candidate_name, ord, val_rmse, val_mae, n_train, n_val) as runs.
+
+    ``round_id`` is new for every training round, so the run ids of two
+    rounds over the same data differ.
+    """
     name = F.col("candidate_name")
+    round_id = round_id or uuid.uuid4().hex
+    run_id = F.substr(F.sha2(F.concat_ws("|", F.lit(round_id), name), 256), F.lit(1), F.lit(32))
     return metrics.select(
         name, F.col("ord").cast("int").alias("ord"),
-        run_id_of(name, F.lit(input_key), F.col("n_train"), F.col("n_val")).alias("run_id"),
-        F.lit(MODEL_NAME).alias("model_name"),
+        run_id.alias("run_id"),
+        F.lit(model_name).alias("model_name"),
         F.lit(None).cast("string").alias("model_version"),
         F.col("val_rmse").cast("double").alias("val_rmse"),
         F.col("val_mae").cast("double").alias("val_mae"),
         F.col("n_train").cast("long").alias("n_train"),
         F.col("n_val").cast("long").alias("n_val"),
         F.concat(F.lit(models_prefix), F.lit("candidates/"), name).alias("model_key"),
+        F.concat(F.lit(models_prefix), F.lit("candidates/"), name, F.lit("_meta.json")).alias("meta_key"),
         F.lit(input_key).alias("input_key"),
         F.lit(last_month).cast("string").alias("training_last_month_resolved"),
         F.lit(months_window).cast("int").alias("months_window"),
     )
 
 
-def fixed_candidate_runs(split: DataFrame) -> DataFrame:
-    """Runs of three fixed scorers, for checking the registry logic against SQL.
-
-    base: ai_score/100, shallow: 1/rank, no_ipc_parts: 0.25.  All three are
-    evaluated in one aggregation pass, then unpivoted to one row each.
-    """
-    preds = {
-        "v1_reg_base": F.coalesce(F.col("ai_score"), F.lit(0.0)) / 100.0,
-        "v1_reg_shallow": F.lit(1.0) / F.col("rank"),
-        "v1_reg_no_ipc_parts": F.lit(0.25),
-    }
-    is_val = F.col("split") == "val"
-    aggs = [F.count(F.when(F.col("split") == "train", 1)).alias("n_train"), F.count(F.when(is_val, 1)).alias("n_val")]
-    for i, (name, p) in enumerate(preds.items()):
-        d = F.col("y") - p
-        aggs += [F.sqrt(F.avg(F.when(is_val, d * d))).alias(f"rmse_{i}"), F.avg(F.when(is_val, F.abs(d))).alias(f"mae_{i}")]
-    wide = split.agg(*aggs)
-    rows = F.array(*[
-        F.struct(F.lit(name).alias("candidate_name"), F.lit(i + 1).alias("ord"),
-                 F.col(f"rmse_{i}").alias("val_rmse"), F.col(f"mae_{i}").alias("val_mae"))
-        for i, name in enumerate(preds)
-    ])
-    metrics = wide.select(F.explode(rows).alias("r"), "n_train", "n_val").select("r.*", "n_train", "n_val")
-    return runs_from_metrics(metrics, input_key="derived")
-
-
 def _rmse_order(c: str = "val_rmse") -> Column:
     bad = F.col(c).isNull() | F.isnan(F.col(c))
     return F.struct(bad.alias("bad"), F.col(c).alias("v"), F.col("ord").alias("ord"))
@@ -116,32 +94,6 @@ def best_candidate(runs: DataFrame) -> DataFrame:
     return best.select("b.*")
 
 
-def mean_predictor_champion(split: DataFrame) -> DataFrame:
-    """A champion state derived from the data: the train-mean predictor, version 1.
-
-    One pass: avg((y - m)^2) over val = E[y^2] - 2 m E[y] + m^2 with m the train mean.
-    """
-    is_tr, is_val = F.col("split") == "train", F.col("split") == "val"
-    agg = split.agg(
-        F.avg(F.when(is_tr, F.col("y"))).alias("m"),
-        F.avg(F.when(is_val, F.col("y"))).alias("ey"),
-        F.avg(F.when(is_val, F.col("y") * F.col("y"))).alias("ey2"),
-    )
-    rmse = F.sqrt(F.greatest(F.lit(0.0), F.col("ey2") - 2 * F.col("m") * F.col("ey") + F.col("m") * F.col("m")))
-    return agg.select(
-        F.lit(CHAMPION).alias("slot"),
-        F.lit("mean_predictor").alias("candidate_name"),
-        F.lit(MODEL_NAME).alias("model_name"),
-        F.lit("1").alias("model_version"),
-        F.lit("seed").alias("run_id"),
-        rmse.alias("val_rmse"),
-        F.lit(None).cast("double").alias("val_mae"),
-        F.lit("derived").alias("input_key"),
-        F.lit(None).cast("string").alias("source_model_key"),
-        F.lit(None).cast("timestamp").alias("promoted_at_utc"),
-    )
-
-
 def promotion_decision(best: DataFrame, registry: DataFrame, margin: float | str = 0.0) -> DataFrame:
     """Best candidate left-joined to the (zero or one) current champion.
 
@@ -150,16 +102,25 @@ def promotion_decision(best: DataFrame, registry: DataFrame, margin: float | str
     try:
         m = float(str(margin).strip())
     except ValueError as exc:
-        raise ValueError(f"Invalid promote margin value: {margin}") from exc
-    champ = registry.where(F.col("slot") == CHAMPION).select(
-        F.col("val_rmse").alias("champion_rmse"), F.col("candidate_name").alias("champion_name"),
-        F.col("model_version").alias("champion_version"),
+        raise ValueError(f"the promotion margin must be a number, not {margin!r}") from exc
+    # An aggregate without keys: exactly one row, also if the registry held
+    # several champions (the latest promoted one counts) or none.
+    latest = F.struct(F.col("promoted_at_utc"), F.col("model_version").cast("int").alias("version"))
+    held = F.when(F.col("slot") == CHAMPION, F.struct(F.col("val_rmse"), F.col("candidate_name"), F.col("model_version")))
+    champ = registry.agg(
+        F.max_by(held, F.when(F.col("slot") == CHAMPION, latest)).alias("c"),
+        F.count(F.when(F.col("slot") == CHAMPION, 1)).alias("n_champions"),
+    ).select(
+        F.col("c.val_rmse").alias("champion_rmse"), F.col("c.candidate_name").alias("champion_name"),
+        F.col("c.model_version").alias("champion_version"), "n_champions",
     )
-    # ``champ`` is the single champion row (zero or one): a broadcast of proven size.
     j = best.join(F.broadcast(champ), F.lit(True), "left")
     threshold = F.col("champion_rmse") * F.lit(1.0 - m)
-    no_champ = F.col("champion_rmse").isNull() & F.col("champion_name").isNull()
-    promote = F.when(no_champ, F.lit(True)).otherwise(F.coalesce(F.col("val_rmse") < threshold, F.lit(False)))
+    no_champ = F.col("n_champions") == 0
+    # Spark orders NaN above all numbers; a comparison with NaN is no improvement.
+    known = ~F.isnan("val_rmse") & ~F.isnan(threshold)
+    better = F.coalesce(known & (F.col("val_rmse") < threshold), F.lit(False))
+    promote = F.when(no_champ, F.lit(True)).otherwise(better)
     reason = F.when(no_champ, F.lit("no_current_champion")).otherwise(
         F.format_string("new_rmse=%s threshold=%s", F.col("val_rmse").cast("string"), threshold.cast("string"))
     )
@@ -203,30 +164,22 @@ def check_promotable(decision: DataFrame) -> None:
     """Promotion of a run without a registered version is an error (one-row check)."""
     bad = decision.where(F.col("promote") & F.col("model_version").isNull()).select("candidate_name").take(1)
     if bad:
-        raise ValueError(f"Selected model has no model_version: {bad[0]['candidate_name']}")
-
-
-def seed_versions(split: DataFrame) -> DataFrame:
-    """Existing registry versions before this round: the mean-predictor champion (version 1)."""
-    return mean_predictor_champion(split).select("model_name", "model_version", "run_id")
+        raise ValueError(f"{bad[0]['candidate_name']} cannot be promoted: its run is not registered")
 
 
 def register_versions(versions: DataFrame, runs: DataFrame) -> DataFrame:
     """Give every run without a version the next version number of its model.
 
-    next = max(existing) + row_number() in candidate order; the runs are then
-    looked up by (model_name, run_id), as the registry would.
+    next = max(existing) + row_number() in candidate order.  The number is
+    looked up by run id among the versions of this write only, so a run id
+    that an earlier round used cannot multiply rows; a run that has a version keeps it.
     """
     latest = versions.groupBy("model_name").agg(F.max(F.col("model_version").cast("int")).alias("_max"))
     new = runs.where(F.col("model_version").isNull()).join(latest, "model_name", "left")
     w = Window.partitionBy("model_name").orderBy("ord", "run_id")
-    new = new.withColumn(
-        "model_version", (F.coalesce(F.col("_max"), F.lit(0)) + F.row_number().over(w)).cast("string")
-    ).drop("_max")
-    added = new.select("model_name", "model_version", "run_id")
-    all_versions = versions.select("model_name", "model_version", "run_id").unionByName(added)
-    looked_up = runs.drop("model_version").join(all_versions, ["model_name", "run_id"], "left")
-    return looked_up.select(*runs.columns)
+    next_version = (F.coalesce(F.col("_max"), F.lit(0)) + F.row_number().over(w)).cast("string")
+    return new.withColumn("model_version", next_version).select(*runs.columns).unionByName(
+        runs.where(F.col("model_version").isNotNull()))
 
 
 def set_alias(aliases: DataFrame, decision: DataFrame, alias: str = ALIAS) -> DataFrame:
@@ -238,8 +191,17 @@ def set_alias(aliases: DataFrame, decision: DataFrame, alias: str = ALIAS) -> Da
     return kept.unionByName(new)
 
 
-def run_metrics_map(runs: DataFrame) -> DataFrame:
-    """Metric and parameter bundles per run as map columns."""
+def run_metrics_map(runs: DataFrame, train_frac: float = 2.0 / 3.0, seed: int = 42) -> DataFrame:
+    """Metric and parameter bundles per run as map columns.
+
+    Parameters: what identifies the run, the split share, the seed, and the
+    candidate's configuration.
+    """
+    known = {c[0]: c for c in CANDIDATES}
+    of = lambda i: F.coalesce(*[
+        F.when(F.col("candidate_name") == n, F.lit(str(c[i]).lower() if isinstance(c[i], bool) else str(c[i]))) for n, c in known.items()])
+    config = {"train_frac": F.lit(str(round(train_frac, 6))), "random_state": F.lit(str(seed)), "depth": of(2),
+              "learning_rate": of(3), "use_ipc_parts": of(4)}
     return runs.select(
         "run_id", "candidate_name",
         F.create_map(
@@ -250,5 +212,6 @@ def run_metrics_map(runs: DataFrame) -> DataFrame:
             F.lit("candidate_name"), F.col("candidate_name"), F.lit("input_key"), F.col("input_key"),
             F.lit("training_last_month_resolved"), F.col("training_last_month_resolved"),
             F.lit("months_window"), F.col("months_window").cast("string"),
+            *[x for k, v in config.items() for x in (F.lit(k), v)],
         ).alias("params"),
     )

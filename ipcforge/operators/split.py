@@ -9,13 +9,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import broadcast_if_small
-from .months import sorted_months
+from .months import month_codes, sorted_months
 
 # Fixed value: share of the months used for training.
 TRAIN_FRAC = 2.0 / 3.0
-# Broadcast bound of the month dimension (a century of months is 1,200 rows).
-MAX_MONTH_ROWS = 100_000
 
 
 def month_split(long: DataFrame, train_frac: float = TRAIN_FRAC) -> DataFrame:
@@ -26,7 +23,7 @@ def month_split(long: DataFrame, train_frac: float = TRAIN_FRAC) -> DataFrame:
     from pyspark.sql import Window
 
     # Both windows run over the distinct month set only (one row per month).
-    with_n = sorted_months(long).withColumn("n_months", F.count(F.lit(1)).over(Window.partitionBy()))
+    with_n = sorted_months(month_codes(long)).withColumn("n_months", F.count(F.lit(1)).over(Window.partitionBy()))
     n_train = F.floor(F.col("n_months").cast("double") * F.lit(train_frac)).cast("int")
     return with_n.select(
         "bulletin_code",
@@ -40,14 +37,14 @@ def month_split(long: DataFrame, train_frac: float = TRAIN_FRAC) -> DataFrame:
 def split_long(long: DataFrame, train_frac: float = TRAIN_FRAC) -> DataFrame:
     """Long rows with a ``split`` column; NULL months get NULL (in neither side).
 
-    The month dimension has one row per distinct month code; it is broadcast
-    after a row-count check (so a month holding a third of the rows never
-    lands in one join task), with a plain shuffle join beyond the bound.
-    ``long`` should be a materialized table (parquet or checkpoint): it is
-    read once for the month set and once for the join.
+    A value that is not a six-digit code counts as missing.  The month
+    dimension is broadcast: its domain bounds it (``month_codes``), and a month
+    holding a third of the rows never lands in one join task.
+    ``long`` should be a written table: it is read once for the month set and
+    once for the join.
     """
     dim = month_split(long, train_frac).select("bulletin_code", "split")
-    return long.join(broadcast_if_small(dim, MAX_MONTH_ROWS), "bulletin_code", "left")
+    return long.join(F.broadcast(dim), "bulletin_code", "left")
 
 
 def split_filter(split: DataFrame, which: str) -> DataFrame:

@@ -2,11 +2,8 @@
 
 Plan shape: parsed documents --left join (application key)--> first AI line
 per suggestion file, then one projection routes every row (good / blank
-application number / malformed).  There is a single pass over the parsed
-documents and a single shuffle join.  Key-less error rows join on spread,
-non-matching keys; a hot application key is split by AQE on the shuffled
-path, or by :func:`doc_lst_join_hot_keys` where the suggestion side is not
-shuffled (bucketed table).
+application number / malformed).  Key-less error rows take part in no join;
+hot application keys are salted (:func:`doc_lst_join`).
 """
 
 from __future__ import annotations
@@ -33,7 +30,7 @@ from ..functions import (
     normalize_prefix,
     parse_ai_line,
 )
-from ..sources.xmldocs import parse_patent_xml, with_parse_status
+from ..sources.xmldocs import with_parse_status
 
 # Fixed value: error text of a document without application number.
 BLANK_APPLICATION_ERROR = "application_number is empty"
@@ -60,89 +57,58 @@ WIDE_COLUMNS = [f.name for f in WIDE_SCHEMA.fields]
 LIST_COLUMNS = ("expert_ipc_canon", "ai_ipc_raw", "ai_ipc_canon", "ai_scores")
 
 
-def doc_lst_join(docs: DataFrame, lst: DataFrame) -> DataFrame:
+# A key is split when it holds at least this share of the documents, so there
+# are at most as many such keys as its inverse, whatever the size of the data.
+HOT_SHARE = 10_000
+# Documents per salt of a split key.
+SALT_ROWS = 10_000
+
+
+def doc_lst_join(docs: DataFrame, lst: DataFrame, hot_share: int = HOT_SHARE, salt_rows: int = SALT_ROWS) -> DataFrame:
     """Documents (with ``application_key``) left-joined to their AI line.
 
     Inner-join semantics for the good documents come from the later
-    ``size(ai) > 0`` filter; error rows have a NULL key and pass through.
-    A NULL key would hash every error row of the window into one shuffle
-    partition, so those rows join on a per-document key that cannot match
-    (U+0000 never occurs in XML text) and spread like the others.
-    """
-    spread = F.concat(F.lit("\u0000"), F.col("source_file"))
-    d = docs.withColumn("_join_key", F.coalesce(F.col("application_key"), spread))
-    s = lst.select("application_key", "ai_line")
-    joined = d.join(s, d["_join_key"] == s["application_key"], "left")
-    return joined.drop(s["application_key"]).drop("_join_key")
-
-
-# Bound on the number of hot application keys whose suggestion lines are broadcast.
-MAX_HOT_KEYS = 10_000
-
-
-def doc_lst_join_hot_keys(docs: DataFrame, lst: DataFrame, hot_key_rows: int) -> DataFrame:
-    """J1 for inputs where one application number may carry a large share of the documents.
-
-    AQE splits a skewed partition only when both join sides are shuffled; a
-    bucketed suggestion table is not, so a hot key would sit in one task.
-    Here the keys with more than ``hot_key_rows`` documents are found by a
-    partial aggregate, their suggestion lines (one per key, at most
-    ``MAX_HOT_KEYS`` keys, checked) are broadcast, and the hot documents join
-    on a per-document key that cannot match, so they spread like error rows
-    and take their line from the broadcast side.  ``docs`` is read twice and
-    should be a materialized table.  Cost: besides the main join, the
-    hot-line lookup reads the suggestion table's two columns twice (size
-    check and broadcast build), without shuffling it.
+    ``size(ai) > 0`` filter; error rows have no key, take part in no join and
+    pass through.
+
+    A hot application number is salted: its documents are dealt over
+    ``ceil(n / salt_rows)`` salts, its line is repeated once per salt, and the
+    join is on (key, salt), so no task gets all of them, also when the
+    suggestion side is bucketed and not shuffled.  Hot keys are found by one
+    partial aggregate over the key column; only these keys (at most
+    ``hot_share``, by arithmetic) are broadcast, never lines.  ``docs`` is read
+    several times and should be a written table.
     """
-    from ..session import broadcast_if_small
-
     key = F.col("application_key")
-    hot = (
-        docs.where(key.isNotNull()).groupBy("application_key").count()
-        .where(F.col("count") > hot_key_rows).select(key.alias("_hot_key"))
-    )
-    hot_b = broadcast_if_small(hot, MAX_HOT_KEYS)
-    if hot_b is hot:
-        raise ValueError(f"more than {MAX_HOT_KEYS} hot application keys; raise hot_key_rows")
-    # Lines of the hot keys: a broadcast lookup into the suggestion table (no
-    # shuffle of it), one row per key; the bound is checked again before the
-    # lines themselves are broadcast.
-    hot_lines = (
-        lst.select(F.col("application_key").alias("_line_key"), F.col("ai_line").alias("_hot_line"))
-        .join(hot_b, F.col("_line_key") == F.col("_hot_key"), "inner")
-        .select("_line_key", "_hot_line")
-    )
-    lines_b = broadcast_if_small(hot_lines, MAX_HOT_KEYS)
-    if lines_b is hot_lines:
-        raise ValueError(f"more than {MAX_HOT_KEYS} suggestion lines for the hot application keys")
-    flagged = docs.join(hot_b, key == F.col("_hot_key"), "left").join(
-        lines_b, F.col("_hot_key") == F.col("_line_key"), "left"
-    )
-    is_hot = F.col("_hot_key").isNotNull()
-    spread = F.concat(F.lit("\u0000"), F.col("source_file"))
-    d = flagged.withColumn("_join_key", F.when(is_hot | key.isNull(), spread).otherwise(key))
-    s = lst.select(F.col("application_key").alias("_lst_key"), F.col("ai_line").alias("_lst_line"))
-    joined = d.join(s, F.col("_join_key") == F.col("_lst_key"), "left")
-    line = F.when(is_hot, F.col("_hot_line")).otherwise(F.col("_lst_line"))
-    return joined.select(*docs.columns, line.alias("ai_line"))
-
-
-def build_wide(parsed_docs: DataFrame, lst: DataFrame, lst_prefix: str = "lst/",
-               hot_key_rows: int | None = None) -> DataFrame:
+    keyed = docs.where(key.isNotNull())
+    counts = keyed.groupBy(key.alias("_hot_key")).agg(F.count(F.lit(1)).alias("_n"))
+    total = docs.count()  # of a written table: from its footers
+    hot = counts.where((F.col("_n") > salt_rows) & (F.col("_n") * hot_share >= total))
+    hot = F.broadcast(hot.select("_hot_key", F.ceil(F.col("_n") / salt_rows).cast("int").alias("_salts")))
+    lines = lst.select(F.col("application_key").alias("_line_key"), "ai_line")
+
+    cold = keyed.join(hot, key == F.col("_hot_key"), "left_anti").join(lines, key == F.col("_line_key"), "left")
+    dealt = keyed.join(hot, key == F.col("_hot_key")).withColumn(
+        "_salt", F.pmod(F.xxhash64("source_file"), F.col("_salts")).cast("int")).drop("_hot_key", "_salts")
+    copies = lines.join(hot, F.col("_line_key") == F.col("_hot_key")).select(
+        "_line_key", "ai_line", F.explode(F.sequence(F.lit(0), F.col("_salts") - 1)).alias("_line_salt"))
+    split = dealt.join(copies, (key == F.col("_line_key")) & (F.col("_salt") == F.col("_line_salt")), "left")
+    none = docs.where(key.isNull()).withColumn("ai_line", F.lit(None).cast("string"))
+    names = [*docs.columns, "ai_line"]
+    return cold.select(*names).unionByName(split.select(*names)).unionByName(none.select(*names))
+
+
+def build_wide(parsed_docs: DataFrame, lst: DataFrame, lst_prefix: str = "lst/") -> DataFrame:
     """Parsed documents + (application_key, ai_line) -> wide rows (native arrays).
 
     ``parsed_docs`` comes from :func:`parse_patent_xml` (bulletin_code,
     source_file, patent_number, application_number, bulletin_date, ipc_texts,
-    parse_error).  With ``hot_key_rows`` application keys with more documents
-    than that are split off (:func:`doc_lst_join_hot_keys`); the documents are
-    then read twice, so pass a materialized table (``prep_job`` does).
+    parse_error).  They are read twice (:func:`doc_lst_join`), so pass a
+    written table (``prep_job`` does).
     """
     prefix = normalize_prefix(lst_prefix)
     docs = with_parse_status(parsed_docs).withColumn("expert", expert_codes("ipc_texts"))
-    if hot_key_rows is None:
-        joined = doc_lst_join(docs, lst)
-    else:
-        joined = doc_lst_join_hot_keys(docs, lst, hot_key_rows)
+    joined = doc_lst_join(docs, lst)
     # good documents without any AI suggestion are dropped (cheap test
     # first, so the pushed-down filter does not repeat the parse).
     kept = joined.where((F.col("doc_status") != "ok") | has_ai_items("ai_line")).withColumn(
@@ -176,11 +142,6 @@ def build_wide(parsed_docs: DataFrame, lst: DataFrame, lst_prefix: str = "lst/",
     )
 
 
-def build_wide_from_documents(docs: DataFrame, lst: DataFrame, lst_prefix: str = "lst/") -> DataFrame:
-    """Raw (bulletin_code, source_file, xml) documents -> wide rows."""
-    return build_wide(parse_patent_xml(docs), lst, lst_prefix)
-
-
 def encode_wide(wide: DataFrame) -> DataFrame:
     """The four list columns flattened to '|'-joined strings."""
     return wide.select(
@@ -201,7 +162,8 @@ def decode_wide(wide: DataFrame) -> DataFrame:
         if c == "ai_scores":
             out.append(decode_score_list(c, types[c]).alias(c))
         elif c in LIST_COLUMNS:
-            out.append(decode_code_list(c, types[c]).alias(c))
+            # the suggestion lists stay aligned with their scores
+            out.append(decode_code_list(c, types[c], positional=c.startswith("ai_")).alias(c))
         else:
             out.append(F.col(c))
     return wide.select(*out)

@@ -26,22 +26,24 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.bulletin_documents(spark, sf_dir, lines(spark, sf_dir))
 
 
-def suggestion_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+def suggestion_lines(spark: SparkSession, sf_dir: str, all_orders: bool = False) -> DataFrame:
     """(application_key, ai_line): S4 applied to every derived suggestion file."""
-    files = tables.ai_files(lines(spark, sf_dir))
+    files = tables.ai_files(lines(spark, sf_dir), all_orders)
     return files.select("application_key", first_ai_line("text").alias("ai_line"))
 
 
+def parsed_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The parsed documents, written once: the document join reads them several times."""
+    return cut_lineage(parse_patent_xml(documents(spark, sf_dir)), "parsed_docs")
+
+
 def wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     """D6 on the derived documents and suggestion files (native list columns)."""
-    cl = lines(spark, sf_dir)
-    docs = tables.bulletin_documents(spark, sf_dir, cl)
-    files = tables.ai_files(cl).select("application_key", first_ai_line("text").alias("ai_line"))
-    return build_wide(parse_patent_xml(docs), files)
+    return build_wide(parsed_documents(spark, sf_dir), suggestion_lines(spark, sf_dir))
 
 
 def wide_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The wide table written once (as the prep job writes it), for plans that read it twice."""
+    """The wide table written once (as the prep job writes it)."""
     return cut_lineage(wide(spark, sf_dir), "wide")
 
 
@@ -49,6 +51,7 @@ def long(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wide_to_long(wide(spark, sf_dir))
 
 
-def long_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The long table materialized once (reliable checkpoint), for plans that read it twice."""
-    return cut_lineage(long(spark, sf_dir), "long")
+def long_table(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
+    """The named long columns (all if none) written once, for plans that read them twice."""
+    found = long(spark, sf_dir)
+    return cut_lineage(found.select(*columns) if columns else found, "long")

@@ -11,6 +11,8 @@ that the same plan reads.
 from __future__ import annotations
 
 import json
+import re
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,15 +22,15 @@ from ..functions import dataset_name
 from ..operators import months as month_ops
 from ..operators import registry as reg
 from ..operators.long import wide_to_long
-from ..operators.model import DEFAULT_MAX_ITER, train_candidates
+from ..operators.model import DEFAULT_MAX_ITER, DEFAULT_TOLERANCE, train_candidates
 from ..operators.split import split_long
 from ..operators.wide import build_wide, encode_wide
-from ..session import cut_lineage, materialize, remove_path
+from ..session import materialize, remove_path
 from ..sources.files import list_object_keys, scan_bulletin_documents, scan_lst
 
 RUNS_SCHEMA = (
     "candidate_name string, ord int, run_id string, model_name string, model_version string, "
-    "val_rmse double, val_mae double, n_train long, n_val long, model_key string, input_key string, "
+    "val_rmse double, val_mae double, n_train long, n_val long, model_key string, meta_key string, input_key string, "
     "training_last_month_resolved string, months_window int, n_trees int"
 )
 REGISTRY_SCHEMA = (
@@ -55,18 +57,17 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 
 def resolve_or_raise(available: DataFrame, requested: str, what: str) -> str:
-    """F6 with the reference's three errors, from a one-row status result."""
+    """the resolved month, or an error that says why there is none."""
     req = available.sparkSession.createDataFrame([(requested,)], "requested string")
     row = month_ops.resolve_month(available, req).first()
     if row["status"] == "no_data":
-        raise ValueError(f"No {what} found under given prefix")
+        raise ValueError(f"there are no {what} to choose a month from")
     if row["status"] == "bad_format":
-        raise ValueError("training_last_month must be either 'last' or explicit YYYYMM")
+        raise ValueError(f"the month must be 'last' or six digits, not {requested!r}")
     if row["status"] == "not_found":
-        raise ValueError(
-            f"Requested training_last_month={requested} not found. "
-            f"Available range: {row['first_month']}..{row['last_month']}"
-        )
+        raise ValueError(f"month {requested} is not among the {what}, which go from {row['first_month']} to {row['last_month']}")
+    if not re.fullmatch("[0-9]{4}(0[1-9]|1[0-2])", row["resolved"]):
+        raise ValueError(f"{row['resolved']} is not a calendar month")
     return row["resolved"]
 
 
@@ -83,78 +84,107 @@ class PrepResult:
 
 def prep_job(spark: SparkSession, pub_dir: str, lst_source: str | DataFrame, out_dir: str,
              training_last_month: str, months: int, lst_prefix: str = "lst/",
-             encode: bool = True, hot_key_rows: int | None = None) -> PrepResult:
+             encode: bool = True) -> PrepResult:
     """O4 -> F1 -> S1/S2 -> D6 -> K1.
 
     ``lst_source`` is a directory of ``*.LST`` files or an already compacted
-    (application_key, ai_line) DataFrame (see ``ingest_lst``).  Set
-    ``hot_key_rows`` when one application number may hold many documents and
-    the suggestion table is bucketed (see ``build_wide``).
+    (application_key, ai_line) DataFrame (see ``ingest_lst``).  The dataset is
+    written beside its place and moved there when it is complete and has rows;
+    a failing or empty run leaves an earlier dataset as it is.
     """
     keys = list_object_keys(spark, pub_dir, "*.zip")
     available = month_ops.list_bulletins(keys, "")
-    resolved = resolve_or_raise(available, training_last_month, "bulletin ZIPs")
+    resolved = resolve_or_raise(available, training_last_month, "bulletin archives")
     start = spark.createDataFrame([(resolved,)], "last_month string")
     window = month_ops.month_window(start, months)
     window_codes = [r["bulletin_code"] for r in window.orderBy("pos").collect()]  # n scalars
-    docs = scan_bulletin_documents(spark, pub_dir, window)
     lst = scan_lst(spark, lst_source) if isinstance(lst_source, str) else lst_source
-    docs_path = None
-    if hot_key_rows is not None:
-        # The hot-key split reads the documents twice: parse them once.
-        docs, docs_path = materialize(docs, "parsed_docs")
-    wide = build_wide(docs, lst, lst_prefix, hot_key_rows=hot_key_rows)
-    out = encode_wide(wide) if encode else wide
-    path = _join(out_dir, f"ipc_with_ai_{resolved}_last_{months}.parquet")
-    # Written once; the row count then comes from the parquet footers, not a
-    # second pass over the archives.  No rows at all -> nothing is kept.
+    path = _join(out_dir, dataset_file(spark, resolved, months))
+    staged = _join(out_dir, f"_staged-{uuid.uuid4().hex}")
+    # The document join reads the documents several times: parse them once.
+    docs, docs_path = materialize(scan_bulletin_documents(spark, pub_dir, window), "parsed_docs")
     try:
-        out.write.mode("overwrite").parquet(path)
+        wide = build_wide(docs, lst, lst_prefix)
+        (encode_wide(wide) if encode else wide).write.parquet(staged)
+        n = spark.read.parquet(staged).count()  # from the footers
+        if n:
+            _replace(spark, staged, path)
     finally:
-        if docs_path:
-            remove_path(spark, docs_path)
-    n = spark.read.parquet(path).count()
-    if n == 0:
-        p, fs = _fs(spark, path)
-        fs.delete(p, True)
-        return PrepResult(resolved, window_codes, None, 0)
-    return PrepResult(resolved, window_codes, path, n)
+        remove_path(spark, docs_path)
+        remove_path(spark, staged)
+    return PrepResult(resolved, window_codes, path if n else None, n)
+
+
+def dataset_file(spark: SparkSession, last_month: str, months: int) -> str:
+    """K2 for one month."""
+    return spark.range(1).select(dataset_name(F.lit(last_month), months).alias("n")).first()["n"]
+
+
+def _replace(spark: SparkSession, staged: str, path: str) -> None:
+    """Put a complete folder in the place of another, which goes last."""
+    old = f"{path}.old-{uuid.uuid4().hex}"
+    (src, fs), (dst, _), (gone, _) = (_fs(spark, p) for p in (staged, path, old))
+    had = bool(fs.exists(dst))
+    if had and not fs.rename(dst, gone):
+        raise OSError(f"cannot move {path} aside")
+    if not fs.rename(src, dst):
+        if had:
+            fs.rename(gone, dst)
+        raise OSError(f"cannot move {staged} to {path}")
+    if had:
+        fs.delete(gone, True)
+
+
+TRAINING_COLUMNS = ["application_number", "bulletin_code", "expert_ipc_canon", "ai_ipc_canon", "ai_scores"]
 
 
 def read_wide(spark: SparkSession, path: str) -> DataFrame:
-    """Read a prepared dataset (native or '|'-encoded lists)."""
-    return spark.read.parquet(path)
+    """Read a prepared dataset (native or '|'-encoded lists); a missing training column is an error."""
+    wide = spark.read.parquet(path)
+    missing = [c for c in TRAINING_COLUMNS if c not in wide.columns]
+    if missing:
+        raise ValueError(f"{path} lacks the columns {missing}")
+    return wide
 
 
 # ---------------------------------------------------------------- train
 
 
+def list_folder_keys(spark: SparkSession, base: str) -> DataFrame:
+    """Names one level below ``base`` (datasets, not their part files)."""
+    p, fs = _fs(spark, base)
+    names = [st.getPath().getName() for st in fs.listStatus(p)] if fs.exists(p) else []
+    return spark.createDataFrame([(n,) for n in names], "key string")
+
+
 def train_job(spark: SparkSession, data_dir: str, models_dir: str, training_last_month: str, months: int,
-              max_iter: int = DEFAULT_MAX_ITER, candidates: list[str] | None = None) -> DataFrame:
+              max_iter: int = DEFAULT_MAX_ITER, candidates: list[str] | None = None,
+              model_name: str = reg.MODEL_NAME, tolerance: float | None = DEFAULT_TOLERANCE) -> DataFrame:
     """S6/F6 -> S7 -> D1 -> W2 -> P10 -> M1..M6 -> K3/K4/M7.
 
     One job trains all candidates over one split table written to the shared folder
     (removed after the fits).
     """
-    keys = list_object_keys(spark, data_dir)
-    available = month_ops.list_datasets(keys.select(F.regexp_replace("key", r"/.*$", "").alias("key")).distinct(), "")
-    resolved = resolve_or_raise(available, training_last_month, "parquet datasets")
-    name = spark.range(1).select(dataset_name(F.lit(resolved), months).alias("n")).first()["n"]
-    input_key = _join(data_dir, name)
+    available = month_ops.list_datasets(list_folder_keys(spark, data_dir), "")
+    resolved = resolve_or_raise(available, training_last_month, "prepared datasets")
+    input_key = _join(data_dir, dataset_file(spark, resolved, months))
     long = wide_to_long(read_wide(spark, input_key))
     split, split_path = materialize(split_long(long), "split")
     try:
-        runs = train_candidates(split, max_iter=max_iter, names=candidates, model_dir=models_dir,
-                                input_key=input_key, last_month=resolved, months_window=months)
+        runs = train_candidates(split, max_iter=max_iter, names=candidates, model_dir=models_dir, input_key=input_key,
+                                last_month=resolved, months_window=months, tolerance=tolerance, model_name=model_name)
         versions = read_table(spark, _join(models_dir, "versions"), VERSIONS_SCHEMA)
-        runs = cut_lineage(reg.register_versions(versions, runs), "runs")
+        # a few rows, kept as the job's result: one new folder per round
+        runs_path = _join(models_dir, "runs", f"round={uuid.uuid4().hex}")
+        reg.register_versions(versions, runs).write.parquet(runs_path)
     finally:
         # The split table is read by every fit and by nothing after them.
         remove_path(spark, split_path)
+    runs = spark.read.parquet(runs_path)
     new_versions = runs.select("model_name", "model_version", "run_id")
     write_table(versions.unionByName(new_versions), _join(models_dir, "versions"))
-    runs.write.mode("append").partitionBy("model_name").parquet(_join(models_dir, "runs"))
     write_results(runs, _join(models_dir, "results"))
+    write_meta(spark, runs)
     return runs
 
 
@@ -165,27 +195,39 @@ def write_results(runs: DataFrame, results_dir: str) -> None:
         one.coalesce(1).write.mode("overwrite").json(_join(results_dir, row["candidate_name"]))
 
 
+def write_meta(spark: SparkSession, runs: DataFrame) -> None:
+    """K3: metrics, parameters and model key of every candidate, one JSON file beside its model."""
+    maps = reg.run_metrics_map(runs).join(runs.select("run_id", "meta_key", "model_key", "model_name", "model_version"), "run_id")
+    for r in maps.collect():  # one row per candidate
+        meta = {k: r[k] for k in ("candidate_name", "run_id", "model_name", "model_version", "model_key")}
+        p, fs = _fs(spark, r["meta_key"])
+        fh = fs.create(p, True)
+        fh.write(bytearray(json.dumps(meta | {"metrics": dict(r["metrics"]), "config": dict(r["params"])}, sort_keys=True).encode()))
+        fh.close()
+
+
 def read_results(spark: SparkSession, results_dir: str, names: list[str] | None = None) -> DataFrame:
     """The named candidates' results; a missing one is an error."""
     names = names or [c[0] for c in reg.CANDIDATES]
     paths = [_join(results_dir, n) for n in names]
     missing = [p for p in paths if not path_exists(spark, p)]
     if missing:
-        raise FileNotFoundError(f"missing candidate results: {missing}")
+        raise FileNotFoundError(f"these candidates have no result yet: {missing}")
     return spark.read.schema(RUNS_SCHEMA).json(paths)
 
 
 # ---------------------------------------------------------------- versioned tables
 
 
-def _versions_of(spark: SparkSession, base: str) -> list[int]:
+def _versions_of(spark: SparkSession, base: str, complete: bool = True) -> list[int]:
+    """Version numbers below ``base``, ascending; with ``complete`` False those of crashed writes too."""
     p, fs = _fs(spark, base)
     if not fs.exists(p):
         return []
     out = []
     for st in fs.listStatus(p):
         nm = st.getPath().getName()
-        if nm.startswith("v=") and nm[2:].isdigit() and fs.exists(st.getPath().suffix("/_SUCCESS")):
+        if nm.startswith("v=") and nm[2:].isdigit() and (not complete or fs.exists(st.getPath().suffix("/_SUCCESS"))):
             out.append(int(nm[2:]))
     return sorted(out)
 
@@ -200,7 +242,7 @@ def read_table(spark: SparkSession, base: str, schema: str) -> DataFrame:
 
 def write_table(df: DataFrame, base: str) -> str:
     """Write the next version (never overwrites the version the plan reads)."""
-    vs = _versions_of(df.sparkSession, base)
+    vs = _versions_of(df.sparkSession, base, complete=False)  # a crashed write keeps its number
     path = _join(base, f"v={(vs[-1] + 1) if vs else 1}")
     df.write.mode("errorifexists").parquet(path)
     return path
@@ -216,6 +258,7 @@ def select_job(spark: SparkSession, models_dir: str, prod_dir: str, margin: str
     registry = read_table(spark, _join(prod_dir, "registry"), REGISTRY_SCHEMA)
     decision = reg.promotion_decision(best, registry, margin)
     d = decision.first()
+    # The keys of the result.
     result = {
         "best_new": {k: d[k] for k in runs.columns},
         "current_champion": None if d["champion_name"] is None else {
@@ -226,16 +269,18 @@ def select_job(spark: SparkSession, models_dir: str, prod_dir: str, margin: str
     }
     if d["promote"]:
         reg.check_promotable(decision)
-        aliases = read_table(spark, _join(prod_dir, "aliases"), ALIASES_SCHEMA)
-        write_table(reg.set_alias(aliases, decision), _join(prod_dir, "aliases"))
         # The candidate folder is rewritten by the next training round, so the
-        # promoted model is copied to its own versioned location first.
-        target = _join(prod_dir, "models", f"{d['model_name']}_v{d['model_version']}")
-        if d["model_key"] and path_exists(spark, d["model_key"]):
-            from pyspark.ml import PipelineModel
+        # promoted model gets its own versioned place.  The alias comes last:
+        # whoever follows it finds model and registry in place.
+        if not d["model_key"] or not path_exists(spark, d["model_key"]):
+            raise FileNotFoundError(f"the model to promote is not at {d['model_key']}")
+        from pyspark.ml import PipelineModel
 
-            PipelineModel.load(d["model_key"]).write().overwrite().save(target)
-        state = reg.rotate_slots(registry, decision.withColumn("model_key", F.lit(target)))
-        result["registry_path"] = write_table(state, _join(prod_dir, "registry"))
+        target = _join(prod_dir, "models", f"{d['model_name']}_v{d['model_version']}")
+        PipelineModel.load(d["model_key"]).write().overwrite().save(target)
+        PipelineModel.load(target)  # readable, or the promotion ends here
+        result["registry_path"] = write_table(reg.rotate_slots(registry, decision), _join(prod_dir, "registry"))
+        aliases = read_table(spark, _join(prod_dir, "aliases"), ALIASES_SCHEMA)
+        write_table(reg.set_alias(aliases, decision), _join(prod_dir, "aliases"))
         result["promoted_model_key"] = target
     return json.loads(json.dumps(result, default=str))

@@ -28,16 +28,26 @@ def get_session(app: str = "ipcforge", master: str | None = None, shuffle_partit
     b = SparkSession.builder.appName(app)
     if master:
         b = b.master(master)
-    b = b.config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
+    running = SparkSession.getActiveSession()
+    if running is None:
+        b = b.config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
+    spark = b.getOrCreate()
+    # set by the cluster, by spark-submit or by the user of a running session
+    given = {k for k, _ in spark.sparkContext.getConf().getAll()} | set(_set_in_session(spark))
     for k, v in DEFAULT_CONF.items():
-        b = b.config(k, v)
+        if k not in given:
+            spark.conf.set(k, v)
     if shuffle_partitions:
-        b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-    spark = b.getOrCreate()
+        spark.conf.set("spark.sql.shuffle.partitions", str(shuffle_partitions))
     ensure_checkpoint_dir(spark)
     return spark
 
 
+def _set_in_session(spark: SparkSession) -> list[str]:
+    """SQL settings that this session has a value of its own for."""
+    return [r["key"] for r in spark.sql("SET").collect()]
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Reliable checkpoint directory: ``spark.checkpoint.dir`` from the session.
 
@@ -83,6 +93,7 @@ def materialize(df: DataFrame, name: str = "stage") -> tuple[DataFrame, str]:
     spark = df.sparkSession
     path = shared_path(spark, "tables", f"{name}-{uuid.uuid4().hex}")
     df.write.parquet(path)
+    _written.append(path)
     return spark.read.parquet(path), path
 
 
@@ -91,27 +102,18 @@ def remove_path(spark: SparkSession, path: str) -> None:
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+    if path in _written:
+        _written.remove(path)
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast hint only behind a checked row bound; otherwise a normal join side.
-
-    The check scans at most ``max_rows + 1`` rows of an already small,
-    aggregated side (months, candidates), never the facts.
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+# Intermediate tables of this process that are still there.  A query returns a
+# plan that reads its tables, so only the caller knows when they can go.
+_written: list[str] = []
 
 
-def spread_for_cpu(df: DataFrame, *keys: str) -> DataFrame:
-    """Give a CPU-heavy per-row stage at least one task per core.
-
-    Only when the input has fewer partitions than the cluster has cores (a
-    single small file, say) the rows are hash-spread by ``keys``
-    (deterministic on retry); with many input splits this is a no-op, so no
-    shuffle is added at scale.  Use on scan-level frames only.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
-        return df
-    return df.repartition(cores, *keys) if keys else df.repartition(cores)
+def release_tables(spark: SparkSession) -> int:
+    """Delete all intermediate tables written by this process; call it when no plan reads them any more."""
+    paths = list(_written)
+    for path in paths:
+        remove_path(spark, path)
+    return len(paths)

@@ -21,6 +21,8 @@ MALFORMED_EVERY = 89
 BLANK_APPLICATION_EVERY = 97
 NO_AI_FILE_EVERY = 11
 UNSCORED_LINE = 7
+CODELESS_EVERY = 13
+CODELESS_ITEM = "20060101"
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -88,16 +90,16 @@ def _ordered_concat(item: Column, sep: str) -> Column:
     return F.array_join(F.transform(F.sort_array(collected), lambda x: x["v"]), sep)
 
 
-def ai_files(lines: DataFrame) -> DataFrame:
+def ai_files(lines: DataFrame, all_orders: bool = False) -> DataFrame:
     """(application_key, text): the suggestion file of every order with AI lines.
 
-    Orders whose key is a multiple of 11 have no file.  The text has a header
+    Orders whose key is a multiple of 11 have no file, unless ``all_orders``.  The text has a header
     line before the ``AI_IPC:`` line, like the real files.
     """
-    item = F.when(F.col("sc").isNull(), F.col("raw_code")).otherwise(
-        F.concat("raw_code", F.lit(" ("), "sc", F.lit("%)"))
-    )
-    ai = lines.where((F.col("l_returnflag") != "R") & (F.col("l_orderkey") % NO_AI_FILE_EVERY != 0))
+    # every 13th part gives an item that is a bare date: it has a score but no code
+    raw = F.when(F.col("l_partkey") % CODELESS_EVERY == 0, F.lit(CODELESS_ITEM)).otherwise(F.col("raw_code"))
+    item = F.when(F.col("sc").isNull(), raw).otherwise(F.concat(raw, F.lit(" ("), "sc", F.lit("%)")))
+    ai = lines.where((F.col("l_returnflag") != "R") & (F.lit(all_orders) | (F.col("l_orderkey") % NO_AI_FILE_EVERY != 0)))
     # Grouped by the text key itself: the join on application_key that
     # follows then reuses this hash partitioning instead of shuffling again.
     keyed = ai.withColumn("application_key", F.col("l_orderkey").cast("string"))
@@ -152,6 +154,11 @@ def bulletin_documents(spark: SparkSession, sf_dir: str, lines: DataFrame) -> Da
     return out
 
 
+def _later(code: Column) -> Column:
+    """The same month twenty years later."""
+    return F.concat((F.substr(code, F.lit(1), F.lit(4)).cast("int") + 20).cast("string"), F.substr(code, F.lit(5), F.lit(2)))
+
+
 def bulletin_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Object keys of a bulletin bucket, one or two per order, with junk names mixed in.
 
@@ -160,9 +167,10 @@ def bulletin_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
     code = month_code_of("o_orderdate")
     k = F.col("o_orderkey") % 7
+    later = _later(code)  # months that no valid key has: accepting such a key would show
     junk = (
-        F.when(k == 1, F.concat(F.lit("pub/x/"), code, F.lit(".zip")))
-        .when(k == 2, F.concat(F.lit("pub/"), code, F.lit(".ZIP")))
+        F.when(k == 1, F.concat(F.lit("pub/x/"), later, F.lit(".zip")))
+        .when(k == 2, F.concat(F.lit("pub/"), later, F.lit(".ZIP")))
         .when(k == 3, F.concat(F.lit("pub/"), F.substr(code, F.lit(1), F.lit(4)), F.lit(".zip")))
         .when(k == 4, F.concat(F.lit("pub/"), F.translate(code, "0123456789", "abcdefghij"), F.lit(".zip")))
         .when(k == 5, F.concat(F.lit("lst/"), F.col("o_orderkey").cast("string"), F.lit(".LST")))
@@ -177,13 +185,14 @@ def dataset_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
     code = month_code_of("o_orderdate")
     n = (F.col("o_orderkey") % 12 + 1).cast("string")
+    later = _later(code)
     k = F.col("o_orderkey") % 6
     key = (
         F.when(k == 0, F.concat(F.lit("dataprep/ipc_with_ai_"), code, F.lit("_last_"), n, F.lit(".parquet")))
         .when(k == 1, F.concat(F.lit("dataprep/ipc_with_ai_"), F.substr(code, F.lit(1), F.lit(4)), F.lit("_last_"), n, F.lit(".parquet")))
-        .when(k == 2, F.concat(F.lit("dataprep/ipc_with_ai_"), code, F.lit("_last_.parquet")))
-        .when(k == 3, F.concat(F.lit("dataprep/old/ipc_with_ai_"), code, F.lit("_last_"), n, F.lit(".parquet")))
-        .when(k == 4, F.concat(F.lit("dataprep/ipc_with_ai_"), code, F.lit("_last_"), n, F.lit(".csv")))
+        .when(k == 2, F.concat(F.lit("dataprep/ipc_with_ai_"), later, F.lit("_last_.parquet")))
+        .when(k == 3, F.concat(F.lit("dataprep/old/ipc_with_ai_"), later, F.lit("_last_"), n, F.lit(".parquet")))
+        .when(k == 4, F.concat(F.lit("dataprep/ipc_with_ai_"), later, F.lit("_last_"), n, F.lit(".csv")))
         .otherwise(F.concat(F.lit("dataprep/ipc_with_ai_"), code, F.lit("_last_"), n, F.lit(".parquet")))
     )
     return o.select(key.alias("key"))

@@ -3,7 +3,7 @@
 ``readStream`` over the archive folder (``binaryFile``, only the ``path``
 column, so archive bytes are not loaded by the source) picks up every new
 ``*.zip`` once; each micro-batch goes through the same operators as the
-batch job (member listing -> spread -> read + parse -> join with the
+batch job (range listing -> spread -> read + parse -> join with the
 suggestion table -> wide rows).
 The sink is ``foreachBatch`` writing each epoch to its own folder with
 overwrite, so a retried epoch rewrites the same files (idempotent) and the
@@ -18,8 +18,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.wide import build_wide, encode_wide
-from ..session import shared_path
-from ..sources.files import archive_members, read_archive_documents
+from ..session import materialize, remove_path, shared_path
+from ..sources.files import archive_ranges, read_archive_documents
 
 # Fixed value: the schema of Spark's binaryFile source.
 BINARY_FILE_SCHEMA = "path string, modificationTime timestamp, length long, content binary"
@@ -40,10 +40,13 @@ def archive_stream(spark: SparkSession, pub_dir: str, max_files_per_trigger: int
 
 def _process_batch(lst: DataFrame, out_path: str, lst_prefix: str, partitions: int, encode: bool):
     def run(batch: DataFrame, epoch_id: int) -> None:
-        docs = read_archive_documents(archive_members(batch), partitions)
-        wide = build_wide(docs, lst, lst_prefix)
-        out = encode_wide(wide) if encode else wide
-        out.write.mode("overwrite").parquet(f"{out_path.rstrip('/')}/epoch={epoch_id}")
+        docs, path = materialize(read_archive_documents(archive_ranges(batch), partitions), "parsed_docs")
+        try:
+            wide = build_wide(docs, lst, lst_prefix)
+            out = encode_wide(wide) if encode else wide
+            out.write.mode("overwrite").parquet(f"{out_path.rstrip('/')}/epoch={epoch_id}")
+        finally:
+            remove_path(batch.sparkSession, path)
 
     return run
 

@@ -9,8 +9,9 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
-from ipcforge.operators.model import best_iteration, train_regressor
-from ipcforge.operators.registry import candidate_config, mean_predictor_champion
+from entry_inputs import mean_predictor_champion, month_sums, split_sums
+from ipcforge.operators.model import train_regressor
+from ipcforge.operators.registry import candidate_config
 from ipcforge.operators.split import split_long
 from ipcforge.plans import derived
 from ipcforge.session import cut_lineage
@@ -30,7 +31,7 @@ def test_gbt_beats_mean_and_is_deterministic(spark):
     cfg = candidate_config("v1_reg_base")
     model, m1 = train_regressor(train, val, cfg, max_iter=8)
     _, m2 = train_regressor(train, val, cfg, max_iter=8)
-    mean_rmse = mean_predictor_champion(split).first()["val_rmse"]
+    mean_rmse = mean_predictor_champion(split_sums(month_sums(split))).first()["val_rmse"]
     assert m1["val_rmse"] < 0.5 * mean_rmse
     assert m1 == m2
     assert 1 <= m1["n_trees"] <= 8
@@ -43,10 +44,13 @@ def test_gbt_beats_mean_and_is_deterministic(spark):
     assert a.select(F.sum("prediction")).first()[0] == b.select(F.sum("prediction")).first()[0]
 
 
-def test_best_iteration_picks_minimum(spark):
+def test_validation_rows_decide_the_number_of_trees(spark):
+    """The kept trees are a prefix of the longer run, and no shorter run is better by the tolerance."""
     split = _learnable_split(spark)
     train, val = split.where("split = 'train'"), split.where("split = 'val'")
-    model, _ = train_regressor(train, val, candidate_config("v1_reg_no_ipc_parts"), max_iter=6, use_best_iteration=False)
-    filled = val.na.fill(0, ["ai_score"])
-    n, losses = best_iteration(model, filled)
-    assert len(losses) == 6 and losses[n - 1] == min(losses)
+    cfg = candidate_config("v1_reg_no_ipc_parts")
+    _, watched = train_regressor(train, val, cfg, max_iter=12, tolerance=0.01)
+    _, full = train_regressor(train, val, cfg, max_iter=12, tolerance=None)
+    assert full["n_trees"] == 12 and 1 <= watched["n_trees"] <= 12
+    _, same = train_regressor(train, val, cfg, max_iter=watched["n_trees"], tolerance=None)
+    assert same["val_rmse"] == watched["val_rmse"]

@@ -13,6 +13,7 @@ from ipcforge.operators.long import label_distribution_by_month, wide_to_long
 from ipcforge.operators.split import split_long
 from ipcforge.operators.wide import encode_wide
 from ipcforge.plans import derived
+from ipcforge.sources.xmldocs import parse_patent_xml
 
 
 def _plan(df) -> str:
@@ -62,8 +63,10 @@ def test_month_dimension_is_broadcast(spark, wide_path):
 
 
 def test_xml_parse_is_the_only_python_step(spark):
+    parsed = _plan(parse_patent_xml(derived.documents(spark, SF_SMALL)))
+    assert parsed.count("MapInPandas") == 1 and "BatchEvalPython" not in parsed
     plan = _plan(derived.wide(spark, SF_SMALL))
-    assert plan.count("MapInPandas") == 1
+    assert "MapInPandas" not in plan  # the join reads the parsed documents written
     assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
 
 
@@ -92,3 +95,19 @@ def test_window_filter_does_not_shuffle_rows_by_month(spark):
     df.collect()
     plan = _plan(df)
     assert "BroadcastHashJoin" in plan and "LeftSemi" in plan
+
+
+def test_match_operators_are_narrow(spark, wide_path):
+    from ipcforge.operators.long import exact_match_semi, main_match_semi, unmatched_anti
+
+    wide = spark.read.parquet(wide_path)
+    for op in (exact_match_semi, main_match_semi, unmatched_anti):
+        assert "Exchange" not in _plan(op(wide))
+
+
+def test_registry_queries_scan_one_small_table(spark):
+    import __spark_entry__ as E
+
+    for name in ("set_alias", "rotate_slots", "promotion_decision"):
+        plan = _plan(E.queries()[name](spark, SF_SMALL))
+        assert "lineitem" not in plan and plan.count("FileScan") <= 8, name

@@ -9,12 +9,12 @@ from ipcforge.plans.jobs import REGISTRY_SCHEMA
 
 
 def _runs(spark, rmses):
-    rows = [(name, ord_, f"run{ord_}", reg.MODEL_NAME, str(ord_ + 1), r, 0.1, 10, 5, f"m/{name}", "in", "202603", 10)
+    rows = [(name, ord_, f"run{ord_}", reg.MODEL_NAME, str(ord_ + 1), r, 0.1, 10, 5, f"m/{name}", f"m/{name}_meta.json", "in", "202603", 10)
             for (name, ord_, *_), r in zip(reg.CANDIDATES, rmses)]
     return spark.createDataFrame(
         rows,
         "candidate_name string, ord int, run_id string, model_name string, model_version string, val_rmse double, "
-        "val_mae double, n_train long, n_val long, model_key string, input_key string, "
+        "val_mae double, n_train long, n_val long, model_key string, meta_key string, input_key string, "
         "training_last_month_resolved string, months_window int",
     )
 
@@ -86,6 +86,24 @@ def test_versions_and_alias(spark):
     assert out == {"airflow": "5", "other": "2"}
 
 
+def test_same_run_id_in_an_earlier_round_does_not_multiply_rows(spark):
+    from pyspark.sql import functions as F
+
+    runs = _runs(spark, [0.2, 0.3, 0.4]).withColumn("model_version", F.lit(None).cast("string"))
+    versions = spark.createDataFrame([], "model_name string, model_version string, run_id string")
+    for first in (1, 4, 7):
+        got = reg.register_versions(versions, runs)
+        assert sorted(int(r["model_version"]) for r in got.collect()) == [first, first + 1, first + 2]
+        versions = versions.unionByName(got.select("model_name", "model_version", "run_id"))
+
+
+def test_nan_and_two_champions(spark):
+    runs = _runs(spark, [0.30, 0.31, 0.32])
+    assert reg.promotion_decision(reg.best_candidate(runs), _registry(spark, float("nan"))).first()["promote"] is False
+    twice = _registry(spark, 0.31).unionByName(_registry(spark, 0.2).where("slot = 'champion'"))
+    assert reg.promotion_decision(reg.best_candidate(runs), twice).count() == 1
+
+
 def test_unknown_candidate():
     with pytest.raises(ValueError):
         reg.candidate_config("nope")

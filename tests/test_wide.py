@@ -5,8 +5,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ipcforge.operators.long import wide_to_long
-from ipcforge.operators.wide import WIDE_COLUMNS, build_wide_from_documents, decode_wide, encode_wide
-from ipcforge.sources.xmldocs import parse_document
+from ipcforge.operators.wide import WIDE_COLUMNS, build_wide, decode_wide, encode_wide
+from ipcforge.session import cut_lineage
+from ipcforge.sources.xmldocs import parse_document, parse_patent_xml
+
+
+def build_wide_from_documents(docs, lst):
+    return build_wide(cut_lineage(parse_patent_xml(docs)), lst)
 
 
 def _doc(app: str | None, codes: list[str | None], extra: str = "") -> str:
@@ -95,26 +100,33 @@ def test_error_rows_spread_over_join_partitions(spark):
     assert max(r["count"] for r in per_part) < 3990 / 2
 
 
-def test_hot_key_join_matches_plain_join(spark):
-    """One application key holding most documents: same rows, spread over tasks."""
-    from ipcforge.operators.wide import doc_lst_join, doc_lst_join_hot_keys
-
-    docs = spark.range(6000).select(
+def _hot_docs(spark):
+    return spark.range(6000).select(
         F.concat(F.col("id").cast("string"), F.lit("/Document.xml")).alias("source_file"),
         F.when(F.col("id") % 50 == 0, F.lit(None))
         .when(F.col("id") < 4000, F.lit("HOT"))
         .otherwise((F.col("id") % 300).cast("string"))
         .alias("application_key"),
     )
-    lst = spark.createDataFrame(
+
+
+def _hot_lines(spark):
+    return spark.createDataFrame(
         [("HOT", "AI_IPC:hot")] + [(str(i), f"AI_IPC:{i}") for i in range(0, 300, 2)],
         "application_key string, ai_line string",
     )
-    plain = doc_lst_join(docs, lst)
+
+
+def test_hot_key_join_matches_plain_join(spark):
+    """One application key holding most documents: same rows, spread over tasks."""
+    from ipcforge.operators.wide import doc_lst_join
+
+    docs, lst = _hot_docs(spark), _hot_lines(spark)
+    plain = docs.join(lst, "application_key", "left").select("source_file", "application_key", "ai_line")
     old = spark.conf.get("spark.sql.adaptive.enabled")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        hot = doc_lst_join_hot_keys(docs, lst, hot_key_rows=1000)
+        hot = doc_lst_join(docs, lst, salt_rows=500)
         assert hot.columns == plain.columns
         assert hot.exceptAll(plain).count() == 0 and plain.exceptAll(hot).count() == 0
         per_part = hot.where(F.col("application_key") == "HOT").groupBy(F.spark_partition_id()).count().collect()
@@ -122,3 +134,24 @@ def test_hot_key_join_matches_plain_join(spark):
         spark.conf.set("spark.sql.adaptive.enabled", old)
     assert sum(r["count"] for r in per_part) == 3920
     assert max(r["count"] for r in per_part) < 3920 / 2
+
+
+def test_any_number_of_keys_may_be_hot(spark):
+    """Every key counts as hot, far more than any fixed bound would allow."""
+    from ipcforge.operators.wide import doc_lst_join
+
+    docs = spark.range(30000).select(
+        F.concat(F.col("id").cast("string"), F.lit("/Document.xml")).alias("source_file"),
+        (F.col("id") % 12000).cast("string").alias("application_key"))
+    lst = spark.range(12000).select(F.col("id").cast("string").alias("application_key"), F.concat(F.lit("AI_IPC:"), "id").alias("ai_line"))
+    got = doc_lst_join(docs, lst, hot_share=10**6, salt_rows=1)
+    assert got.where("ai_line = concat('AI_IPC:', application_key)").count() == got.count() == 30000
+
+
+def test_codeless_item_keeps_scores_with_their_codes(spark):
+    """An item that is only a date has a score and no code; both list forms give the same long rows."""
+    df = spark.createDataFrame([("202603", "a/Document.xml", _doc("77", ["B01K 1/00"]))], "bulletin_code string, source_file string, xml string")
+    lst = spark.createDataFrame([("77", "AI_IPC:20060101 (50%);B01K 1/00 (9%)")], "application_key string, ai_line string")
+    wide = build_wide_from_documents(df, lst)
+    for form in (wide, encode_wide(wide), decode_wide(encode_wide(wide))):
+        assert [(r["rank"], r["ipc_code"], r["ai_score"]) for r in wide_to_long(form).collect()] == [(1, "B01K 1/00", 9.0)]
