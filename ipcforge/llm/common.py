@@ -52,6 +52,30 @@ def worker_state(name: str, make: Callable[[], object]) -> object:
     return getattr(holder, name)
 
 
+class RecentCache:
+    """A bounded cache in two generations: entries that are not asked for again leave with the older one."""
+
+    def __init__(self, limit: int):
+        self.limit = limit
+        self.young: dict = {}
+        self._old: dict = {}
+
+    def turn(self) -> None:
+        """Begin a new generation when the young one is full."""
+        if len(self.young) > self.limit:
+            self._old, self.young = self.young, {}
+
+    def missing(self, keys: set) -> list:
+        """The keys that have no entry; all others are in ``young`` afterwards."""
+        young, old, new = self.young, self._old, []
+        for key in keys.difference(young):
+            if key in old:
+                young[key] = old[key]
+            else:
+                new.append(key)
+        return new
+
+
 def text_buffer(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """UTF-8 bytes of a string column and the n+1 byte offsets of its rows (null: empty)."""
     if isinstance(col, pa.ChunkedArray):
@@ -66,7 +90,7 @@ def text_buffer(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0]: offsets[-1]], offsets - offsets[0]
 
 
-def slices(offsets: np.ndarray, most: int = 1 << 20, rows: int = 1 << 30) -> Iterator[tuple[int, int]]:
+def slices(offsets: np.ndarray, most: int = 1 << 19, rows: int = 1 << 30) -> Iterator[tuple[int, int]]:
     """Row ranges whose texts hold about ``most`` bytes in at most ``rows`` rows (at least one row each)."""
     lo, n = 0, len(offsets) - 1
     while lo < n:

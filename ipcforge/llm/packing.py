@@ -28,6 +28,7 @@ import os
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
+from struct import pack as pack_ids
 
 import numpy as np
 import pyarrow as pa
@@ -35,10 +36,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialize, worker_state
+from .common import RecentCache, materialize, worker_state
 
 CAPACITY = 2048
-CACHE_WORDS = 2_000_000  # words kept per Python worker; the cache starts anew beyond it
+CACHE_WORDS = 300_000  # words per generation of a Python worker's cache (about 60 MB)
+MARKS = b".,!?;:%$&#*"  # ASCII marks that form tokens apart from letters
 SPECIAL = (b"<|startoftext|>", b"<|endoftext|>")
 
 
@@ -61,24 +63,28 @@ class WordCoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        coder = Tokenizer.from_file(path)
-        self._batch = getattr(coder, "encode_batch_fast", coder.encode_batch)
-        self._words: dict[bytes, bytes] = {}
+        self._coder = Tokenizer.from_file(path)
+        self._batch = getattr(self._coder, "encode_batch_fast", self._coder.encode_batch)
+        self._cache = RecentCache(CACHE_WORDS)
 
     def _encode(self, found: list[str]) -> list[bytes]:
-        return [np.asarray(e.ids, "<u4").tobytes() for e in self._batch(found, add_special_tokens=False)]
+        return [pack_ids(f"<{len(e.ids)}I", *e.ids) for e in self._batch(found, add_special_tokens=False)]
 
     def ids(self, texts: list[bytes]) -> list[bytes]:
-        if len(self._words) > CACHE_WORDS:
-            self._words.clear()
-        words = self._words
-        split = [(t.lower() if t.isascii() else t).split() for t in texts]
-        new = list(set().union(*split).difference(words))
-        words.update(zip(new, self._encode([w.decode() for w in new])))
+        whole = {i for i, t in enumerate(texts) if b"<|" in t and any(s in t for s in SPECIAL)}
+        split = [() if i in whole else (t.lower() if t.isascii() else t).split() for i, t in enumerate(texts)]
+        self._cache.turn()
+        new = self._cache.missing(set().union(*split))
+        words = self._cache.young
+        # marks behind a letter are a token of their own, so most new words are a known one with a mark
+        ends = [(w, core) for w in new if (core := w.rstrip(MARKS)) and core != w and core[-3:].decode(errors="ignore")[-1:].isalpha()]
+        parts = {core for _, core in ends} | {w[len(core):] for w, core in ends}
+        need = self._cache.missing(parts.union(new).difference([w for w, _ in ends]))
+        words.update(zip(need, self._encode([w.decode() for w in need])))
+        words.update((w, words[core] + words[w[len(core):]]) for w, core in ends)
         out = [b"".join(map(words.__getitem__, s)) for s in split]
-        whole = [i for i, t in enumerate(texts) if b"<|" in t and any(s in t for s in SPECIAL)]
-        for i, ids in zip(whole, self._encode([texts[i].decode() for i in whole])):
-            out[i] = ids
+        for i in whole:
+            out[i] = self._encode([texts[i].decode()])[0]
         return out
 
 
