@@ -241,7 +241,8 @@ def near_duplicates(docs: DataFrame, key_col: str = "doc_id", text_col: str = "t
     members = shared.select("id").distinct()
     sketches, sketches_path = materialize(
         feats.join(members, "id", "left_semi").select("id", "bands", *sketch).dropDuplicates(["id"]), "sketches")
-    texts, texts_path = materialize(docs.join(members, "id", "left_semi"), "texts")
+    # one plan at every size: whether few or many members, the texts are dealt by id
+    texts, texts_path = materialize(docs.join(members.hint("merge"), "id", "left_semi"), "texts")
 
     pairs, star_path = materialize(shared.where("id <> head").select("id", "head").distinct(), "star")
     degree = pairs.groupBy("head").agg(F.count(F.lit(1)).alias("n"))
@@ -294,7 +295,7 @@ def keep_first(docs: DataFrame, key_col: str = "doc_id", text_col: str = "text",
     """``docs`` without the near duplicates of a smaller key; rows without a key stay."""
     found = near_duplicates(docs.where(F.col(f"`{key_col}`").isNotNull()), key_col, text_col, width, percent)
     gone = found.where("id <> component").select(F.col("id").alias("__gone")).distinct()
-    return docs.join(gone, docs[key_col] == gone["__gone"], "left_anti")
+    return docs.join(gone.hint("merge"), docs[key_col] == gone["__gone"], "left_anti")  # one plan at every size
 
 
 def dedup_digest(docs: DataFrame) -> DataFrame:
