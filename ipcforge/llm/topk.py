@@ -47,10 +47,14 @@ class Node:
             self._split(points, centre, away)
 
     def _split(self, points: np.ndarray, centre: int, away: np.ndarray) -> None:
-        """Farthest points become centres until they cover the node at half its radius (or are ``FANOUT``)."""
+        """Farthest points become centres until they cover the node at half its radius.
+
+        There are ``FANOUT`` at most, and no more than full leaves would need.
+        """
         rows = self.rows
+        most = min(FANOUT, max(2, len(rows) // LEAF))
         centres, owner, least = [centre], np.zeros(len(rows), np.int64), away.copy()
-        while len(centres) < FANOUT and least.max() > self.radius / 2:
+        while len(centres) < most and least.max() > self.radius / 2:
             new = int(least.argmax())
             own = np.sqrt(((points[rows] - points[rows[new]]) ** 2).sum(1))
             owner[own < least] = len(centres)
@@ -75,7 +79,7 @@ class DualSearch:
         exact = biggest(self.queries) * biggest(self.points) * points.shape[1] < 2 ** 53
         self._left, self._right = (self.queries, self.points) if exact else (queries.astype(np.int64), points.astype(np.int64))
         kind = np.float64 if exact else np.int64
-        self._least = -np.inf if exact else np.iinfo(np.int64).min
+        self._least = -np.inf if exact else np.iinfo(np.int64).min + 1  # its negative exists
         self.scores = np.full((len(queries), k), self._least, kind)
         self.found = np.full((len(queries), k), np.iinfo(np.int64).max)
         self.leaf_pairs = self.pruned = 0
