@@ -41,7 +41,7 @@ LABELLERS = (
     ("no_function_words", 0.93, 0.85, 15),  # 1 - share of short plain words
     ("dirty_words", 0.50, 0.30, 5),  # words with two or more symbols
 )
-SAMPLE_DOCS = 8192
+SAMPLE_DOCS = 4096
 DIMENSIONS = 2048
 
 _byte = np.arange(256)
