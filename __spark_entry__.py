@@ -23,7 +23,6 @@ from ipcforge.functions import (  # noqa: E402
     code_parts,
     dataset_name,
     expert_codes,
-    first_ai_line,
     main_group_of,
     month_code_of,
     parse_ai_line,

@@ -65,7 +65,7 @@ def canonicalize_code(raw: Column | str, bind: bool = False) -> Column:
 
 
 def parse_ai_line(line: Column | str) -> Column:
-    """``'AI_IPC:A61K 31/00 (22.23%);X'`` -> array<struct<raw, canon, score>>.
+    """``'AI_IPC:G06F 17/30 (41.5%);X'`` -> array<struct<raw, canon, score>>.
 
     The payload starts after the first marker; items are split on ';', blank
     items are skipped; an item without a trailing ``(nn.nn%)`` keeps its whole

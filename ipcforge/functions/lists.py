@@ -25,7 +25,7 @@ def encode_code_list(arr: Column | str) -> Column:
 
 
 def encode_score_list(arr: Column | str) -> Column:
-    """array<double> -> '22.23|8.37|'; NULL scores become empty tokens."""
+    """array<double> -> '41.5|7.25|'; NULL scores become empty tokens."""
     as_text = F.transform(col_of(arr), lambda x: x.cast("string"))
     return F.coalesce(F.array_join(as_text, SEP, ""), F.lit(""))
 

@@ -6,7 +6,6 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 # Settings every job relies on; they are set only where the session does not
 # already define them, so a cluster's own configuration always wins.
