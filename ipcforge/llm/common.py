@@ -12,7 +12,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import materialize, remove_path, shared_path  # noqa: F401
+from ..session import materialize, remove_path  # noqa: F401
 
 # A key counts as hot when it holds at least this share of all rows, so there
 # are never more hot keys than its inverse: that bounds every broadcast below.

@@ -19,7 +19,6 @@ empty table gives an empty table.  Positions are code points, end exclusive.
 
 from __future__ import annotations
 
-import hashlib
 import re
 from collections.abc import Iterator
 
@@ -265,11 +264,3 @@ def pii_digest(docs: DataFrame) -> DataFrame:
         "doc_id", *[F.size(of(k)).cast("long").alias(f"n_{k}") for k in BASE],
         F.sha2(joined(of(*BASE)), 256).alias("base_sha256"), joined(F.col("pii_spans")).alias("spans"),
         *[F.size(of(k)).cast("long").alias(f"n_{k}") for k in KINDS[len(BASE):]])
-
-
-def digest_of(text: str | None) -> dict:
-    """The contract's columns of one text from :func:`find_pii` alone (tests)."""
-    spans = find_pii(text or "")
-    base = [s for s in spans if s[0] in BASE]
-    return {f"n_{k}": sum(s[0] == k for s in spans) for k in KINDS} | {
-        "base_sha256": hashlib.sha256(span_digest(base).encode()).hexdigest(), "spans": span_digest(spans)}
