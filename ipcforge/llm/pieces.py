@@ -36,10 +36,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import texts, worker_state
+from .common import RecentCache, texts, worker_state
 
 MARK = "▁"
-CACHE_PARTS = 2_000_000
+CACHE_PARTS = 400_000  # per generation of a Python worker's cache
 
 
 class Vocabulary:
@@ -48,8 +48,13 @@ class Vocabulary:
     def __init__(self, pieces: list[str], scores: list[float], plain: list[bool], byte_ids: list[int]):
         self.pieces = pieces
         self.table = {p: (s, i) for i, (p, s, ok) in enumerate(zip(pieces, scores, plain)) if ok}
-        # ids of pieces, and -1 for what only begins some
-        self.trie = {p[:n]: -1 for p in self.table for n in range(1, len(p))} | {p: i for p, (_, i) in self.table.items()}
+        # character -> (id or -1, the characters that may follow)
+        self.trie: dict[str, tuple[int, dict]] = {}
+        for p, (_, i) in sorted(self.table.items(), key=lambda x: len(x[0])):
+            level = self.trie
+            for c in p[:-1]:
+                level = level.setdefault(c, (-1, {}))[1]
+            level[p[-1]] = (i, level[p[-1]][1] if p[-1] in level else {})
         self.byte_ids = byte_ids
         self.fits: dict[int, bool] = {}  # answers of compatible()
         self.longest = max(map(len, self.table), default=1)
@@ -109,17 +114,18 @@ class StreamingViterbi:
         text, last, origin, v = self._text, self._last, self._from, self.v
         last += [None] * (len(text) + 1 - len(last))
         origin += [0] * (len(text) + 1 - len(origin))
-        trie, fits, n = v.trie.get, v.fits.get, len(text)
+        root, fits, n = v.trie, v.fits.get, len(text)
         for start in range(self._done, max(n if final else n - v.longest + 1, self._done)):
-            before = last[start] << 24
-            for end in range(start + 1, n + 1):
-                piece = trie(text[start:end])
-                if piece is None:
+            before, level = last[start] << 24, root
+            for end in range(start, n):
+                hit = level.get(text[end])
+                if hit is None:
                     break
-                if piece >= 0 and last[end] is None:
+                piece, level = hit
+                if piece >= 0 and last[end + 1] is None:
                     known = fits(before | piece)
                     if known or known is None and v.compatible(last[start], piece):
-                        last[end], origin[end] = piece, start
+                        last[end + 1], origin[end + 1] = piece, start
             if last[start + 1] is None:  # no piece: bytes
                 last[start + 1], origin[start + 1] = -1, start
             self._done = start + 1
@@ -134,9 +140,15 @@ class StreamingViterbi:
 
     def _ids(self, upto: int) -> list[int]:
         out: list[int] = []
-        for end in self._path(upto)[-2::-1]:
-            i = self._last[end]
-            out += [i] if i >= 0 else [self.v.byte_ids[b] for b in self._text[self._from[end]:end].encode()]
+        last, origin, end = self._last, self._from, upto
+        while end:
+            start, i = origin[end], last[end]
+            if i >= 0:
+                out.append(i)
+            else:
+                out += [self.v.byte_ids[b] for b in reversed(self._text[start:end].encode())]
+            end = start
+        out.reverse()
         return out
 
     def feed(self, text: str) -> list[int]:
@@ -174,7 +186,7 @@ class Coder:
 
     def __init__(self, vocabulary: Vocabulary):
         self.v = vocabulary
-        self._parts: dict[str, bytes] = {}
+        self._cache = RecentCache(CACHE_PARTS)
         self._search = StreamingViterbi(vocabulary)
         mark, brk = self.v.cut_before_mark, self.v.cut_at_break
         if mark and brk:
@@ -195,26 +207,26 @@ class Coder:
         cuts += [i for i in range(1, len(part)) if part[i - 1:i + 1] not in pairs]
         if len(cuts) == 1:
             return self._search_ids(part)
-        out = []
+        out, known = [], self._cache.young
         for start, end in zip(cuts, [*cuts[1:], len(part)]):
             own = part[start:end]
-            ids = self._parts.get(own)
+            ids = known.get(own)
             if ids is None:
-                ids = self._parts[own] = self._search_ids(own)
+                ids = known[own] = self._search_ids(own)
             out.append(ids)
         return b"".join(out)
 
     def _marked(self, text: str) -> bytes:
-        parts = self._parts
         cut = self._cut(text)
         try:
-            return b"".join(map(parts.__getitem__, cut))
+            return b"".join(map(self._cache.young.__getitem__, cut))
         except KeyError:
-            if len(parts) > CACHE_PARTS:
-                parts.clear()
-            for p in set(cut).difference(parts):
-                parts[p] = self._part(p)
-            return b"".join(map(parts.__getitem__, cut))
+            self._cache.turn()
+            new = self._cache.missing(cut)
+            known = self._cache.young
+            for p in new:
+                known[p] = self._part(p)
+            return b"".join(map(known.__getitem__, cut))
 
     def encode(self, text: str) -> bytes:
         """Ids as little-endian 32-bit integers."""
@@ -277,6 +289,14 @@ def encode(docs: DataFrame, path: str | None = None, text_col: str = "text", ids
     return docs.mapInArrow(run, schema)
 
 
+def _lists(col: pa.Array) -> Iterator[list[int]]:
+    """Python lists of a list column (null: empty)."""
+    flat = col.values.to_numpy(zero_copy_only=False)
+    ends = col.offsets.to_numpy()
+    known = col.is_valid().to_numpy(zero_copy_only=False)
+    return (flat[a:b].tolist() if k else [] for a, b, k in zip(ends[:-1], ends[1:], known))
+
+
 def decode(encoded: DataFrame, path: str | None = None, ids_col: str = "ids", out: str = "decoded") -> DataFrame:
     """``encoded`` plus the text of its ids (null: empty)."""
     path = path or model_path()
@@ -288,15 +308,33 @@ def decode(encoded: DataFrame, path: str | None = None, ids_col: str = "ids", ou
         for whole in batches:
             for at in range(0, whole.num_rows, 512):
                 batch = whole.slice(at, 512)
-                found = [coder.decode(x or ()) for x in batch.column(batch.schema.get_field_index(ids_col)).to_pylist()]
+                found = [coder.decode(x) for x in _lists(batch.column(batch.schema.get_field_index(ids_col)))]
                 yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.string())], [*batch.schema.names, out])
 
     return encoded.mapInArrow(run, schema)
 
 
-def pieces_digest(docs: DataFrame) -> DataFrame:
-    """doc_id, number and checksum of the ids, and whether decoding gives the text back."""
-    text = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    both = decode(encode(text))
-    return both.select("doc_id", F.size("ids").cast("long").alias("n_ids"), "ids_crc32",
-                       (F.col("decoded") == F.col("text")).alias("round_trip"))
+def pieces_digest(docs: DataFrame, path: str | None = None) -> DataFrame:
+    """doc_id, number and checksum of the ids, and whether decoding gives the text back.
+
+    Encoding and decoding share one pass, so the ids of the whole corpus stay in the workers.
+    """
+    path = path or model_path()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        coder = _coder(path)
+        for whole in batches:
+            for at in range(0, whole.num_rows, 512):
+                batch = whole.slice(at, 512)
+                n, crc, same = [], [], []
+                for text in texts(batch.column(1)):
+                    ids = coder.encode(text)
+                    n.append(len(ids) // 4)
+                    crc.append(zlib.crc32(ids))
+                    same.append(coder.decode(np.frombuffer(ids, "<i4").tolist()) == text)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0), pa.array(n, pa.int64()), pa.array(crc, pa.int64()), pa.array(same, pa.bool_())],
+                    ["doc_id", "n_ids", "ids_crc32", "round_trip"])
+
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
+        run, "doc_id long, n_ids long, ids_crc32 long, round_trip boolean")
