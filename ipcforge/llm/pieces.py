@@ -222,7 +222,7 @@ class Coder:
             return b"".join(map(self._cache.young.__getitem__, cut))
         except KeyError:
             self._cache.turn()
-            new = self._cache.missing(cut)
+            new = self._cache.missing(set(cut))
             known = self._cache.young
             for p in new:
                 known[p] = self._part(p)
