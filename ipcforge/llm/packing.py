@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 from .common import RecentCache, materialize, worker_state
 
 CAPACITY = 2048
-CACHE_WORDS = 300_000  # words per generation of a Python worker's cache (about 60 MB)
+CACHE_WORDS = 400_000  # words per generation of a Python worker's cache (about 80 MB)
 MARKS = b".,!?;:%$&#*"  # ASCII marks that form tokens apart from letters
 SPECIAL = (b"<|startoftext|>", b"<|endoftext|>")
 
