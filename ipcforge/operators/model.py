@@ -3,16 +3,16 @@
 Gradient-boosted trees (squared loss) on the long table's features; the
 categorical code parts go through ``StringIndexer`` (fit on train only,
 unseen values kept in an extra bucket) so the trees split them as nominal
-features.  Training watches the squared error on the validation rows, ends
-when a further tree does not lower it by ``tolerance`` any more, and keeps
-the prefix of trees with the lowest error; nothing is fitted twice.
+features.  A fit grows ``max_iter`` trees and keeps the prefix of them with the
+lowest squared error on the validation rows; nothing is fitted twice.  Only a
+caller who gives a ``tolerance`` above 0 lets the growth end earlier.
 """
 
 from __future__ import annotations
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import StringIndexer, VectorAssembler
-from pyspark.ml.regression import GBTRegressor
+from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -24,8 +24,8 @@ from .registry import CANDIDATES, MODEL_NAME, candidate_config, runs_from_metric
 SEED = 42
 # The most trees a fit may grow, the training library's own default; callers may lower it.
 DEFAULT_MAX_ITER = 1000
-# A further tree must lower the validation error by this share of it.
-DEFAULT_TOLERANCE = 0.001
+# Share of the validation error by which a further tree must lower it; 0: the growth does not end early.
+DEFAULT_TOLERANCE = 0.0
 MIN_BINS = 32
 IS_VALIDATION = "is_validation"
 
@@ -47,10 +47,25 @@ def _gbt(cfg: dict, max_iter: int, max_bins: int, target: str, tolerance: float
     )
 
 
+def best_prefix(gbt: GBTRegressionModel, val: DataFrame) -> GBTRegressionModel:
+    """M3: the first trees of ``gbt``, as many as give the lowest squared error on ``val`` (one pass for all prefixes)."""
+    errors = gbt.evaluateEachIteration(val, "squared")
+    n = min(range(len(errors)), key=errors.__getitem__) + 1
+    if n == len(errors):
+        return gbt
+    java, sc = gbt._java_obj, val.sparkSession.sparkContext
+    ml = sc._jvm.org.apache.spark.ml.regression
+    trees, weights = sc._gateway.new_array(ml.DecisionTreeRegressionModel, n), sc._gateway.new_array(sc._jvm.double, n)
+    for i, (tree, weight) in enumerate(zip(java.trees()[:n], java.treeWeights()[:n])):
+        trees[i], weights[i] = tree, weight
+    kept = ml.GBTRegressionModel(java.uid(), trees, weights, java.numFeatures())
+    return gbt._copyValues(GBTRegressionModel(kept))
+
+
 def _fit(rows: DataFrame, cfg: dict, max_iter: int, target: str, tolerance: float | None) -> PipelineModel:
     """Fit indexer -> assembler -> GBT on rows with the validation marker.
 
-    M3: with a ``tolerance`` the validation rows decide the number of trees.
+    M3: the validation rows decide the number of trees, with a ``tolerance`` above 0 while they grow.
     maxBins comes from the fitted label counts (>= the largest category
     count + the unseen bucket), no extra pass.
     """
@@ -64,8 +79,13 @@ def _fit(rows: DataFrame, cfg: dict, max_iter: int, target: str, tolerance: floa
         stages.append(indexer)
     assembler = VectorAssembler(inputCols=num + [f"{c}_idx" for c in cats], outputCol="features", handleInvalid="keep")
     stages.append(assembler)
-    prepared = PipelineModel(stages).transform(rows if tolerance is not None else train)
-    gbt = _gbt(cfg, max_iter, bins, target, tolerance).fit(prepared)
+    prepared = PipelineModel(stages).transform(rows)
+    if tolerance:
+        gbt = _gbt(cfg, max_iter, bins, target, tolerance).fit(prepared)
+    else:
+        gbt = _gbt(cfg, max_iter, bins, target, None).fit(prepared.where(~F.col(IS_VALIDATION)))
+        if tolerance is not None:
+            gbt = best_prefix(gbt, prepared.where(F.col(IS_VALIDATION)))
     return PipelineModel([*stages, gbt])
 
 
@@ -73,7 +93,7 @@ def train_regressor(train: DataFrame, val: DataFrame, cfg: dict, max_iter: int =
                     target: str = "y", tolerance: float | None = DEFAULT_TOLERANCE) -> tuple[PipelineModel, dict]:
     """M1+M2+M3+M4+M5: fit one candidate and evaluate it on the validation rows.
 
-    ``tolerance`` None grows exactly ``max_iter`` trees.
+    ``tolerance`` 0 grows ``max_iter`` trees and keeps the best prefix, None keeps all of them.
     """
     keep = lambda df, mark: project_features(df, cfg["use_ipc_parts"], target).withColumn(IS_VALIDATION, F.lit(mark))
     rows = fill_features(keep(train, False).unionByName(keep(val, True)))

@@ -54,3 +54,24 @@ def test_validation_rows_decide_the_number_of_trees(spark):
     assert full["n_trees"] == 12 and 1 <= watched["n_trees"] <= 12
     _, same = train_regressor(train, val, cfg, max_iter=watched["n_trees"], tolerance=None)
     assert same["val_rmse"] == watched["val_rmse"]
+
+
+def test_noisy_labels_do_not_end_the_fit(spark):
+    """The whole number of trees is grown by default, and the kept prefix is the best one."""
+    noise = F.pmod(F.xxhash64("patent_id", "rank"), F.lit(1000)) / 1000.0 - 0.5
+    split = cut_lineage(_learnable_split(spark).withColumn("y", F.col("y") + 4 * noise))
+    train, val = split.where("split = 'train'"), split.where("split = 'val'")
+    cfg = candidate_config("v1_reg_no_ipc_parts")
+    _, early = train_regressor(train, val, cfg, max_iter=15, tolerance=0.001)
+    _, m = train_regressor(train, val, cfg, max_iter=15)
+    assert early["n_trees"] < m["n_trees"] and m["val_rmse"] < early["val_rmse"]
+    # labels without signal: later trees only fit noise, a shorter prefix is the model, saved and read as such
+    split = cut_lineage(split.withColumn("y", 4 * noise))
+    train, val = split.where("split = 'train'"), split.where("split = 'val'")
+    model, m = train_regressor(train, val, cfg, max_iter=10)
+    _, full = train_regressor(train, val, cfg, max_iter=10, tolerance=None)
+    assert m["n_trees"] < full["n_trees"] == 10 and m["val_rmse"] < full["val_rmse"]
+    path = os.path.join(tempfile.mkdtemp(prefix="ipcforge-model-"), "m")
+    model.write().overwrite().save(path)
+    assert PipelineModel.load(path).stages[-1].getNumTrees == model.stages[-1].getNumTrees == m["n_trees"]
+    assert model.stages[-1].getMaxIter() == 10 and model.stages[-1].getLabelCol() == "y"
