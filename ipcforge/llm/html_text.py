@@ -41,7 +41,8 @@ BLOCKS = frozenset(
 SPACED = frozenset("br td th img wbr".split())
 DROPPED = frozenset(
     "head script style noscript template nav footer aside form button select textarea iframe object svg canvas audio video map menu dialog "
-    "search math".split())
+    "search math title".split())
+IN_HEAD = frozenset("base basefont bgsound head html link meta noframes noscript script style template title".split())
 CONTAINERS = frozenset("body div section td article main blockquote center html".split())
 LANDMARKS = frozenset(["article", "main"])
 CLOSED_BY = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"},
@@ -110,8 +111,14 @@ class _Lines(HTMLParser):
                 if self._stack[at][0] in within:
                     return
 
+    def _close_head(self) -> None:
+        """A head whose end tag is left out ends where the body begins."""
+        self._close(next(at for at, one in enumerate(self._stack) if one[0] == "head"))
+
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self._tags += 1
+        if self._open.get("head") and (tag == "body" or tag not in IN_HEAD and self._stack[-1][0] == "head"):
+            self._close_head()
         if tag in BLOCKS:
             self._flush()
             self._close_open({"p"}, CONTAINERS)
@@ -151,6 +158,8 @@ class _Lines(HTMLParser):
                     break
 
     def handle_data(self, data: str) -> None:
+        if self._dropped and self._stack[-1][0] == "head" and data.strip():
+            self._close_head()
         if not self._dropped:
             self._parts.append(data)
 

@@ -156,6 +156,10 @@ def test_main_text_of_the_pages(spark):
     ("<article><header><h1>T</h1></header><p>x &lt;y&gt;</p><ul><li>a<li>b</ul><div hidden>h</div></article>", "T\nx <y>\na\nb"),
     ("<div class=main><p>one<p class=ad>buy<p>two</div>", "one\ntwo"),
     ("<!-- c --><p>" + "a&nbsp;b \n c" + "</p><", "a b c\n<"),
+    ("<html><head><title>T</title><body><p>text", "text"),
+    ("<head><title>T</title><style>p {}</style><noscript><img src=x></noscript><script>1</script><p>text", "text"),
+    ("<head><meta charset=utf-8><title>T</title>plain text<p>more", "plain text\nmore"),
+    ("<!doctype html><title>A title</title><p>text", "text"),
 ])
 def test_main_text(page, want):
     assert html_text.main_text(page) == want
