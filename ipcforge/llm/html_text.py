@@ -4,7 +4,10 @@ The standard library's parser streams events into lines: one line per block
 element, with its text, the number of tags seen since the last line, the
 landmark (``article`` or ``main``) and the container it stands in, and whether an
 ancestor marks it as boilerplate (menus, headers, footers, sidebars, notices,
-adverts, forms, comments, scripts, styles, hidden parts).
+adverts, forms, comments, scripts, styles, hidden parts).  Words in class and id
+say nothing on headings and articles or after a word like ``has`` or ``no``; an
+element that only such a word or the tag ``form`` marks is a wrapper and stays when it holds most
+of the page's text, unless the page's main heading or landmark stands outside it.
 
 Each line's text-to-tag ratio is smoothed with a Gaussian over its
 neighbours; lines above the threshold (the smaller of mean and standard
@@ -40,7 +43,7 @@ BLOCKS = frozenset(
     "thead title tr ul".split())
 SPACED = frozenset("br td th img wbr".split())
 DROPPED = frozenset(
-    "head script style noscript template nav footer aside form button select textarea iframe object svg canvas audio video map menu dialog "
+    "head script style noscript template nav footer aside button select textarea iframe object svg canvas audio video map menu dialog "
     "search math title".split())
 IN_HEAD = frozenset("base basefont bgsound head html link meta noframes noscript script style template title".split())
 CONTAINERS = frozenset("body div section td article main blockquote center html".split())
@@ -52,54 +55,88 @@ MARKS = frozenset(
     "cookies disqus footer gdpr login masthead menu modal nav navbar navigation navi newsletter notice notices notification overlay pager "
     "pagination paywall popup promo promoted promotion recommended related reply replies respond search share sharing sidebar signup skip "
     "social sponsor sponsored subscribe subscription teaser toolbar topbar widget widgets".split())
+# Words before a mark that make it a word about the layout, and tags on which marks say nothing.
+LAYOUT = frozenset("has have is no non not show with without".split())
+UNMARKED = frozenset("html body main article h1 h2 h3 h4 h5 h6".split())
+HARD, SOFT = 1, 2  # boilerplate in any case; boilerplate unless it is a wrapper
+MOST = 0.6  # share of the page's text that makes a softly marked element a wrapper
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar".split())
 _TOKEN = re.compile(r"[A-Z]?[a-z0-9]+|[A-Z0-9]+")
 SIGMA = 1.0
 
 
+def _has_mark(value: str) -> bool:
+    """Whether a class or id has a word of ``MARKS`` that is not about the layout."""
+    for name in value.split():
+        words = [t.lower() for t in _TOKEN.findall(name)]
+        if not MARKS.isdisjoint(words) and LAYOUT.isdisjoint(words[:next(i for i, w in enumerate(words) if w in MARKS)]):
+            return True
+    return False
+
+
 class _Lines(HTMLParser):
     """Parser events to lines."""
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         self.lines: list[tuple[str, int, int, int]] = []  # text, tags, landmark (0 none), container
-        self._stack: list[tuple[str, bool, int, int]] = []  # tag, dropped, landmark, container
+        self._raw: list[tuple[list[tuple[int, str]], int, int, int]] = []  # lines with the soft mark (0 none) of every part
+        self._outer = [0]  # per soft mark the one around it
+        self._anchors: list[tuple[str, int]] = []  # tag and soft mark of main headings and landmarks
+        self._stack: list[tuple[str, bool, int, int, int]] = []  # tag, dropped, landmark, container, soft mark
         self._open: dict[str, int] = {}
-        self._parts: list[str] = []
+        self._parts: list[tuple[int, str]] = []
         self._tags = 0
         self._ids = 0
-        self._dropped, self._landmark, self._container = False, 0, 0
+        self._dropped, self._landmark, self._container, self._soft = False, 0, 0, 0
 
     def _flush(self) -> None:
         if self._parts:
-            text = " ".join("".join(self._parts).split())
+            self._raw.append((self._parts, self._tags, self._landmark, self._container))
             self._parts = []
-            if text:
-                self.lines.append((text, self._tags, self._landmark, self._container))
-                self._tags = 0
+            self._tags = 0
 
-    def _marked(self, tag: str, attrs: list[tuple[str, str | None]]) -> bool:
+    def _marked(self, tag: str, attrs: list[tuple[str, str | None]]) -> int:
         if tag in DROPPED or tag == "header" and not self._landmark:
-            return True
+            return HARD
+        mark = SOFT if tag == "form" else 0
         for name, value in attrs:
             if name in ("class", "id"):
-                if value and tag not in ("html", "body", "main") and not MARKS.isdisjoint(t.lower() for t in _TOKEN.findall(value)):
-                    return True
+                if value and tag not in UNMARKED and _has_mark(value):
+                    mark = SOFT
             elif name == "role":
                 if (value or "").strip().lower() in ROLES:
-                    return True
+                    return HARD
             elif name == "hidden" or name == "aria-hidden" and value == "true":
-                return True
+                return HARD
             elif name == "style" and value and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
-                return True
-        return False
+                return HARD
+        return mark
+
+    def _wrappers(self) -> list[bool]:
+        """Per soft mark whether its element is a wrapper, as are all marked ones around it; 0 is."""
+        chars = [0] * len(self._outer)
+        for parts, *_ in self._raw:
+            for soft, text in parts:
+                chars[soft] += sum(map(len, text.split()))
+        within = [[] for _ in self._outer]
+        for tag, soft in self._anchors:
+            within[soft].append(tag)
+        for soft in range(len(self._outer) - 1, 0, -1):
+            chars[self._outer[soft]] += chars[soft]
+            within[self._outer[soft]] += within[soft]
+        out = [True]
+        for soft in range(1, len(self._outer)):
+            own = "h1" in within[soft] or "main" in within[soft]
+            out.append(out[self._outer[soft]] and chars[soft] > MOST * chars[0] and (own or len(within[soft]) == len(within[0])))
+        return out
 
     def _close(self, at: int) -> None:
         """Close the element at this depth and all above it."""
         for tag, *_ in self._stack[at:]:
             self._open[tag] -= 1
         del self._stack[at:]
-        self._dropped, self._landmark, self._container = self._stack[-1][1:] if self._stack else (False, 0, 0)
+        self._dropped, self._landmark, self._container, self._soft = self._stack[-1][1:] if self._stack else (False, 0, 0, 0)
 
     def _close_open(self, tags: set[str], within: frozenset[str]) -> None:
         """Close the nearest open element of these tags that is not outside one of ``within``."""
@@ -123,21 +160,27 @@ class _Lines(HTMLParser):
             self._flush()
             self._close_open({"p"}, CONTAINERS)
         elif tag in SPACED and self._parts:
-            self._parts.append(" ")
+            self._parts.append((0, " "))
         if tag in CLOSED_BY:
             self._close_open(CLOSED_BY[tag], frozenset(["ul", "ol", "dl", "table", "select"]))
         if tag in VOID:
             return
-        dropped = self._dropped or (bool(attrs) or tag in DROPPED or tag == "header") and self._marked(tag, attrs)
-        landmark, container = self._landmark, self._container
+        mark = 0 if self._dropped else self._marked(tag, attrs)
+        dropped = self._dropped or mark == HARD
+        landmark, container, soft = self._landmark, self._container, self._soft
+        if mark == SOFT:
+            self._outer.append(soft)
+            soft = len(self._outer) - 1
+        if not dropped and (tag == "h1" or tag in LANDMARKS):
+            self._anchors.append((tag, soft))
         if tag in CONTAINERS:
             self._ids += 1
             container = self._ids
             if tag in LANDMARKS and not (landmark and tag == "main"):
                 landmark = self._ids
-        self._stack.append((tag, dropped, landmark, container))
+        self._stack.append((tag, dropped, landmark, container, soft))
         self._open[tag] = self._open.get(tag, 0) + 1
-        self._dropped, self._landmark, self._container = dropped, landmark, container
+        self._dropped, self._landmark, self._container, self._soft = dropped, landmark, container, soft
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         if tag in VOID:
@@ -161,11 +204,18 @@ class _Lines(HTMLParser):
         if self._dropped and self._stack[-1][0] == "head" and data.strip():
             self._close_head()
         if not self._dropped:
-            self._parts.append(data)
+            self._parts.append((self._soft, data))
 
     def close(self) -> None:
         super().close()
         self._flush()
+        stays, seen = self._wrappers(), 0
+        for parts, tags, landmark, container in self._raw:
+            seen += tags
+            text = " ".join("".join(text for soft, text in parts if stays[soft]).split())
+            if text:
+                self.lines.append((text, seen, landmark, container))
+                seen = 0
 
 
 def smooth(ratios: np.ndarray, sigma: float = SIGMA) -> np.ndarray:

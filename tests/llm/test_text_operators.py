@@ -160,6 +160,13 @@ def test_main_text_of_the_pages(spark):
     ("<head><title>T</title><style>p {}</style><noscript><img src=x></noscript><script>1</script><p>text", "text"),
     ("<head><meta charset=utf-8><title>T</title>plain text<p>more", "plain text\nmore"),
     ("<!doctype html><title>A title</title><p>text", "text"),
+    ("<div class='content has-sidebar'><p>text</p></div><div class='no-sidebar'><p>more</p></div>", "text\nmore"),
+    ("<article class='post social'><h1>T</h1><h2 id='related-work'>Related work</h2><p>text here</p><h2 id=search>Search</h2></article>",
+     "T\nRelated work\ntext here\nSearch"),
+    ("<form id=aspnetForm><nav>menu</nav><p>all of the text</p><div class=sidebar><p>aside</p></div></form><div>foot</div>",
+     "all of the text\nfoot"),
+    ("<div class='page social'><h1>Title</h1><p>" + "text " * 20 + "</p></div>", "Title\n" + ("text " * 20).strip()),
+    ("<h1>Title</h1><p>short text</p><div class=comments><p>" + "reply " * 20 + "</p></div>", "Title\nshort text"),
 ])
 def test_main_text(page, want):
     assert html_text.main_text(page) == want
