@@ -12,9 +12,9 @@ of the page's text, unless the page's main heading or landmark stands outside it
 Each line's text-to-tag ratio is smoothed with a Gaussian over its
 neighbours; lines above the threshold (the smaller of mean and standard
 deviation of the smoothed ratios) form the content clusters.  A cluster selects its region: its
-landmark where the page has one, else its container, so that short paragraphs
-and headings inside the region stay.  All lines of selected regions are kept whole,
-in page order.
+landmark where it stands in one, else its container, so that short paragraphs
+and headings inside the region stay; where landmarks hold most of the clusters' text,
+only they are selected.  All lines of selected regions are kept whole, in page order.
 
 Defined results: a null or empty page, or one without text outside
 boilerplate, gives an empty text; repeated rows give repeated results; an
@@ -238,12 +238,12 @@ def main_text(html: str | None) -> str:
         return ""
     ratios = smooth(np.array([len(text) / max(tags, 1) for text, tags, _, _ in lines]))
     content = ratios >= min(ratios.mean(), max(ratios.std(), 1e-9))
-    if any(landmark for _, _, landmark, _ in lines):
-        chosen = {line[2] for line, yes in zip(lines, content) if yes and line[2]}
-        chosen = chosen or {line[2] for line in lines if line[2]}
-        return "\n".join(line[0] for line in lines if line[2] in chosen)
-    chosen = {line[3] for line, yes in zip(lines, content) if yes}
-    return "\n".join(line[0] for line in lines if line[3] in chosen)
+    found = [line for line, yes in zip(lines, content) if yes]
+    inside = sum(len(text) for text, _, landmark, _ in found if landmark)
+    if 2 * inside > sum(len(text) for text, *_ in found):
+        found = [line for line in found if line[2]]
+    chosen = {line[2] or line[3] for line in found}  # landmarks are containers too: one numbering
+    return "\n".join(line[0] for line in lines if (line[2] or line[3]) in chosen)
 
 
 def with_main_text(pages: DataFrame, html_col: str = "html", text_col: str = "text") -> DataFrame:

@@ -166,6 +166,9 @@ def test_main_text_of_the_pages(spark):
     ("<form id=aspnetForm><nav>menu</nav><p>all of the text</p><div class=sidebar><p>aside</p></div></form><div>foot</div>",
      "all of the text\nfoot"),
     ("<div class='page social'><h1>Title</h1><p>" + "text " * 20 + "</p></div>", "Title\n" + ("text " * 20).strip()),
+    ("<div id=content><h1>T</h1>" + ("<p>" + "text " * 30 + "</p>") * 3 + "</div>" + "<article><a><b><i>card</i></b></a></article>" * 3,
+     "T\n" + "\n".join([("text " * 30).strip()] * 3)),
+    ("<div><p>one line of text</p></div><article>" + ("<p>" + "text " * 30 + "</p>") * 3 + "</article>", "\n".join([("text " * 30).strip()] * 3)),
     ("<h1>Title</h1><p>short text</p><div class=comments><p>" + "reply " * 20 + "</p></div>", "Title\nshort text"),
 ])
 def test_main_text(page, want):
