@@ -6,9 +6,9 @@
    all documents; there are at most 3 to the number of labellers) estimates
    each labeller's accuracy (hits and false alarms) and the share of low
    documents, without labels. The result is a posterior per pattern.
-3. The posteriors of a bounded sample (``SAMPLE_DOCS`` expected, chosen by a
-   hash of the key) train a hashed linear scorer in numpy, which scores all
-   documents and decides.
+3. The posteriors of a bounded sample (``SAMPLE_DOCS`` expected of the different
+   documents, chosen by a hash of key and text; a repeated row counts once) train a
+   hashed linear scorer in numpy, which scores all documents and decides.
 
 Defined results: a null or empty text gets no votes and a score from the
 bias alone, and is kept; repeated rows get equal scores; an empty table gives
@@ -166,19 +166,25 @@ _SCALE = 4.0  # of word features: shares of words, summed over three families
 
 
 def train(docs: DataFrame, key_col: str = "doc_id", text_col: str = "text", sample_docs: int = SAMPLE_DOCS) -> Model:
-    total = docs.count()
+    row = F.xxhash64(F.col(f"`{key_col}`"), F.col(f"`{text_col}`"))  # null keys differ by their texts
+    total = docs.agg(F.approx_count_distinct(row)).first()[0]
     cut = int(min(1.0, sample_docs / max(total, 1)) * (1 << 30))
-    chosen = F.pmod(F.xxhash64(F.col(f"`{key_col}`")), F.lit(1 << 30)) < cut
+    chosen = F.when(F.pmod(row, F.lit(1 << 30)) < cut, row)
     texts = docs.select(chosen.alias("chosen"), F.col(f"`{text_col}`").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        had = set()  # chosen rows of this task: no more than the sample has
         for batch in batches:
             data, offsets = text_buffer(batch.column(1))
-            chosen = batch.column(0).to_numpy(zero_copy_only=False)
+            first = np.zeros(batch.num_rows, bool)
+            for i in np.flatnonzero(batch.column(0).is_valid().to_numpy(zero_copy_only=False)):
+                h = batch.column(0)[i].as_py()
+                first[i] = h not in had
+                had.add(h)
             for lo, hi in slices(offsets, rows=512):
                 stats, words, doc, ids = statistics(data[offsets[lo]:offsets[hi]], offsets[lo:hi + 1] - offsets[lo])
                 pattern = votes(stats, words) @ _PLACES
-                rows = np.flatnonzero(chosen[lo:hi])
+                rows = np.flatnonzero(first[lo:hi])
                 cells = []
                 for i in rows:
                     x = np.bincount(ids[doc == i].ravel(), minlength=DIMENSIONS) * (_SCALE / max(words[i], 1))
@@ -188,14 +194,16 @@ def train(docs: DataFrame, key_col: str = "doc_id", text_col: str = "text", samp
                 kept, n = np.unique(pattern, return_counts=True)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.concatenate([kept, pattern[rows]])), pa.array(np.concatenate([n, np.zeros(len(rows), np.int64)])),
-                     pa.array([None] * len(kept) + cells, pa.binary())], ["pattern", "n", "x"])
+                     pa.array([None] * len(kept) + cells, pa.binary()),
+                     pa.concat_arrays([pa.nulls(len(kept), pa.int64()), batch.column(0).slice(lo, hi - lo).take(pa.array(rows))])],
+                    ["pattern", "n", "x", "row"])
 
     # counts per pattern of every slice, and the sample's dense features (8 KB each, the sample's bound)
-    found, path = materialize(texts.mapInArrow(run, "pattern long, n long, x binary"), "votes")
+    found, path = materialize(texts.mapInArrow(run, "pattern long, n long, x binary, row long"), "votes")
     seen = found.where("n > 0").groupBy("pattern").agg(F.sum("n").alias("n")).orderBy("pattern").toArrow()
     patterns, counts = (seen.column(c).to_numpy() for c in ("pattern", "n"))
     posterior, hit, alarm, share = em(patterns, counts)
-    sample = found.where("x is not null").select("pattern", "x").toArrow()
+    sample = found.where("x is not null").dropDuplicates(["row"]).select("row", "pattern", "x").toArrow().sort_by("row")
     x = np.frombuffer(b"".join(sample.column("x").to_pylist()), np.float32).reshape(-1, DIMENSIONS)
     y = posterior[np.searchsorted(patterns, sample.column("pattern").to_numpy())]
     remove_path(docs.sparkSession, path)

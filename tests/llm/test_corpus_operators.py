@@ -215,6 +215,21 @@ def test_quality_edges(spark):
     assert quality.quality_table(docs.limit(0)).count() == 0
 
 
+def test_quality_sample_with_null_and_repeated_keys(spark, monkeypatch):
+    """Null and repeated keys are sampled as all others are, repeated rows once; the sample's bound holds."""
+    kinds = ((None, "'null key ', id"), (7, "'same key ', id"), ("id", "'own key ', id"), (None, "null"))
+    docs = None
+    for key, text in kinds:
+        some = spark.range(2000).selectExpr(f"cast({'null' if key is None else key} as long) as doc_id", f"concat({text}) as text")
+        docs = some if docs is None else docs.unionByName(some)
+    sizes, fit = [], quality.fit_linear
+    monkeypatch.setattr(quality, "fit_linear", lambda x, y: sizes.append(len(x)) or fit(x, y))
+    quality.train(docs, sample_docs=300)
+    assert 200 <= sizes[0] <= 400
+    quality.train(docs.repartition(5), sample_docs=300)
+    assert sizes[0] == sizes[1]
+
+
 # ---------------------------------------------------------------- pipeline
 
 
