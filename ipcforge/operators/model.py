@@ -1,121 +1,102 @@
-"""M1-M6, K4: candidate regressors with Spark ML.
-
-Gradient-boosted trees (squared loss) on the long table's features; the
-categorical code parts go through ``StringIndexer`` (fit on train only,
-unseen values kept in an extra bucket) so the trees split them as nominal
-features.  A fit grows ``max_iter`` trees and keeps the prefix of them with the
-lowest squared error on the validation rows; nothing is fitted twice.  Only a
-caller who gives a ``tolerance`` above 0 lets the growth end earlier.
+"""M1-M6, K4: candidate regressors.
+
+Gradient-boosted trees (squared loss) on the long table's features.  The
+categorical code parts become ordered target statistics (:mod:`target_stats`), all
+features are quantised once, and the trees of all candidates grow together on
+the weighted feature cells (:mod:`boosting`).  A fit grows ``max_iter`` trees and
+keeps the prefix of them with the lowest squared error on the validation rows; nothing
+is fitted twice.  Only a caller who gives a ``tolerance`` above 0 lets the growth end earlier.
 """
 
 from __future__ import annotations
 
 from pyspark.ml import PipelineModel
-from pyspark.ml.feature import StringIndexer, VectorAssembler
-from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import materialize, remove_path
+from . import boosting, target_stats
 from .features import feature_columns, fill_features, project_features
 from .metrics import error_metrics
 from .registry import CANDIDATES, MODEL_NAME, candidate_config, runs_from_metrics
 
-# Fixed values of the training configuration.
-SEED = 42
 # The most trees a fit may grow, the training library's own default; callers may lower it.
 DEFAULT_MAX_ITER = 1000
 # Share of the validation error by which a further tree must lower it; 0: the growth does not end early.
 DEFAULT_TOLERANCE = 0.0
-MIN_BINS = 32
-IS_VALIDATION = "is_validation"
-
-
-def _indexer(cats: list[str]) -> StringIndexer:
-    """M1: one multi-column indexer (a single pass); unseen values get their own index."""
-    return StringIndexer(
-        inputCols=cats, outputCols=[f"{c}_idx" for c in cats], handleInvalid="keep", stringOrderType="alphabetAsc"
-    )
-
 
-def _gbt(cfg: dict, max_iter: int, max_bins: int, target: str, tolerance: float | None) -> GBTRegressor:
-    watch = {} if tolerance is None else {"validationIndicatorCol": IS_VALIDATION, "validationTol": float(tolerance)}
-    return GBTRegressor(
-        featuresCol="features", labelCol=target, predictionCol="prediction",
-        maxDepth=int(cfg["depth"]), stepSize=float(cfg["learning_rate"]), lossType="squared",
-        maxIter=int(max_iter), maxBins=int(max_bins), seed=SEED, checkpointInterval=10,
-        cacheNodeIds=False, **watch,
-    )
 
+def _partitions(cells: int, session) -> int:
+    """Tasks that grow the trees: all run at once, so never more than the session has slots for."""
+    return max(1, min(session.sparkContext.defaultParallelism, -(-cells // boosting.CELLS_PER_TASK)))
 
-def best_prefix(gbt: GBTRegressionModel, val: DataFrame) -> GBTRegressionModel:
-    """M3: the first trees of ``gbt``, as many as give the lowest squared error on ``val`` (one pass for all prefixes)."""
-    errors = gbt.evaluateEachIteration(val, "squared")
-    n = min(range(len(errors)), key=errors.__getitem__) + 1
-    if n == len(errors):
-        return gbt
-    java, sc = gbt._java_obj, val.sparkSession.sparkContext
-    ml = sc._jvm.org.apache.spark.ml.regression
-    trees, weights = sc._gateway.new_array(ml.DecisionTreeRegressionModel, n), sc._gateway.new_array(sc._jvm.double, n)
-    for i, (tree, weight) in enumerate(zip(java.trees()[:n], java.treeWeights()[:n])):
-        trees[i], weights[i] = tree, weight
-    kept = ml.GBTRegressionModel(java.uid(), trees, weights, java.numFeatures())
-    return gbt._copyValues(GBTRegressionModel(kept))
 
+def train_models(train: DataFrame, val: DataFrame, configs: list[dict], max_iter: int = DEFAULT_MAX_ITER, target: str = "y",
+                 tolerance: float | None = DEFAULT_TOLERANCE, bins: int = boosting.BINS,
+                 partitions: int | None = None) -> list[tuple[PipelineModel, dict]]:
+    """M1+M2+M3+M4+M5: fit all candidates over one table of cells and evaluate each on the validation rows.
 
-def _fit(rows: DataFrame, cfg: dict, max_iter: int, target: str, tolerance: float | None) -> PipelineModel:
-    """Fit indexer -> assembler -> GBT on rows with the validation marker.
-
-    M3: the validation rows decide the number of trees, with a ``tolerance`` above 0 while they grow.
-    maxBins comes from the fitted label counts (>= the largest category
-    count + the unseen bucket), no extra pass.
+    ``tolerance`` 0 grows ``max_iter`` trees and keeps the best prefix, None keeps all of them.
     """
-    num, cats = feature_columns(cfg["use_ipc_parts"])
-    train = rows.where(~F.col(IS_VALIDATION))
-    stages: list = []
-    bins = MIN_BINS
+    spark = train.sparkSession
+    num, cats = feature_columns(any(c["use_ipc_parts"] for c in configs))
+    prepare = lambda df: fill_features(project_features(df, bool(cats), target))
+    train, val = prepare(train), prepare(val)
+    head = train.agg(F.count(F.lit(1)).alias("rows"), F.avg(F.col(target).cast("double")).alias("mean")).first()
+    mean = float(head["mean"] or 0.0)
+    stats, written = None, []
     if cats:
-        indexer = _indexer(cats).fit(train)
-        bins = max(MIN_BINS, max(len(labels) for labels in indexer.labelsArray) + 2)
-        stages.append(indexer)
-    assembler = VectorAssembler(inputCols=num + [f"{c}_idx" for c in cats], outputCol="features", handleInvalid="keep")
-    stages.append(assembler)
-    prepared = PipelineModel(stages).transform(rows)
-    if tolerance:
-        gbt = _gbt(cfg, max_iter, bins, target, tolerance).fit(prepared)
-    else:
-        gbt = _gbt(cfg, max_iter, bins, target, None).fit(prepared.where(~F.col(IS_VALIDATION)))
-        if tolerance is not None:
-            gbt = best_prefix(gbt, prepared.where(F.col(IS_VALIDATION)))
-    return PipelineModel([*stages, gbt])
+        stats, _ = materialize(target_stats.category_stats(train, cats, target), "categories")  # the model reads it
+        train = target_stats.ordered_stats(train, cats, target, mean, head["rows"])
+        val = target_stats.encode_with(val, stats, cats, mean)
+    features = num + [f"{c}_ts" for c in cats]
+    train, path = materialize(train.select(*features, target), "encoded")
+    written.append(path)
+    borders = boosting.feature_borders(train, features, bins)
+    binned = lambda df: df.select(*[boosting.bin_of(F.col(c), borders[c]).alias(c) for c in features], target)
+    val, path = materialize(binned(val), "validation")
+    written.append(path)
+    cells, path = materialize(boosting.feature_cells(binned(train), val, features, target), "cells")
+    written.append(path)
+    n_features = [len(feature_columns(c["use_ipc_parts"])[0]) + (len(cats) if c["use_ipc_parts"] else 0) for c in configs]
+    # the features of a candidate without code parts come first
+    trees = boosting.grow_trees(
+        cells, features, [boosting.TreeConfig(list(range(n)), int(c["depth"]), float(c["learning_rate"])) for n, c in zip(n_features, configs)],
+        max_iter, partitions or _partitions(cells.count(), spark), bins,
+        enough=(lambda t: boosting.kept_trees(t.errors, tolerance) < len(t)) if tolerance else None)
+    out = []
+    for cfg, n, grown in zip(configs, n_features, trees):
+        own = cats if cfg["use_ipc_parts"] else []
+        model = boosting.CellTreesModel(trees=grown.prefix(boosting.kept_trees(grown.errors, tolerance)),
+                                        borders={c: borders[c] for c in features[:n]}, cats=own, mean=mean, stats=stats if own else None)
+        model._set(labelCol=target, maxIter=int(max_iter))
+        pred = val.select(target, model.predict_bins([F.col(c) for c in features[:n]]).alias("prediction"))
+        m = error_metrics(pred, label=target, prediction="prediction").first()
+        out.append((PipelineModel([model]), {
+            "val_rmse": float(m["val_rmse"]) if m["val_rmse"] is not None else float("nan"),
+            "val_mae": float(m["val_mae"]) if m["val_mae"] is not None else float("nan"),
+            "n_val": int(m["n_rows"]),
+            "n_trees": model.getNumTrees,
+        }))
+    for path in written:
+        remove_path(spark, path)
+    return out
 
 
 def train_regressor(train: DataFrame, val: DataFrame, cfg: dict, max_iter: int = DEFAULT_MAX_ITER,
                     target: str = "y", tolerance: float | None = DEFAULT_TOLERANCE) -> tuple[PipelineModel, dict]:
-    """M1+M2+M3+M4+M5: fit one candidate and evaluate it on the validation rows.
-
-    ``tolerance`` 0 grows ``max_iter`` trees and keeps the best prefix, None keeps all of them.
-    """
-    keep = lambda df, mark: project_features(df, cfg["use_ipc_parts"], target).withColumn(IS_VALIDATION, F.lit(mark))
-    rows = fill_features(keep(train, False).unionByName(keep(val, True)))
-    model = _fit(rows, cfg, max_iter, target, tolerance)
-    pred = model.transform(rows.where(F.col(IS_VALIDATION)))
-    m = error_metrics(pred, label=target, prediction="prediction").first()
-    return model, {
-        "val_rmse": float(m["val_rmse"]) if m["val_rmse"] is not None else float("nan"),
-        "val_mae": float(m["val_mae"]) if m["val_mae"] is not None else float("nan"),
-        "n_val": int(m["n_rows"]),
-        "n_trees": int(model.stages[-1].getNumTrees),
-    }
+    """:func:`train_models` for one candidate."""
+    return train_models(train, val, [cfg], max_iter, target, tolerance)[0]
 
 
 def train_candidates(split: DataFrame, max_iter: int = DEFAULT_MAX_ITER, names: list[str] | None = None,
                      model_dir: str | None = None, input_key: str = "", last_month: str | None = None,
                      months_window: int | None = None, target: str = "y", tolerance: float | None = DEFAULT_TOLERANCE,
                      model_name: str = MODEL_NAME) -> DataFrame:
-    """M6: the same split data, each candidate configuration, one run row each.
+    """M6: the same split data, all candidate configurations in one fit, one run row each.
 
     ``split`` should be materialized by the caller (checkpoint or written
-    table) because it is read by every fit.  Models are saved under
+    table) because it is read more than once.  Models are saved under
     ``model_dir/<candidate>`` when given (K4).
     """
     spark = split.sparkSession
@@ -128,13 +109,12 @@ def train_candidates(split: DataFrame, max_iter: int = DEFAULT_MAX_ITER, names:
     if not n.get("val"):
         raise ValueError("validation split is empty")
     prefix = (model_dir.rstrip("/") + "/") if model_dir else "models/"
+    configs = [candidate_config(name) for name in names or [c[0] for c in CANDIDATES]]
     rows = []
-    for name in names or [c[0] for c in CANDIDATES]:
-        cfg = candidate_config(name)
-        model, metrics = train_regressor(train, val, cfg, max_iter=max_iter, target=target, tolerance=tolerance)
+    for cfg, (model, metrics) in zip(configs, train_models(train, val, configs, max_iter, target, tolerance)):
         if model_dir:
-            model.write().overwrite().save(f"{prefix}candidates/{name}")
-        rows.append((name, cfg["ord"], metrics["val_rmse"], metrics["val_mae"], n["train"], n["val"], metrics["n_trees"]))
+            model.write().overwrite().save(f"{prefix}candidates/{cfg['name']}")
+        rows.append((cfg["name"], cfg["ord"], metrics["val_rmse"], metrics["val_mae"], n["train"], n["val"], metrics["n_trees"]))
     metrics_df = spark.createDataFrame(
         rows, "candidate_name string, ord int, val_rmse double, val_mae double, n_train long, n_val long, n_trees int"
     )
