@@ -31,7 +31,8 @@ not read.  Texts are read whole; a task holds one slice of texts or the longest
 from __future__ import annotations
 
 import base64
-import os
+import re
+import uuid
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -47,11 +48,14 @@ from .common import materialize, mix64, slices, texts, worker_state
 LONGEST = 16  # letters of a word; keeps probabilities within the range of doubles
 ROUNDS = 4
 UNKNOWN = "und"
-CACHE = 200_000
+CACHE = 400_000
 _LEVEL = 0.01  # share of a model that the mean of all languages gets, and of that the single bytes
 _GAIN = 1e3  # per byte; keeps products of 65 bytes within the range of doubles at both ends
+_MARKS = np.uint64(1 << 18)
 _WORDS = 4096  # words per run of the forward algorithm
 _LETTERS = regex.compile(r"\p{L}[\p{L}\p{M}]*")
+_PLAIN = re.compile(r"[^\W\d_²³¹¼½¾]+")  # the same for texts without marks, which begin at U+0300
+_MARKED = re.compile("[\u0300-\U0010ffff]")
 
 
 def vocabulary_path(name: str = "byte_bpe_multi_50k.tiktoken") -> str:
@@ -67,13 +71,15 @@ def held_out(key: Column) -> Column:
 
 def words_of(text: str) -> list[str]:
     """The words of a text, each led by a space unless it continues a longer run."""
+    text = text.lower()
+    letters = _LETTERS if _MARKED.search(text) else _PLAIN
+    runs = [" " + run for run in letters.findall(text)]
+    if not runs or len(max(runs, key=len)) <= LONGEST + 1:
+        return runs
     out = []
-    for run in _LETTERS.findall(text.lower()):
-        if len(run) <= LONGEST:
-            out.append(" " + run)
-        else:
-            out.append(" " + run[:LONGEST])
-            out += [run[i:i + LONGEST] for i in range(LONGEST, len(run), LONGEST)]
+    for run in runs:
+        out.append(run[:LONGEST + 1])
+        out += [run[i:i + LONGEST] for i in range(LONGEST + 1, len(run), LONGEST)]
     return out
 
 
@@ -96,7 +102,9 @@ class Pieces:
             at = np.array(ids)
             h = self._hash(np.frombuffer(b"".join(pieces[i] for i in ids), np.uint8).reshape(-1, length))
             order = np.argsort(h)
-            self.tables.append((length, h[order], at[order]))
+            maybe = np.zeros(_MARKS, bool)  # most substrings are no piece: one look tells
+            maybe[h % _MARKS] = True
+            self.tables.append((length, h[order], at[order], maybe))
         self.single = np.array(by_length.get(1, []))
         if len(self.single) < 256:
             raise ValueError(f"{path} has no piece for some byte")
@@ -119,7 +127,7 @@ class Pieces:
         found = []
         h, at = np.zeros(len(data), np.uint64), np.arange(len(data))
         reached = 0
-        for length, hashes, ids in self.tables:
+        for length, hashes, ids, maybe in self.tables:
             for i in range(reached, length):  # extend the hash of every substring by one byte
                 fits = left[at] > i
                 at, h = at[fits], h[fits]
@@ -128,9 +136,12 @@ class Pieces:
             if not len(at):
                 break
             mixed = mix64(h)
+            look = np.flatnonzero(maybe[mixed % _MARKS])
+            mixed = mixed[look]
             place = np.minimum(np.searchsorted(hashes, mixed), len(hashes) - 1)
             hit = hashes[place] == mixed
-            found.append((word[at[hit]], start[at[hit]], start[at[hit]] + length, ids[place[hit]]))
+            begins = at[look[hit]]
+            found.append((word[begins], start[begins], start[begins] + length, ids[place[hit]]))
         return tuple(np.concatenate(x) for x in zip(*found))
 
 
@@ -272,7 +283,7 @@ def learn(rows: DataFrame, path: str, rounds: int = ROUNDS) -> Model | None:
 
 
 class Scores:
-    """Log probabilities of the words met lately, in two generations of rows."""
+    """Log probabilities of the words met lately; a worker keeps them across tasks."""
 
     def __init__(self, pieces: Pieces, model: Model, limit: int):
         self.pieces, self.model, self.limit = pieces, model, limit
@@ -284,8 +295,9 @@ class Scores:
         if len(self.row) > self.limit:
             self.row = {}
         row = self.row
-        new = [w for w in dict.fromkeys(words) if w not in row]
-        if new:
+        at = list(map(row.get, words))
+        if None in at:
+            new = list(dict.fromkeys(w for w, i in zip(words, at) if i is None))
             first = len(row)
             need = first + len(new)
             if need > len(self.table):
@@ -294,7 +306,8 @@ class Scores:
                 self.table = grown
             self.table[first:need] = log_probabilities(self.pieces, [w.encode() for w in new], self.model.probabilities)
             row.update(zip(new, range(first, need)))
-        return np.fromiter((row[w] for w in words), np.int64, len(words))
+            at = list(map(row.get, words))
+        return np.array(at, np.int64)
 
 
 def _decide(scores: Scores, parts: list[list[str]]) -> tuple[list[str], np.ndarray]:
@@ -319,9 +332,14 @@ def identify(docs: DataFrame, model: Model | None, path: str, text: str = "text"
     if model is None:
         return docs.drop(text).withColumn("lang_pred", F.lit(UNKNOWN)).withColumn("score", F.lit(0.0))
     shared = docs.sparkSession.sparkContext.broadcast(model)
+    name = uuid.uuid4().hex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scores = Scores(load_pieces(path), shared.value, CACHE)
+        held_scores = worker_state("language", dict)  # of one model at a time
+        if name not in held_scores:
+            held_scores.clear()
+            held_scores[name] = Scores(load_pieces(path), shared.value, CACHE)
+        scores = held_scores[name]
         for batch in batches:
             held = texts(batch.column(batch.schema.get_field_index(text)))
             sizes = np.cumsum([0] + [len(t) for t in held])

@@ -270,6 +270,8 @@ def test_long_words_stay_in_range(pieces):
     model = language_id.smoothed(np.eye(pieces.size, 2) * 1e9, pieces.single)  # nearly nothing known
     words = [w.encode() for w in language_id.words_of("𐍈" * 40 + " " + "Donaudampfschifffahrtsgesellschaft")]
     assert np.isfinite(language_id.log_probabilities(pieces, words, model)).all()
+    every = "".join(map(chr, range(0x300)))
+    assert language_id.words_of(every) == [w for w in language_id.words_of(every + " 日")[:-1]]
     assert "".join(language_id.words_of("Aé" * 30 + " ÜB 12x")) == " " + "aé" * 30 + " üb x"
 
 
