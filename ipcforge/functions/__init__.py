@@ -25,7 +25,7 @@ from .months import (
     dataset_name,
     month_code_of,
     month_series,
-    normalize_prefix,
+    check_folder,
 )
 from .text import decode_utf8_lenient, first_line_starting_with, let, py_rstrip, py_strip
 
@@ -51,7 +51,7 @@ __all__ = [
     "main_group_of",
     "month_code_of",
     "month_series",
-    "normalize_prefix",
+    "check_folder",
     "parse_ai_line",
     "py_rstrip",
     "py_strip",

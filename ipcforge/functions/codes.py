@@ -23,6 +23,7 @@ _CANON_B = (
     rf"(?U)^([A-H]){WS}*(\d{{2}}){WS}*([A-Z]){WS}*0*(\d{{1,4}}){WS}*/{WS}*(\d{{2,6}})$"
 )
 _CANON_FMT = "$1$2$3 $4/$5"
+_IS_CANONICAL = r"^[A-H][0-9]{2}[A-Z] [1-9][0-9]{0,3}/[0-9]{2,6}\z"
 # Fixed value: a version date (8 digits) ends the code text.
 _CUT_AT_8_DIGITS = r"(?s)(?U)\d{8}.*"
 
@@ -42,26 +43,25 @@ def _cleaned_code(raw: Column) -> Column:
 
 
 def _canon_of_cleaned(s: Column) -> Column:
-    no_blank = F.replace(s, F.lit(" "), F.lit(""))
-    return (
-        F.when(no_blank.rlike(_CANON_A), F.regexp_replace(no_blank, _CANON_A, _CANON_FMT))
-        .when(s.rlike(_CANON_B), F.regexp_replace(s, _CANON_B, _CANON_FMT))
-        .otherwise(F.nullif(s, F.lit("")))
-    )
+    # (a) puts a blank into text that has none, so a blank tells that it matched;
+    # (b) leaves text that it does not match as it is.
+    compact = F.regexp_replace(F.replace(s, F.lit(" "), F.lit("")), _CANON_A, _CANON_FMT)
+    spaced = F.nullif(F.regexp_replace(s, _CANON_B, _CANON_FMT), F.lit(""))
+    return let(compact, lambda a: F.when(F.contains(a, F.lit(" ")), a).otherwise(spaced))
 
 
-def canonicalize_code(raw: Column | str, bind: bool = False) -> Column:
+def canonicalize_code(raw: Column | str, bind: bool = True) -> Column:
     """``'c07d  0401 / 00 20060101'`` -> ``'C07D 401/00'``.
 
     Unparseable text is returned cleaned (upper case, single blanks); blank or
-    NULL input gives NULL.  ``bind=True`` evaluates the cleaned text once via
-    :func:`let` (use it inside array lambdas, where Spark's common
-    sub-expression elimination does not reach).
+    NULL input gives NULL.  Text in canonical form is known by one match; for
+    all other the cleaned text is bound once (:func:`let`), because Spark's common
+    sub-expression elimination reaches neither branches nor array lambdas
+    (``bind=False`` repeats the cleaning instead).
     """
-    cleaned = _cleaned_code(col_of(raw))
-    if bind:
-        return let(cleaned, _canon_of_cleaned)
-    return _canon_of_cleaned(cleaned)
+    raw = col_of(raw)
+    cleaned = _cleaned_code(raw)
+    return F.when(raw.rlike(_IS_CANONICAL), raw).otherwise(let(cleaned, _canon_of_cleaned) if bind else _canon_of_cleaned(cleaned))
 
 
 def parse_ai_line(line: Column | str) -> Column:
@@ -95,7 +95,7 @@ def parse_ai_line(line: Column | str) -> Column:
         parsed,
         lambda x: F.struct(
             x["raw"].alias("raw"),
-            canonicalize_code(x["raw"], bind=True).alias("canon"),
+            canonicalize_code(x["raw"]).alias("canon"),
             x["score"].alias("score"),
         ),
     )
@@ -130,7 +130,7 @@ def first_ai_line(text: Column | str) -> Column:
 def expert_codes(node_texts: Column | str) -> Column:
     """Node texts -> sorted distinct canonical codes (NULLs and blanks dropped)."""
     texts = F.filter(col_of(node_texts), lambda x: x.isNotNull() & (x != ""))
-    canon = F.transform(texts, lambda x: canonicalize_code(x, bind=True))
+    canon = F.transform(texts, lambda x: canonicalize_code(x))
     canon = F.filter(canon, lambda x: x.isNotNull())
     return F.coalesce(F.array_sort(F.array_distinct(canon)), F.array().cast("array<string>"))
 

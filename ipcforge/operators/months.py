@@ -11,20 +11,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions import bulletin_code_from_key, dataset_code_from_key, month_series, normalize_prefix
+from ..functions import bulletin_code_from_key, check_folder, dataset_code_from_key, month_series
 from ..functions.months import MONTH_CODE_RE
 
 
 def list_bulletins(keys: DataFrame, prefix: str = "pub/") -> DataFrame:
     """Distinct month codes of ``<prefix>YYYYMM.zip`` keys, with ascending position."""
-    p = normalize_prefix(prefix)
+    p = check_folder(prefix)
     codes = keys.select(bulletin_code_from_key("key", p).alias("bulletin_code"))
     return sorted_months(codes)
 
 
 def list_datasets(keys: DataFrame, prefix: str = "dataprep/") -> DataFrame:
     """Distinct month codes of prepared datasets, with ascending position."""
-    p = normalize_prefix(prefix)
+    p = check_folder(prefix)
     codes = keys.select(dataset_code_from_key("key", p).alias("bulletin_code"))
     return sorted_months(codes)
 

@@ -27,7 +27,7 @@ from ..functions import (
     encode_score_list,
     expert_codes,
     has_ai_items,
-    normalize_prefix,
+    check_folder,
     parse_ai_line,
 )
 from ..sources.xmldocs import with_parse_status
@@ -68,34 +68,37 @@ def doc_lst_join(docs: DataFrame, lst: DataFrame, hot_share: int = HOT_SHARE, sa
     """Documents (with ``application_key``) left-joined to their AI line.
 
     Inner-join semantics for the good documents come from the later
-    ``size(ai) > 0`` filter; error rows have no key, take part in no join and
-    pass through.
-
-    A hot application number is salted: its documents are dealt over
-    ``ceil(n / salt_rows)`` salts, its line is repeated once per salt, and the
-    join is on (key, salt), so no task gets all of them, also when the
-    suggestion side is bucketed and not shuffled.  Hot keys are found by one
-    partial aggregate over the key column; only these keys (at most
-    ``hot_share``, by arithmetic) are broadcast, never lines.  ``docs`` is read
-    several times and should be a written table.
+    ``size(ai) > 0`` filter; error rows have no key, match nothing and pass
+    through, dealt over the tasks by a key of their own.
+
+    One partial aggregate over the key column finds the hot application numbers
+    (at most ``hot_share``, by arithmetic).  Without any, which is the rule, the
+    plan is one join with one scan of either side, and a bucketed suggestion table is not
+    shuffled.  Else the documents of hot keys are dealt over
+    ``ceil(n / salt_rows)`` salts, their lines are repeated once per salt and
+    joined on (key, salt), so no task gets all of them.  ``docs`` is read
+    more than once and should be a written table.
     """
     key = F.col("application_key")
-    keyed = docs.where(key.isNotNull())
-    counts = keyed.groupBy(key.alias("_hot_key")).agg(F.count(F.lit(1)).alias("_n"))
-    total = docs.count()  # of a written table: from its footers
-    hot = counts.where((F.col("_n") > salt_rows) & (F.col("_n") * hot_share >= total))
-    hot = F.broadcast(hot.select("_hot_key", F.ceil(F.col("_n") / salt_rows).cast("int").alias("_salts")))
     lines = lst.select(F.col("application_key").alias("_line_key"), "ai_line")
-
-    cold = keyed.join(hot, key == F.col("_hot_key"), "left_anti").join(lines, key == F.col("_line_key"), "left")
-    dealt = keyed.join(hot, key == F.col("_hot_key")).withColumn(
+    names = [*docs.columns, "ai_line"]
+    # a name with NUL is no file's, so these keys match nothing
+    own = F.coalesce(key, F.concat(F.lit("\x00"), F.xxhash64(*docs.columns).cast("string")))
+    total = docs.count()  # of a written table: from its footers
+    counts = docs.where(key.isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    found = counts.where((F.col("_n") > salt_rows) & (F.col("_n") * hot_share >= total)).collect()
+    if not found:
+        return docs.withColumn("_key", own).join(lines, F.col("_key") == F.col("_line_key"), "left").select(*names)
+    hot = F.broadcast(docs.sparkSession.createDataFrame(
+        [(r["application_key"], -(-r["_n"] // salt_rows)) for r in found], "_hot_key string, _salts int"))
+    marked = docs.withColumn("_key", own).join(hot, F.col("_key") == F.col("_hot_key"), "left")
+    cold = marked.where(F.col("_hot_key").isNull()).join(lines, F.col("_key") == F.col("_line_key"), "left")
+    dealt = marked.where(F.col("_hot_key").isNotNull()).withColumn(
         "_salt", F.pmod(F.xxhash64("source_file"), F.col("_salts")).cast("int")).drop("_hot_key", "_salts")
     copies = lines.join(hot, F.col("_line_key") == F.col("_hot_key")).select(
         "_line_key", "ai_line", F.explode(F.sequence(F.lit(0), F.col("_salts") - 1)).alias("_line_salt"))
     split = dealt.join(copies, (key == F.col("_line_key")) & (F.col("_salt") == F.col("_line_salt")), "left")
-    none = docs.where(key.isNull()).withColumn("ai_line", F.lit(None).cast("string"))
-    names = [*docs.columns, "ai_line"]
-    return cold.select(*names).unionByName(split.select(*names)).unionByName(none.select(*names))
+    return cold.select(*names).unionByName(split.select(*names))
 
 
 def build_wide(parsed_docs: DataFrame, lst: DataFrame, lst_prefix: str = "lst/") -> DataFrame:
@@ -106,7 +109,7 @@ def build_wide(parsed_docs: DataFrame, lst: DataFrame, lst_prefix: str = "lst/")
     parse_error).  They are read twice (:func:`doc_lst_join`), so pass a
     written table (``prep_job`` does).
     """
-    prefix = normalize_prefix(lst_prefix)
+    prefix = check_folder(lst_prefix)
     docs = with_parse_status(parsed_docs).withColumn("expert", expert_codes("ipc_texts"))
     joined = doc_lst_join(docs, lst)
     # good documents without any AI suggestion are dropped (cheap test
