@@ -6,8 +6,8 @@
    sample i with value v flips bit hash(i, v).  Two sketches differ in few
    bits only when most samples agree, so the population count of their XOR
    estimates high similarities without the samples themselves.
-2. Equal shingle sets collapse to a representative, so a group of copies of
-   any size costs one row from here on.
+2. Equal shingle sets collapse to one numbered class with one text, so a group
+   of copies or repeated rows of any size costs one row from here on.
 3. Star round: every member of a bucket (equal band key) is paired with the
    bucket's first member, never with all others; pairs whose sketches are too
    far apart go, the rest is confirmed exactly on full sets.  Confirmed links
@@ -21,11 +21,16 @@
 With 24 bands of 4 rows a pair of similarity 0.8 shares no bucket with
 probability 3e-6; the sketch bound is over five standard deviations wide.
 
-Defined results: null and empty texts have an empty set, are linked with
-nothing and stay; repeated rows and equal sets are one class; ties go to the
-smallest key; an empty table gives an empty table; other columns are ignored
-(:func:`near_duplicates`) or pass through (:func:`keep_first`).  Keys are
-unique per document; a repeated key counts as one document.
+Joins with a key that may hold a third of the rows are plain equi-joins of a table
+with one row per key: adaptive execution broadcasts that row table when it is
+measured small, and splits skewed partitions of the other side when not.
+
+Defined results: each row is a document of its own, whether its key repeats, with
+the same or another text, or is null; null and empty texts have an empty
+set, are linked with nothing and stay; the component of a row is the
+smallest key among all rows it reaches, null where none of them has a key; equal
+sets are one class; an empty table gives an empty table; other columns are
+ignored (:func:`near_duplicates`) or pass through (:func:`keep_first`).
 """
 
 from __future__ import annotations
@@ -38,7 +43,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import join_hot, materialize, mix64, remove_path, slices, text_buffer
+from .common import materialize, mix64, remove_path, slices, text_buffer
 from .words import shingle_hashes, word_hashes
 
 BANDS, ROWS = 24, 4
@@ -85,12 +90,12 @@ def band_keys(samples: np.ndarray) -> np.ndarray:
     return key
 
 
-FEATURES = ("id long, n_shingles long, set_a long, set_b long, bands array<long>, "
+FEATURES = ("id long, text string, n_shingles long, set_a long, set_b long, bands array<long>, "
             + ", ".join(f"s{i} long" for i in range(WORDS64)))
 
 
 def features(docs: DataFrame, width: int) -> DataFrame:
-    """One row per (id, text) row: set size, identity of the set, band keys, odd sketch."""
+    """(id, text) rows with set size, identity of the set, band keys and odd sketch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -109,9 +114,9 @@ def features(docs: DataFrame, width: int) -> DataFrame:
                 ends = np.concatenate([[0], np.cumsum(np.where(n > 0, BANDS, 0))]).astype(np.int32)
                 bands = pa.ListArray.from_arrays(pa.array(ends), pa.array(band_keys(samples).ravel().view(np.int64)))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(lo, hi - lo), pa.array(n), pa.array(a.view(np.int64)), pa.array(b.view(np.int64)),
+                    [*(c.slice(lo, hi - lo) for c in batch.columns), pa.array(n), pa.array(a.view(np.int64)), pa.array(b.view(np.int64)),
                      bands, *[pa.array(sketch[:, i].copy().view(np.int64)) for i in range(WORDS64)]],
-                    ["id", "n_shingles", "set_a", "set_b", "bands", *[f"s{i}" for i in range(WORDS64)]])
+                    ["id", "text", "n_shingles", "set_a", "set_b", "bands", *[f"s{i}" for i in range(WORDS64)]])
 
     return docs.mapInArrow(run, FEATURES)
 
@@ -159,15 +164,14 @@ def _similar(pairs: DataFrame, width: int, percent: int) -> DataFrame:
     return pairs.select("u", "v", "text_u", "text_v").mapInArrow(run, "u long, v long")
 
 
-def _attach(pairs: DataFrame, texts: DataFrame, side: str, other: str, total: int) -> DataFrame:
+def _attach(pairs: DataFrame, texts: DataFrame, side: str, other: str) -> DataFrame:
     """``pairs`` with the text of one side.
 
-    A document in very many pairs (a star's centre) is copied once per
+    A class in very many pairs (a star's centre) is copied once per
     ``BLOCK`` of its pairs, so no task gets all of them.
     """
-    need = pairs.groupBy(side).agg(F.count(F.lit(1)).alias("n")).withColumn("salts", F.ceil(F.col("n") / BLOCK).cast("int"))
-    spread = join_hot(pairs, need, [side], "n", total).withColumn(
-        "salt", F.pmod(F.xxhash64(other), F.col("salts")).cast("int")).drop("salts")
+    need = pairs.groupBy(side).agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("salts"))
+    spread = pairs.join(need, side).withColumn("salt", F.pmod(F.xxhash64(other), F.col("salts")).cast("int")).drop("salts")
     copies = texts.join(need.withColumnRenamed(side, "id"), "id").select(
         F.col("id").alias(side), F.col("text").alias(f"text_{side}"),
         F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"))
@@ -176,11 +180,11 @@ def _attach(pairs: DataFrame, texts: DataFrame, side: str, other: str, total: in
 
 def _confirm(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
     """Written links among candidate ``pairs`` (u, v)."""
-    pairs, _ = materialize(pairs, "pairs")
-    total = pairs.count()
-    left, left_path = materialize(_attach(pairs, texts, "u", "v", total), "sides")
-    links, _ = materialize(_similar(_attach(left, texts, "v", "u", total), width, percent), "links")
-    remove_path(pairs.sparkSession, left_path)
+    pairs, pairs_path = materialize(pairs, "pairs")
+    left, left_path = materialize(_attach(pairs, texts, "u", "v"), "sides")
+    links, _ = materialize(_similar(_attach(left, texts, "v", "u"), width, percent), "links")
+    for path in (pairs_path, left_path):
+        remove_path(pairs.sparkSession, path)
     return links
 
 
@@ -189,23 +193,22 @@ def components(links: DataFrame) -> tuple[DataFrame, str]:
 
     Alternating star contraction: every node's larger neighbours, then its
     smaller ones, are hung on its smallest neighbour until nothing changes.
-    Neighbourhoods are only aggregated, never collected; a node with very many
-    edges is joined by broadcast of its one row.
+    Neighbourhoods are only aggregated, never collected.
     """
     edges, path = materialize(links.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
                               .where("u <> v").distinct(), "edges")
+    n = edges.count()
     while True:
-        n = edges.count()
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"), F.count(F.lit(1)).alias("n"))
-        large = (join_hot(both, least, ["u"], "n", 2 * n).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
+        large = (both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
                  .where("u <> v").distinct())
         large, large_path = materialize(large, "edges")
-        held = large.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("n"))
-        hung = join_hot(large, held, ["u"], "n", large.count())
+        hung = large.join(large.groupBy("u").agg(F.min("v").alias("m")), "u")
         small = hung.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(hung.select("u", F.col("m").alias("v")))
         new, new_path = materialize(small.where("u <> v").distinct(), "edges")
-        same = new.count() == n and new.join(edges, ["u", "v"], "left_anti").isEmpty()
+        n, before = new.count(), n
+        same = n == before and new.join(edges, ["u", "v"], "left_anti").isEmpty()
         for old in (path, large_path):
             remove_path(edges.sparkSession, old)
         edges, path = new, new_path
@@ -219,51 +222,45 @@ def _bits_apart(a: list[Column], b: list[Column]) -> Column:
     return reduce(lambda x, y: x + y, [F.bit_count(x.bitwiseXOR(y)) for x, y in zip(a, b)])
 
 
-def near_duplicates(docs: DataFrame, key_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80) -> DataFrame:
-    """(id, n_shingles, component) per key: the smallest key reachable over links."""
+def _classes(docs: DataFrame, key_col: str, text_col: str, width: int, percent: int) -> DataFrame:
+    """(id, hash of the text, n_shingles, component) of every row."""
     spark = docs.sparkSession
     docs = docs.select(F.col(f"`{key_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").alias("text"))
-    feats, _ = materialize(features(docs, width), "features")
-    sets = feats.where("n_shingles > 0").groupBy("set_a", "set_b").agg(
-        F.min("id").alias("rep"), F.count(F.lit(1)).alias("n"))
-    sets, _ = materialize(sets, "sets")
-    n_rows = sets.agg(F.sum("n")).first()[0] or 0
     sketch = [f"s{i}" for i in range(WORDS64)]
-    # a set that several documents share keeps the bands of its representative only
-    reps = feats.join(sets.select(F.col("rep").alias("id")), "id", "left_semi").dropDuplicates(["id"])
-    buckets, buckets_path = materialize(reps.select("id", F.explode("bands").alias("band")), "buckets")
-    heads = buckets.groupBy("band").agg(F.min("id").alias("head"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    heads, heads_path = materialize(heads, "heads")
-    total = heads.agg(F.sum("n")).first()[0] or 0
-    # only buckets that hold several sets, and the texts of their members, matter from here on
-    shared = join_hot(buckets, heads.select("band", "head", F.col("n").alias("size"), "n"), ["band"], "n", total)
-    shared, shared_path = materialize(shared, "shared")
-    members = shared.select("id").distinct()
-    sketches, sketches_path = materialize(
-        feats.join(members, "id", "left_semi").select("id", "bands", *sketch).dropDuplicates(["id"]), "sketches")
-    # one plan at every size: whether few or many members, the texts are dealt by id
-    texts, texts_path = materialize(docs.join(members.hint("merge"), "id", "left_semi"), "texts")
+    # numbers become lasting with the write: of rows here, of classes below
+    feats, _ = materialize(features(docs, width).withColumn("row", F.monotonically_increasing_id()), "features")
+    sets = feats.where("n_shingles > 0").groupBy("set_a", "set_b").agg(
+        F.min("id").alias("least"), F.min("row").alias("row"), *[F.first(c).alias(c) for c in ("bands", *sketch)])
+    sets, _ = materialize(sets.withColumn("class", F.monotonically_increasing_id()), "sets")
+    buckets, buckets_path = materialize(sets.select(F.col("class").alias("id"), F.explode("bands").alias("band")), "buckets")
+    # only buckets that hold several classes, and the texts of their members, matter from here on
+    heads = buckets.groupBy("band").agg(F.min("id").alias("head"), F.count(F.lit(1)).alias("size")).where("size > 1")
+    shared, shared_path = materialize(buckets.join(heads, "band"), "shared")
+    members = sets.join(shared.select(F.col("id").alias("class")).distinct(), "class", "left_semi")
+    sketches, sketches_path = materialize(members.select(F.col("class").alias("id"), "row", "bands", *sketch), "sketches")
+    # one plan at every size: whether few or many members, the texts are dealt by row
+    wanted = sketches.select("id", "row")
+    texts, texts_path = materialize(feats.select("row", "text").join(wanted.hint("merge"), "row").select("id", "text"), "texts")
+    sketches = sketches.drop("row")
 
     pairs, star_path = materialize(shared.where("id <> head").select("id", "head").distinct(), "star")
-    degree = pairs.groupBy("head").agg(F.count(F.lit(1)).alias("n"))
-    centres = degree.join(sketches.select(F.col("id").alias("head"), *[F.col(c).alias(f"h{c}") for c in sketch]), "head")
-    near = join_hot(pairs.join(sketches.drop("bands"), "id"), centres, ["head"], "n", pairs.count())
+    centres = sketches.select(F.col("id").alias("head"), *[F.col(c).alias(f"h{c}") for c in sketch])
+    near = pairs.join(sketches.drop("bands"), "id").join(centres, "head")
     near = near.where(_bits_apart([F.col(c) for c in sketch], [F.col(f"h{c}") for c in sketch]) <= FAR)
     links = _confirm(near.select(F.col("id").alias("u"), F.col("head").alias("v")), texts, width, percent)
-    label, _ = components(links)
+    label, label_path = components(links)
 
     known = shared.join(label, "id", "left").withColumn("label", F.coalesce("component", "id")).drop("component")
     known, known_path = materialize(known, "known")
-    open_ = known.groupBy("band").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
-    main = known.where("id = head").select("band", F.col("label").alias("main"), F.col("size").alias("n"))
-    main = main.join(open_.select("band"), "band", "left_semi")
-    odd, odd_path = materialize(join_hot(known, main, ["band"], "n", total), "open")
-    # members outside the head's component against all others, in blocks of both sides
-    odds = odd.where("label <> main").groupBy("band").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("lblocks"))
-    sized = join_hot(odd, odds.join(main.select("band", "n"), "band"), ["band"], "n", total)
-    fine = fine_sketches(texts.join(sized.select("id").distinct(), "id", "left_semi"), width).dropDuplicates(["id"])
+    # per bucket: does it hold several components, how many members are outside the head's
+    main = known.where("id = head").select("band", F.col("label").alias("main"))
+    odd = known.join(main, "band").where("label <> main").groupBy("band", "main").agg(
+        F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("lblocks"))
+    sized, open_path = materialize(known.join(odd, "band"), "open")
+    fine = fine_sketches(texts.join(sized.select("id").distinct(), "id", "left_semi"), width)
     sized = sized.withColumn("rblocks", F.ceil(F.col("size") / BLOCK).cast("int")).join(sketches.join(fine, "id"), "id")
     sized, sized_path = materialize(sized.withColumn("place", F.array_position("bands", F.col("band")).cast("int")), "sized")
+    # members outside the head's component against all others, in blocks of both sides
     cell = lambda blocks, salt: F.pmod(F.xxhash64("id", F.lit(salt)), F.col(blocks)).cast("int")
     others = lambda blocks: F.explode(F.sequence(F.lit(0), F.col(blocks) - 1))
     left = sized.where("label <> main").select("*", cell("lblocks", 1).alias("i"), others("rblocks").alias("j"))
@@ -279,27 +276,40 @@ def near_duplicates(docs: DataFrame, key_col: str = "doc_id", text_col: str = "t
                                & once & close & first)
     met = met.select(F.greatest("l.id", "r.id").alias("u"), F.least("l.id", "r.id").alias("v")).distinct()
     more = _confirm(met, texts, width, percent)
-    label, _ = components(links.unionByName(more))
-    for path in (buckets_path, heads_path, shared_path, sketches_path, texts_path, star_path, known_path, odd_path, sized_path):
+    label, last_path = components(links.unionByName(more))
+    for path in (buckets_path, shared_path, sketches_path, texts_path, star_path, label_path, known_path, open_path, sized_path):
         remove_path(spark, path)
 
-    classes = sets.join(label.withColumnRenamed("id", "rep"), "rep", "left").select(
-        "set_a", "set_b", "n", F.coalesce("component", "rep").alias("component"))
-    some = feats.where("n_shingles > 0").select("id", "n_shingles", "set_a", "set_b")
-    linked = join_hot(some, classes, ["set_a", "set_b"], "n", n_rows).select("id", "n_shingles", "component")
-    alone = feats.where("n_shingles = 0").select("id", "n_shingles", F.col("id").alias("component"))
+    # the smallest key of every component, back to the classes and to the rows
+    whole = sets.select("set_a", "set_b", "least", "class").join(label.withColumnRenamed("id", "class"), "class", "left")
+    whole = whole.select("set_a", "set_b", "least", F.coalesce("component", "class").alias("class"))
+    keys = whole.groupBy("class").agg(F.min("least").alias("component"))
+    classes, _ = materialize(whole.join(keys, "class").select("set_a", "set_b", "component"), "classes")
+    rows = feats.select("id", F.xxhash64("text").alias("text"), "n_shingles", "set_a", "set_b")
+    remove_path(spark, last_path)
+    linked = rows.where("n_shingles > 0").join(classes, ["set_a", "set_b"]).select("id", "text", "n_shingles", "component")
+    alone = rows.where("n_shingles = 0").select("id", "text", "n_shingles", F.col("id").alias("component"))
     return linked.unionByName(alone)
 
 
+def near_duplicates(docs: DataFrame, key_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80) -> DataFrame:
+    """(id, n_shingles, component) per row: the smallest key reachable over links."""
+    return _classes(docs, key_col, text_col, width, percent).drop("text")
+
+
 def keep_first(docs: DataFrame, key_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80) -> DataFrame:
-    """``docs`` without the near duplicates of a smaller key; rows without a key stay."""
-    found = near_duplicates(docs.where(F.col(f"`{key_col}`").isNotNull()), key_col, text_col, width, percent)
-    gone = found.where("id <> component").select(F.col("id").alias("__gone")).distinct()
-    return docs.join(gone.hint("merge"), docs[key_col] == gone["__gone"], "left_anti")  # one plan at every size
+    """``docs`` without the near duplicates of a smaller key.
+
+    Rows without a key stay, and so do rows that repeat a kept key with a text of its component.
+    """
+    found = _classes(docs.where(F.col(f"`{key_col}`").isNotNull()), key_col, text_col, width, percent)
+    gone = found.where("id <> component").select(F.col("id").alias("__gone"), F.col("text").alias("__text")).distinct()
+    same = (docs[key_col] == gone["__gone"]) & (F.xxhash64(docs[text_col]) == gone["__text"])
+    return docs.join(gone.hint("merge"), same, "left_anti")  # one plan at every size
 
 
 def dedup_digest(docs: DataFrame) -> DataFrame:
-    """The contract's columns (4-word shingles, similarity 0.8)."""
+    """The contract's columns (4-word shingles, similarity 0.8); a row without key is kept where its component has none."""
     found = near_duplicates(docs, width=4, percent=80)
-    return found.select(F.col("id").alias("doc_id"), "n_shingles", F.col("component").alias("component_id"),
-                        (F.col("id") == F.col("component")).alias("kept"))
+    kept = F.coalesce(F.col("id") == F.col("component"), F.col("component").isNull())
+    return found.select(F.col("id").alias("doc_id"), "n_shingles", F.col("component").alias("component_id"), kept.alias("kept"))

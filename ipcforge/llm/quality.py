@@ -190,7 +190,8 @@ def train(docs: DataFrame, key_col: str = "doc_id", text_col: str = "text", samp
                     x = np.bincount(ids[doc == i].ravel(), minlength=DIMENSIONS) * (_SCALE / max(words[i], 1))
                     own = _level_ids(stats[i:i + 1], words[i:i + 1])[0]
                     np.add.at(x, own[own >= 0], 1.0)
-                    cells.append(x.astype(np.float32).tobytes())
+                    at = np.flatnonzero(x).astype(np.uint16)
+                    cells.append(x[at].astype(np.float32).tobytes() + at.tobytes())
                 kept, n = np.unique(pattern, return_counts=True)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.concatenate([kept, pattern[rows]])), pa.array(np.concatenate([n, np.zeros(len(rows), np.int64)])),
@@ -198,13 +199,16 @@ def train(docs: DataFrame, key_col: str = "doc_id", text_col: str = "text", samp
                      pa.concat_arrays([pa.nulls(len(kept), pa.int64()), batch.column(0).slice(lo, hi - lo).take(pa.array(rows))])],
                     ["pattern", "n", "x", "row"])
 
-    # counts per pattern of every slice, and the sample's dense features (8 KB each, the sample's bound)
+    # counts per pattern of every slice, and the sample's features: the values that are not 0, then their places
     found, path = materialize(texts.mapInArrow(run, "pattern long, n long, x binary, row long"), "votes")
     seen = found.where("n > 0").groupBy("pattern").agg(F.sum("n").alias("n")).orderBy("pattern").toArrow()
     patterns, counts = (seen.column(c).to_numpy() for c in ("pattern", "n"))
     posterior, hit, alarm, share = em(patterns, counts)
     sample = found.where("x is not null").dropDuplicates(["row"]).select("row", "pattern", "x").toArrow().sort_by("row")
-    x = np.frombuffer(b"".join(sample.column("x").to_pylist()), np.float32).reshape(-1, DIMENSIONS)
+    x = np.zeros((sample.num_rows, DIMENSIONS), np.float32)
+    for row, cell in zip(x, sample.column("x")):
+        n = cell.as_buffer().size // 6
+        row[np.frombuffer(cell.as_buffer(), np.uint16, n, 4 * n)] = np.frombuffer(cell.as_buffer(), np.float32, n)
     y = posterior[np.searchsorted(patterns, sample.column("pattern").to_numpy())]
     remove_path(docs.sparkSession, path)
     weights, bias = fit_linear(x, y)

@@ -124,6 +124,34 @@ def test_dedup_edges(spark):
     assert dedup.dedup_digest(docs.limit(0)).count() == 0
 
 
+def test_repeated_rows_cost_one_comparison_per_class(spark, monkeypatch):
+    """Thousands of copies of two near texts: as many comparisons as classes, every row in the component."""
+    base = [f"w{i}" for i in range(300)]
+    near = base[:-3] + ["x", "y", "z"]
+    rows = [(i % 1500, " ".join(base)) for i in range(2000)] + [(1500 + i % 1000, " ".join(near)) for i in range(2000)]
+    rows += [(9000 + i, f"another text number {i} of its own") for i in range(4)]
+    compared, similar = [], dedup._similar
+    monkeypatch.setattr(dedup, "_similar", lambda pairs, *a: (compared.append(pairs.count()), similar(pairs, *a))[1])
+    got = dedup.dedup_digest(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sum(compared) <= 2
+    assert collections.Counter((r["doc_id"], r["component_id"], r["kept"]) for r in got) == collections.Counter(
+        (i, 0 if i < 9000 else i, i == 0 or i >= 9000) for i, _ in rows)
+
+
+def test_keys_that_are_null_or_have_two_texts(spark):
+    """Rows are documents: a key's two texts keep their own components, a row without key reaches others."""
+    a, b, c, d = (" ".join(f"{x}{i}" for i in range(40)) for x in "abcd")
+    rows = [(1, a), (5, a), (5, b), (7, b), (None, a), (None, c), (None, c + " more"), (None, None), (None, ""), (8, d), (8, d + " more"), (3, d)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    want = [(1, 1, True), (5, 1, False), (5, 5, True), (7, 5, False), (None, 1, False), (None, None, True), (None, None, True),
+            (None, None, True), (None, None, True), (8, 3, False), (8, 3, False), (3, 3, True)]
+    for part in (df.coalesce(1), df.repartition(5)):  # the same however the rows lie
+        got = [(r["doc_id"], r["component_id"], r["kept"]) for r in dedup.dedup_digest(part).collect()]
+        assert collections.Counter(got) == collections.Counter(want)
+    kept = collections.Counter((r["doc_id"], r["text"]) for r in dedup.keep_first(df, width=4).collect())
+    assert kept == collections.Counter([(1, a), (5, b), (3, d)] + [r for r in rows if r[0] is None])
+
+
 def test_odd_sketch_estimates():
     """The XOR population count separates similarities as the bounds assume."""
     rng = np.random.default_rng(1)
