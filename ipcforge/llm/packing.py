@@ -28,7 +28,6 @@ import os
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
-from struct import pack as pack_ids
 
 import numpy as np
 import pyarrow as pa
@@ -40,6 +39,7 @@ from .common import RecentCache, materialize, worker_state
 
 CAPACITY = 2048
 CACHE_WORDS = 300_000  # words per generation of a Python worker's cache (about 60 MB)
+JOINED = 64  # words per call of the tokenizer
 MARKS = b".,!?;:%$&#*"  # ASCII marks that form tokens apart from letters
 SPECIAL = (b"<|startoftext|>", b"<|endoftext|>")
 
@@ -64,11 +64,27 @@ class WordCoder:
         from tokenizers import Tokenizer
 
         self._coder = Tokenizer.from_file(path)
-        self._batch = getattr(self._coder, "encode_batch_fast", self._coder.encode_batch)
         self._cache = RecentCache(CACHE_WORDS)
+        self._ends_in_letter: dict[str, bool] = {}  # by last character, at most one entry per code point
 
     def _encode(self, found: list[str]) -> list[bytes]:
-        return [pack_ids(f"<{len(e.ids)}I", *e.ids) for e in self._batch(found, add_special_tokens=False)]
+        """Ids of words without ASCII white space: ``JOINED`` at a time as one text, cut where a word begins."""
+        out = []
+        for lo in range(0, len(found), 64 * JOINED):
+            parts = [found[i:i + JOINED] for i in range(lo, min(len(found), lo + 64 * JOINED), JOINED)]
+            for e, part in zip(self._coder.encode_batch([" ".join(p) for p in parts], add_special_tokens=False), parts):
+                begins = np.cumsum([0] + [len(w) + 1 for w in part])
+                at = (4 * np.searchsorted([a for a, _ in e.offsets], begins)).tolist()
+                data = np.array(e.ids, "<u4").tobytes()
+                out += [data[a:b] for a, b in zip(at, at[1:])]
+        return out
+
+    def _takes_marks(self, core: bytes) -> bool:
+        """Does the word still end in a letter when normalized?  Marks behind it are tokens apart only then."""
+        last = core[-4:].decode(errors="ignore")[-1:]
+        if last not in self._ends_in_letter:
+            self._ends_in_letter[last] = self._coder.normalizer.normalize_str(last)[-1:].isalpha()
+        return self._ends_in_letter[last]
 
     def ids(self, texts: list[bytes]) -> list[bytes]:
         whole = {i for i, t in enumerate(texts) if b"<|" in t and any(s in t for s in SPECIAL)}
@@ -77,14 +93,15 @@ class WordCoder:
         new = self._cache.missing(set().union(*split))
         words = self._cache.young
         # marks behind a letter are a token of their own, so most new words are a known one with a mark
-        ends = [(w, core) for w in new if (core := w.rstrip(MARKS)) and core != w and core[-3:].decode(errors="ignore")[-1:].isalpha()]
+        ends = [(w, core) for w in new if (core := w.rstrip(MARKS)) and core != w and self._takes_marks(core)]
         parts = {core for _, core in ends} | {w[len(core):] for w, core in ends}
         need = self._cache.missing(parts.union(new).difference([w for w, _ in ends]))
         words.update(zip(need, self._encode([w.decode() for w in need])))
         words.update((w, words[core] + words[w[len(core):]]) for w, core in ends)
         out = [b"".join(map(words.__getitem__, s)) for s in split]
         for i in whole:
-            out[i] = self._encode([texts[i].decode()])[0]
+            ids = self._coder.encode(texts[i].decode(), add_special_tokens=False).ids
+            out[i] = np.array(ids, "<u4").tobytes()
         return out
 
 

@@ -70,6 +70,20 @@ def _check_packing(texts, rows, capacity):
     return len(held)
 
 
+def test_ids_of_every_letter_before_marks():
+    """Letters that normalizing turns into letter and mark, and all others, alone and behind a word."""
+    from tokenizers import Tokenizer
+
+    path = packing.vocabulary_path("word_bpe_49k.json")
+    plain, coder = Tokenizer.from_file(path), packing.WordCoder(path)
+    letters = [chr(i) for i in range(0x110000) if chr(i).isalpha() and not (0x4e00 <= i < 0x9f00 or 0xac00 <= i < 0xd700 or i >= 0x20000)]
+    texts = [f"HAD{c}! {c}. x{c}?!" for c in letters] + ["HADİ! \u0301x e\u0301! a\u00a0b. \u0307! İ\u0307, '. don't! <|x|>! \u2003 9! a9!",
+                                                     "\u0928\u093f! \u1112\u1161\u11ab! Ǆ! ΣΑΣ! <|endoftext|>! x"]
+    got = [b for i in range(0, len(texts), 1000) for b in coder.ids([t.encode() for t in texts[i:i + 1000]])]
+    want = [np.array(e.ids, "<u4").tobytes() for e in plain.encode_batch(texts, add_special_tokens=False)]
+    assert [t for t, a, b in zip(texts, got, want) if a != b] == []
+
+
 def test_pack_the_documents(spark):
     rows = packing.pack(_documents(spark)).collect()
     n = _check_packing(list(_texts(spark).items()), rows, 2048)
