@@ -30,6 +30,7 @@ from ..functions import (
     check_folder,
     parse_ai_line,
 )
+from ..sources.suggestions import Suggestions
 from ..sources.xmldocs import with_parse_status
 
 # Fixed value: error text of a document without application number.
@@ -64,7 +65,7 @@ HOT_SHARE = 10_000
 SALT_ROWS = 10_000
 
 
-def doc_lst_join(docs: DataFrame, lst: DataFrame, hot_share: int = HOT_SHARE, salt_rows: int = SALT_ROWS) -> DataFrame:
+def doc_lst_join(docs: DataFrame, lst: DataFrame | Suggestions, hot_share: int = HOT_SHARE, salt_rows: int = SALT_ROWS) -> DataFrame:
     """Documents (with ``application_key``) left-joined to their AI line.
 
     Inner-join semantics for the good documents come from the later
@@ -78,30 +79,44 @@ def doc_lst_join(docs: DataFrame, lst: DataFrame, hot_share: int = HOT_SHARE, sa
     ``ceil(n / salt_rows)`` salts, their lines are repeated once per salt and
     joined on (key, salt), so no task gets all of them.  ``docs`` is read
     more than once and should be a written table.
+
+    :class:`Suggestions` are joined as they lie: the base first, then the newer
+    lines, which win.
     """
     key = F.col("application_key")
-    lines = lst.select(F.col("application_key").alias("_line_key"), "ai_line")
+    sides = [lst.base, lst.newer] if isinstance(lst, Suggestions) else [lst]
+    tables = [t.select(F.col("application_key").alias("_line_key"), F.col("ai_line").alias("_line"), F.lit(True).alias("_there"))
+              for t in sides]
     names = [*docs.columns, "ai_line"]
     # a name with NUL is no file's, so these keys match nothing
     own = F.coalesce(key, F.concat(F.lit("\x00"), F.xxhash64(*docs.columns).cast("string")))
     total = docs.count()  # of a written table: from its footers
     counts = docs.where(key.isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
     found = counts.where((F.col("_n") > salt_rows) & (F.col("_n") * hot_share >= total)).collect()
+
+    def joined(rows: DataFrame, lines: list[DataFrame], salted: bool) -> DataFrame:
+        rows = rows.withColumn("ai_line", F.lit(None).cast("string"))
+        for table in lines:
+            same = F.col("_key") == F.col("_line_key")
+            same = same & (F.col("_salt") == F.col("_line_salt")) if salted else same
+            rows = rows.join(table, same, "left").withColumn("ai_line", F.when(F.col("_there"), F.col("_line")).otherwise(F.col("ai_line")))
+            rows = rows.drop("_line_key", "_line", "_there", "_line_salt")
+        return rows.select(*names)
+
+    keyed = docs.withColumn("_key", own)
     if not found:
-        return docs.withColumn("_key", own).join(lines, F.col("_key") == F.col("_line_key"), "left").select(*names)
+        return joined(keyed, tables, False)
     hot = F.broadcast(docs.sparkSession.createDataFrame(
         [(r["application_key"], -(-r["_n"] // salt_rows)) for r in found], "_hot_key string, _salts int"))
-    marked = docs.withColumn("_key", own).join(hot, F.col("_key") == F.col("_hot_key"), "left")
-    cold = marked.where(F.col("_hot_key").isNull()).join(lines, F.col("_key") == F.col("_line_key"), "left")
-    dealt = marked.where(F.col("_hot_key").isNotNull()).withColumn(
-        "_salt", F.pmod(F.xxhash64("source_file"), F.col("_salts")).cast("int")).drop("_hot_key", "_salts")
-    copies = lines.join(hot, F.col("_line_key") == F.col("_hot_key")).select(
-        "_line_key", "ai_line", F.explode(F.sequence(F.lit(0), F.col("_salts") - 1)).alias("_line_salt"))
-    split = dealt.join(copies, (key == F.col("_line_key")) & (F.col("_salt") == F.col("_line_salt")), "left")
-    return cold.select(*names).unionByName(split.select(*names))
+    marked = keyed.join(hot, F.col("_key") == F.col("_hot_key"), "left")
+    dealt = marked.where(F.col("_hot_key").isNotNull()).withColumn("_salt", F.pmod(F.xxhash64("source_file"), F.col("_salts")).cast("int"))
+    copies = [t.join(hot, F.col("_line_key") == F.col("_hot_key")).select(
+        "_line_key", "_line", "_there", F.explode(F.sequence(F.lit(0), F.col("_salts") - 1)).alias("_line_salt")) for t in tables]
+    cold = joined(marked.where(F.col("_hot_key").isNull()), tables, False)
+    return cold.unionByName(joined(dealt, copies, True))
 
 
-def build_wide(parsed_docs: DataFrame, lst: DataFrame, lst_prefix: str = "lst/") -> DataFrame:
+def build_wide(parsed_docs: DataFrame, lst: DataFrame | Suggestions, lst_prefix: str = "lst/") -> DataFrame:
     """Parsed documents + (application_key, ai_line) -> wide rows (native arrays).
 
     ``parsed_docs`` comes from :func:`parse_patent_xml` (bulletin_code,

@@ -26,7 +26,8 @@ from ..operators.model import DEFAULT_MAX_ITER, DEFAULT_TOLERANCE, train_candida
 from ..operators.split import split_long
 from ..operators.wide import build_wide, encode_wide
 from ..session import materialize, remove_path
-from ..sources.files import list_object_keys, scan_bulletin_documents, scan_lst
+from ..sources.files import list_object_keys, replace_folder, scan_bulletin_documents, scan_lst
+from ..sources.suggestions import Suggestions
 
 RUNS_SCHEMA = (
     "candidate_name string, ord int, run_id string, model_name string, model_version string, "
@@ -82,13 +83,14 @@ class PrepResult:
     rows: int
 
 
-def prep_job(spark: SparkSession, pub_dir: str, lst_source: str | DataFrame, out_dir: str,
+def prep_job(spark: SparkSession, pub_dir: str, lst_source: str | DataFrame | Suggestions, out_dir: str,
              training_last_month: str, months: int, lst_prefix: str = "lst/",
              encode: bool = True) -> PrepResult:
     """O4 -> F1 -> S1/S2 -> D6 -> K1.
 
-    ``lst_source`` is a directory of ``*.LST`` files or an already compacted
-    (application_key, ai_line) DataFrame (see ``ingest_lst``).  The dataset is
+    ``lst_source`` is a directory of ``*.LST`` files, an already compacted
+    (application_key, ai_line) DataFrame (see ``ingest_lst``) or an ingested store
+    (``suggestions.read``).  The dataset is
     written beside its place and moved there when it is complete and has rows;
     a failing or empty run leaves an earlier dataset as it is.
     """
@@ -108,7 +110,7 @@ def prep_job(spark: SparkSession, pub_dir: str, lst_source: str | DataFrame, out
         (encode_wide(wide) if encode else wide).write.parquet(staged)
         n = spark.read.parquet(staged).count()  # from the footers
         if n:
-            _replace(spark, staged, path)
+            replace_folder(spark, staged, path)
     finally:
         remove_path(spark, docs_path)
         remove_path(spark, staged)
@@ -120,21 +122,6 @@ def dataset_file(spark: SparkSession, last_month: str, months: int) -> str:
     return spark.range(1).select(dataset_name(F.lit(last_month), months).alias("n")).first()["n"]
 
 
-def _replace(spark: SparkSession, staged: str, path: str) -> None:
-    """Put a complete folder in the place of another, which goes last."""
-    old = f"{path}.old-{uuid.uuid4().hex}"
-    (src, fs), (dst, _), (gone, _) = (_fs(spark, p) for p in (staged, path, old))
-    had = bool(fs.exists(dst))
-    if had and not fs.rename(dst, gone):
-        raise OSError(f"cannot move {path} aside")
-    if not fs.rename(src, dst):
-        if had:
-            fs.rename(gone, dst)
-        raise OSError(f"cannot move {staged} to {path}")
-    if had:
-        fs.delete(gone, True)
-
-
 TRAINING_COLUMNS = ["application_number", "bulletin_code", "expert_ipc_canon", "ai_ipc_canon", "ai_scores"]
 
 

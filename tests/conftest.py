@@ -28,3 +28,18 @@ def eval_col(spark, values, fn, schema="x string"):
     df = spark.createDataFrame(rows, f"i int, {schema}")
     out = df.select("i", fn("x").alias("out")).orderBy("i").collect()
     return [r["out"] for r in out]
+
+
+def unzipped(spark, pub, months):
+    """(bulletin_code, source_file, xml) of the months' archives, read whole and plainly; a corrupt member is null."""
+    import zipfile
+
+    rows = []
+    for month in months:
+        with zipfile.ZipFile(os.path.join(pub, f"{month}.zip")) as zf:
+            for name in (n for n in zf.namelist() if n.endswith("Document.xml")):
+                try:
+                    rows.append((month, name, bytearray(zf.read(name))))
+                except Exception:
+                    rows.append((month, name, None))
+    return spark.createDataFrame(rows, "bulletin_code string, source_file string, xml binary")

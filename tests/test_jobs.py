@@ -111,7 +111,8 @@ def test_prep_with_compacted_suggestions(spark, bucket):
 
 def test_one_archive_spreads_over_tasks(spark, bucket):
     from ipcforge.sources import files
-    from ipcforge.sources.files import archive_ranges, read_archive_documents, scan_bulletin_archives
+    from conftest import unzipped
+    from ipcforge.sources.files import archive_ranges, read_archive_documents
     from ipcforge.sources.xmldocs import parse_patent_xml
 
     zips = [os.path.join(bucket["pub"], f) for f in os.listdir(bucket["pub"]) if f.endswith(".zip")]
@@ -128,8 +129,7 @@ def test_one_archive_spreads_over_tasks(spark, bucket):
     assert len(ranges) >= 4 and all(r["last"] - r["first"] <= 2000 or len(r["members"]) == 1 for r in ranges)
     tasks = docs.select(F.spark_partition_id().alias("p")).distinct().count()
     assert tasks >= 3  # one archive, many reading tasks
-    codes = spark.createDataFrame([(month,)], "bulletin_code string")
-    fallback = parse_patent_xml(scan_bulletin_archives(spark, bucket["pub"], codes, 8))
+    fallback = parse_patent_xml(unzipped(spark, bucket["pub"], [month]))
     cols = ["bulletin_code", "source_file", "patent_number", "application_number", "bulletin_date"]
     assert docs.select(cols).exceptAll(fallback.select(cols)).count() == 0
     assert docs.count() == fallback.count() > 0

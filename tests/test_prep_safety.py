@@ -11,7 +11,7 @@ import zipfile
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import ROOT
+from conftest import ROOT, unzipped
 from ipcforge.plans.jobs import _join, prep_job, read_table, read_wide, select_job, train_job, write_table
 from ipcforge.sources import files
 from ipcforge.sources.files import archive_ranges, ingest_lst, list_object_keys, lst_table, scan_lst
@@ -54,8 +54,8 @@ def test_corrupt_member_is_one_error_row(spark, place):
     res = prep_job(spark, f"{place}/pub", f"{place}/lst", f"{place}/out", "last", 1)
     wide = read_wide(spark, res.output_path)
     assert res.rows == 3 and wide.where("error is not null").select("source_file").collect()[0][0] == "202103/1/Document.xml"
-    fallback = files.scan_bulletin_archives(spark, f"{place}/pub", spark.createDataFrame([("202103",)], "bulletin_code string"))
-    assert fallback.where("xml is null").count() == 1 and fallback.count() == 3
+    plain = unzipped(spark, f"{place}/pub", ["202103"])
+    assert plain.where("xml is null").count() == 1 and plain.count() == 3
 
 
 def test_slash_in_the_application_number(spark, place):
