@@ -232,10 +232,12 @@ def _classes(docs: DataFrame, key_col: str, text_col: str, width: int, percent:
     sets = feats.where("n_shingles > 0").groupBy("set_a", "set_b").agg(
         F.min("id").alias("least"), F.min("row").alias("row"), *[F.first(c).alias(c) for c in ("bands", *sketch)])
     sets, _ = materialize(sets.withColumn("class", F.monotonically_increasing_id()), "sets")
-    buckets, buckets_path = materialize(sets.select(F.col("class").alias("id"), F.explode("bands").alias("band")), "buckets")
+    # the first of a bucket is the class of the smallest key: an original rather than one of its changed copies
+    key = F.coalesce("least", F.lit((1 << 63) - 1))
+    buckets, buckets_path = materialize(sets.select(F.col("class").alias("id"), key.alias("key"), F.explode("bands").alias("band")), "buckets")
     # only buckets that hold several classes, and the texts of their members, matter from here on
-    heads = buckets.groupBy("band").agg(F.min("id").alias("head"), F.count(F.lit(1)).alias("size")).where("size > 1")
-    shared, shared_path = materialize(buckets.join(heads, "band"), "shared")
+    heads = buckets.groupBy("band").agg(F.min(F.struct("key", "id")).alias("first"), F.count(F.lit(1)).alias("size")).where("size > 1")
+    shared, shared_path = materialize(buckets.drop("key").join(heads.select("band", F.col("first.id").alias("head"), "size"), "band"), "shared")
     members = sets.join(shared.select(F.col("id").alias("class")).distinct(), "class", "left_semi")
     sketches, sketches_path = materialize(members.select(F.col("class").alias("id"), "row", "bands", *sketch), "sketches")
     # one plan at every size: whether few or many members, the texts are dealt by row
