@@ -124,9 +124,13 @@ def build_wide(parsed_docs: DataFrame, lst: DataFrame | Suggestions, lst_prefix:
     parse_error).  They are read twice (:func:`doc_lst_join`), so pass a
     written table (``prep_job`` does).
     """
+    return route_wide(doc_lst_join(with_parse_status(parsed_docs), lst), lst_prefix)
+
+
+def route_wide(joined: DataFrame, lst_prefix: str = "lst/") -> DataFrame:
+    """F2/F3 and the wide columns of documents with parse status and ``ai_line``."""
     prefix = check_folder(lst_prefix)
-    docs = with_parse_status(parsed_docs).withColumn("expert", expert_codes("ipc_texts"))
-    joined = doc_lst_join(docs, lst)
+    joined = joined.withColumn("expert", expert_codes("ipc_texts"))
     # good documents without any AI suggestion are dropped (cheap test
     # first, so the pushed-down filter does not repeat the parse).
     kept = joined.where((F.col("doc_status") != "ok") | has_ai_items("ai_line")).withColumn(
