@@ -20,7 +20,8 @@ empty table gives an empty table.  Positions are code points, end exclusive.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from bisect import bisect_right
+from collections.abc import Callable, Iterable, Iterator
 
 import ahocorasick
 import pyarrow as pa
@@ -177,6 +178,23 @@ def _addresses(text: str, schemes: list[tuple[int, int]]) -> Iterator[tuple[int,
             yield start, end
 
 
+def _gaps(spans: Iterable[tuple[int, int]]) -> Callable[[int, int], bool]:
+    """Does a span overlap none of these?  Their union is searched, whatever their number."""
+    starts, ends = [], []
+    for a, b in sorted(spans):
+        if ends and a < ends[-1]:
+            ends[-1] = max(ends[-1], b)
+        else:
+            starts.append(a)
+            ends.append(b)
+
+    def free(a: int, b: int) -> bool:
+        i = bisect_right(ends, a)
+        return i == len(ends) or starts[i] >= b
+
+    return free
+
+
 def find_pii(text: str, automaton: ahocorasick.Automaton | None = None) -> list[tuple[str, int, int]]:
     """All spans of a text as (kind, start, end), by kind as listed, then start."""
     automaton = automaton or worker_state("pii_automaton", _automaton)
@@ -197,8 +215,7 @@ def find_pii(text: str, automaton: ahocorasick.Automaton | None = None) -> list[
     out += [("ip", *s) for s in _ips(text, runs)]
     out += [("card", *s) for s in _cards(text, runs)]
     out += [("phone", *s) for s in _phones(text, pluses)]
-    taken = sorted(s[1:] for s in out)
-    free = lambda a, b: not any(a < y and x < b for x, y in taken)
+    free = _gaps(s[1:] for s in out)
     out += [("address", *s) for s in _addresses(text, schemes) if free(*s)]
     out += [("account", *s) for s in _accounts(text, cues) if free(*s)]
     return out

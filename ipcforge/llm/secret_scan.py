@@ -73,14 +73,16 @@ def _codes(run: Column) -> Column:
 
 
 def labelled_samples(docs: DataFrame, text_col: str = "text", key_col: str = "doc_id", sample_docs: int = SAMPLE_DOCS) -> DataFrame:
-    """(random boolean, run) from about ``sample_docs`` documents chosen by a hash of the key.
+    """(random boolean, run) from about ``sample_docs`` different documents chosen by a hash of key and text.
 
     Values of base matches are random strings; every other run of 6 or more
     characters is an ordinary identifier.
     """
-    total = docs.count()
+    row = F.xxhash64(key_col, text_col)  # null keys differ by their texts
+    total = docs.agg(F.approx_count_distinct(row)).first()[0]
     cut = int(min(1.0, sample_docs / max(total, 1)) * (1 << 30))
-    some = docs.where(F.pmod(F.xxhash64(key_col), F.lit(1 << 30)) < cut).select(F.coalesce(text_col, F.lit("")).alias("t"))
+    chosen = docs.where(F.pmod(row, F.lit(1 << 30)) < cut)
+    some = chosen.select(row.alias("row"), F.coalesce(text_col, F.lit("")).alias("t")).dropDuplicates(["row"])
     some = some.select("t", F.transform(_base(F.col("t")), lambda s: s["value"]).alias("hits"))
     rest = F.regexp_replace(F.regexp_replace(F.regexp_replace("t", ASSIGN, " "), ACCESS, " "), HEX, " ")
     other = F.regexp_extract_all(rest, F.lit(RUN.replace("{20,}", "{6,}")), F.lit(0))

@@ -195,3 +195,22 @@ def test_edges_of_pii_and_secrets(spark):
     assert set(CLASHING) <= set(pii.with_pii(docs).columns)
     assert pii.with_pii(docs, redacted_col="text").where("doc_id = 9").first()["text"].startswith("mail [EMAIL] or [PHONE]")
     assert pii.pii_digest(docs.limit(0)).count() == secret_scan.secret_digest(docs.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("seed", range(20))
+def test_added_spans_overlap_no_other(seed):
+    rnd = random.Random(seed)
+    spans = [(a, a + rnd.randint(1, 9)) for a in (rnd.randint(0, 80) for _ in range(rnd.randint(0, 14)))]
+    free = pii._gaps(spans)
+    for _ in range(300):
+        a = rnd.randint(0, 90)
+        b = a + rnd.randint(1, 9)
+        assert free(a, b) == (not any(a < y and x < b for x, y in spans))
+
+
+def test_secret_sample_with_null_and_repeated_keys(spark):
+    """Null keys are chosen by their texts, repeated rows once, so the bound of the sample holds."""
+    some = spark.range(4000).selectExpr("cast(null as long) as doc_id", "concat('ident', id, 'x') as text")
+    same = spark.range(4000).selectExpr("7L as doc_id", "'repeated_identifier' as text")
+    got = secret_scan.labelled_samples(some.unionByName(same), sample_docs=200).collect()
+    assert 120 < len(got) < 300 and sum(r["run"] == "repeated_identifier" for r in got) <= 1
