@@ -110,6 +110,40 @@ def q_train_candidates(spark, sf):
         (F.col("val_rmse") < F.col("mean_rmse") * 0.5).alias("beats_mean"), (F.col("n_trees") > 0).alias("has_trees"))
 
 
+def q_train_candidates_label(spark, sf):
+    """The same fits on the derived labels, which hold no signal: no candidate may lose much to the train mean."""
+    from ipcforge.operators.model import train_candidates
+
+    long = cut_lineage(derived.long(spark, sf), "long")
+    runs = train_candidates(cut_lineage(split_long(long)))
+    mean = inputs.mean_predictor_champion(inputs.split_sums(inputs.month_sums(long))).select(F.col("val_rmse").alias("mean_rmse"))
+    return runs.join(F.broadcast(mean), F.lit(True)).select(
+        "candidate_name", "ord", "n_train", "n_val",
+        (F.col("val_rmse") < F.col("mean_rmse") * 1.1).alias("near_mean"), (F.col("n_trees") > 0).alias("has_trees"))
+
+
+def q_train_select_jobs(spark, sf):
+    """K1, S6, S7, K3, K4, S8, S9, K5 through the jobs: a written dataset, one training round, one selection."""
+    import uuid
+
+    from ipcforge.plans import jobs
+
+    root = shared_path(spark, "tables", f"jobs-{uuid.uuid4().hex}")
+    wide = derived.wide_table(spark, sf)
+    last = month_ops.month_range(wide).first()["last_month"]
+    encode_wide(wide).write.parquet(f"{root}/dataprep/{jobs.dataset_file(spark, last, 12)}")
+    jobs.train_job(spark, f"{root}/dataprep", f"{root}/models", "last", 12, max_iter=10)
+    result = jobs.select_job(spark, f"{root}/models", f"{root}/prod")
+    runs = jobs.read_results(spark, f"{root}/models/results")
+    saved = [r["model_key"] for r in runs.select("model_key").collect() if jobs.path_exists(spark, r["model_key"])]  # one per candidate
+    registry = jobs.read_table(spark, f"{root}/prod/registry", jobs.REGISTRY_SCHEMA)
+    champion = registry.where(F.col("slot") == "champion").agg(F.count(F.lit(1)).alias("n_champions"), F.max("run_id").alias("run"))
+    return runs.join(F.broadcast(champion), F.lit(True)).select(
+        "candidate_name", "ord", "model_version", "n_train", "n_val", "training_last_month_resolved", "n_champions",
+        F.col("model_key").isin(saved).alias("model_saved"), F.lit(result["promote"]).alias("promoted"),
+        (F.col("run") == F.lit(result["best_new"]["run_id"])).alias("best_is_champion"))
+
+
 def q_bulletin_counts(spark, sf):
     return bulletin_counts(derived.wide(spark, sf))
 
@@ -394,6 +428,8 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "set_alias": q_set_alias,
     "run_metrics_map": q_run_metrics_map,
     "train_candidates": q_train_candidates,
+    "train_candidates_label": q_train_candidates_label,
+    "train_select_jobs": q_train_select_jobs,
 }
 
 
@@ -638,6 +674,15 @@ GROUP BY ALL
 """),
     "train_candidates": _cand_sql("""
 SELECT candidate_name, CAST(ord AS INTEGER) AS ord, n_train, n_val, true AS beats_mean, true AS has_trees FROM cand
+"""),
+    "train_candidates_label": _cand_sql("""
+SELECT candidate_name, CAST(ord AS INTEGER) AS ord, n_train, n_val, true AS near_mean, true AS has_trees FROM cand
+"""),
+    "train_select_jobs": _cand_sql("""
+SELECT candidate_name, CAST(ord AS INTEGER) AS ord, CAST(ord AS VARCHAR) AS model_version, n_train, n_val,
+  (SELECT max(bulletin_code) FROM patents) AS training_last_month_resolved, CAST(1 AS BIGINT) AS n_champions,
+  true AS model_saved, true AS promoted, true AS best_is_champion
+FROM cand
 """),
     "promotion_cases": _cand_sql("""
 SELECT 'no_champion' AS "case", true AS promote, 'no_current_champion' AS reason_code FROM best

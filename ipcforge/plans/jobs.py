@@ -13,9 +13,10 @@ from __future__ import annotations
 import json
 import re
 import uuid
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import dataset_name
@@ -81,6 +82,9 @@ class PrepResult:
     window: list[str]
     output_path: str | None
     rows: int
+    good: int = 0
+    error: int = 0
+    files_found: dict[str, int] = field(default_factory=dict)  # documents per archive of the window, wanted or not
 
 
 def prep_job(spark: SparkSession, pub_dir: str, lst_source: str | DataFrame | Suggestions, out_dir: str,
@@ -106,15 +110,20 @@ def prep_job(spark: SparkSession, pub_dir: str, lst_source: str | DataFrame | Su
     # The document join reads the documents several times: parse them once.
     docs, docs_path = materialize(scan_bulletin_documents(spark, pub_dir, window), "parsed_docs")
     try:
-        wide = build_wide(docs, lst, lst_prefix)
+        # one row per archive of the window
+        found = {r["bulletin_code"]: r["count"] for r in docs.groupBy("bulletin_code").count().collect()}
+        seen = Observation()  # counted by the write itself
+        wide = build_wide(docs, lst, lst_prefix).observe(
+            seen, F.count(F.lit(1)).alias("rows"), F.count(F.when(F.col("error").isNull(), 1)).alias("good"), F.count("error").alias("error"))
         (encode_wide(wide) if encode else wide).write.parquet(staged)
-        n = spark.read.parquet(staged).count()  # from the footers
+        counts = seen.get
+        n = counts["rows"]
         if n:
             replace_folder(spark, staged, path)
     finally:
         remove_path(spark, docs_path)
         remove_path(spark, staged)
-    return PrepResult(resolved, window_codes, path if n else None, n)
+    return PrepResult(resolved, window_codes, path if n else None, n, counts["good"], counts["error"], {c: found.get(c, 0) for c in window_codes})
 
 
 def dataset_file(spark: SparkSession, last_month: str, months: int) -> str:
@@ -155,8 +164,10 @@ def train_job(spark: SparkSession, data_dir: str, models_dir: str, training_last
     available = month_ops.list_datasets(list_folder_keys(spark, data_dir), "")
     resolved = resolve_or_raise(available, training_last_month, "prepared datasets")
     input_key = _join(data_dir, dataset_file(spark, resolved, months))
-    long = wide_to_long(read_wide(spark, input_key))
+    # written once: the split reads it for the months and for the rows
+    long, long_path = materialize(wide_to_long(read_wide(spark, input_key)), "long")
     split, split_path = materialize(split_long(long), "split")
+    remove_path(spark, long_path)
     try:
         runs = train_candidates(split, max_iter=max_iter, names=candidates, model_dir=models_dir, input_key=input_key,
                                 last_month=resolved, months_window=months, tolerance=tolerance, model_name=model_name)
@@ -227,12 +238,22 @@ def read_table(spark: SparkSession, base: str, schema: str) -> DataFrame:
     return spark.read.schema(schema).parquet(_join(base, f"v={vs[-1]}"))
 
 
+# Writers of one table that may take the same number at once.
+WRITE_TRIES = 10
+
+
 def write_table(df: DataFrame, base: str) -> str:
-    """Write the next version (never overwrites the version the plan reads)."""
-    vs = _versions_of(df.sparkSession, base, complete=False)  # a crashed write keeps its number
-    path = _join(base, f"v={(vs[-1] + 1) if vs else 1}")
-    df.write.mode("errorifexists").parquet(path)
-    return path
+    """Write the next version (never overwrites the version the plan reads); a number taken meanwhile is left to its writer."""
+    for _ in range(WRITE_TRIES):
+        vs = _versions_of(df.sparkSession, base, complete=False)  # a crashed write keeps its number
+        path = _join(base, f"v={(vs[-1] + 1) if vs else 1}")
+        try:
+            df.write.mode("errorifexists").parquet(path)
+            return path
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_ALREADY_EXISTS":
+                raise
+    raise OSError(f"no free version number under {base} after {WRITE_TRIES} tries")
 
 
 # ---------------------------------------------------------------- select
