@@ -84,11 +84,11 @@ def _marked_codes(wide: DataFrame) -> DataFrame:
     coded = F.filter(codes, lambda c: c.isNotNull() & (c != ""))
     lists = wide.select(
         F.col("application_number").alias("patent_id"), "bulletin_code", "source_file",
-        expert.alias("expert"), expert_main_groups(expert).alias("expert_main"), coded.alias("codes"),
+        expert.alias("expert"), expert_main_groups(expert).alias("expert_main"),
+        # exploded as an expression: for a column Spark would add a test of its size and so decode the list twice
+        F.posexplode(coded).alias("pos", "ipc_code"),
     )
-    items = lists.select(
-        "patent_id", "bulletin_code", "source_file", "expert", "expert_main", F.posexplode("codes").alias("pos", "ipc_code")
-    ).withColumn("ipc_main", main_group_of("ipc_code"))
+    items = lists.withColumn("ipc_main", main_group_of("ipc_code"))
     return items.select(
         "patent_id", "bulletin_code", "source_file", (F.col("pos") + 1).cast("int").alias("rank"), "ipc_code", "ipc_main",
         F.coalesce(F.array_contains("expert", F.col("ipc_code")), F.lit(False)).alias("exact"),

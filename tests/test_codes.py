@@ -156,3 +156,29 @@ def test_has_ai_items_matches_parse(spark, lines):
     df = spark.createDataFrame([(x,) for x in lines], "l string")
     rows = df.select((F.size(parse_ai_line("l")) > 0).alias("a"), has_ai_items("l").alias("b")).collect()
     assert all(r["a"] == r["b"] for r in rows), lines
+
+
+def test_usual_spellings_skip_the_cleaning(spark):
+    """The quick form and the cleaned one agree, and a strip is no regular expression."""
+    from ipcforge.functions import codes
+    from ipcforge.functions.text import WS_CHARS, py_strip
+
+    assert sorted(WS_CHARS) == [chr(c) for c in range(0x110000) if chr(c).isspace()]
+    texts = [f"{a}{s}01{k}{b}{z}31{b}/{b}10{t}{e}" for a in ("", " ", "\n") for s in "Ah" for k in "Kk" for b in ("", " ", "\t ")
+             for z in ("", "00", "00000", "000000") for t in ("", " 20060101AFI", "20060101", " (2006.01)", " 20060101\nX/1") for e in ("", "\x1c")]
+    df = spark.createDataFrame([(t,) for t in texts], "x string")
+    slow = codes._canon_of_cleaned(codes._cleaned_code(F.col("x")))
+    assert df.where(~slow.eqNullSafe(codes.canonicalize_code("x"))).count() == 0
+    assert df.where(F.col("x").rlike(codes._PLAIN)).count() > len(texts) // 4
+    assert "regexp" not in str(py_strip(F.col("x")))
+
+
+def test_match_operators_parse_a_list_once(spark):
+    """No test of the exploded list's size is pushed below, which would parse the line a second time."""
+    from ipcforge.operators.long import unmatched_anti
+
+    wide = spark.createDataFrame([("1", "202101", "f", "A01K 31/00", "A01K 31/00|B01K 31/10")],
+                                 "application_number string, bulletin_code string, source_file string, expert_ipc_canon string, ai_ipc_canon string")
+    found = unmatched_anti(wide)
+    assert [r["ipc_code"] for r in found.collect()] == ["B01K 31/10"]
+    assert "size(" not in found._jdf.queryExecution().optimizedPlan().toString()
