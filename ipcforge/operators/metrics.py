@@ -33,13 +33,15 @@ def evaluate_by_month(long: DataFrame, prediction: Column, label: str = "y") ->
     """The result of :func:`evaluate_split` from one pass over the long rows.
 
     Errors are summed per month first; the split and the averages then work on
-    a row per month, and the long rows are never joined.
+    a row per month, and the long rows are never joined.  The month rows are written once: the
+    split needs only their codes, and Spark would make the long rows again for those.
     """
+    from ..session import cut_lineage
     from .split import month_split
 
     diff = F.col(label).cast("double") - prediction.cast("double")
-    sums = long.groupBy("bulletin_code").agg(
-        F.count(F.lit(1)).alias("n"), F.count(diff).alias("known"), F.sum(diff * diff).alias("se"), F.sum(F.abs(diff)).alias("ae"))
+    sums = cut_lineage(long.groupBy("bulletin_code").agg(
+        F.count(F.lit(1)).alias("n"), F.count(diff).alias("known"), F.sum(diff * diff).alias("se"), F.sum(F.abs(diff)).alias("ae")), "month_errors")
     split = sums.join(F.broadcast(month_split(sums).select("bulletin_code", "split")), "bulletin_code", "left")
     side = lambda which, c: F.sum(F.when(F.col("split") == which, F.col(c)))
     return split.agg(

@@ -111,3 +111,13 @@ def test_registry_queries_scan_one_small_table(spark):
     for name in ("set_alias", "rotate_slots", "promotion_decision"):
         plan = _plan(E.queries()[name](spark, SF_SMALL))
         assert "lineitem" not in plan and plan.count("FileScan") <= 8, name
+
+
+def test_fixed_predictor_makes_the_long_rows_once(spark, tmp_path):
+    from ipcforge.operators.metrics import evaluate_by_month
+
+    rows = [(f"2021{m:02d}", float(i % 2), 0.5 * i) for m in range(1, 7) for i in range(4)]
+    spark.createDataFrame(rows, "bulletin_code string, y double, p double").write.parquet(f"{tmp_path}/rows")
+    found = evaluate_by_month(spark.read.parquet(f"{tmp_path}/rows"), F.col("p"))
+    assert not any(str(tmp_path) in f for f in found.inputFiles())
+    assert [(r["n_train"], r["n_val"]) for r in found.collect()] == [(16, 8)]
