@@ -7,7 +7,8 @@ however many rows there are, up to the number of different cells.
 
 All candidates grow in one barrier stage over few partitions: every task
 keeps its cells in memory, and per level all tasks exchange the sums per
-(node, feature, bin) and choose the same splits from the totals.  Validation cells
+(node, feature, bin) through files of the shared checkpoint folder (:class:`FileExchange`; a barrier call
+waits a whole second, and a tree needs one per level) and choose the same splits from the totals.  Validation cells
 are routed along, so the error of every prefix of trees comes with them.  After
 ``TREES_PER_STAGE`` trees the stage ends and the trees go to the driver (their size
 does not depend on the data); the next stage starts from them, so a lost
@@ -20,6 +21,8 @@ counts fully, each later tree fits twice the residual and counts with the learni
 from __future__ import annotations
 
 import base64
+import time
+import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -33,10 +36,12 @@ from pyspark.ml.util import DefaultParamsReader, DefaultParamsWriter, MLReadable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import remove_path, shared_path
+from ..sources import files
 from .target_stats import encode_with
 
 BINS = 64
-CELLS_PER_TASK = 500_000
+CELLS_PER_TASK = 50_000
 TREES_PER_STAGE = 250
 _NONE = -1
 
@@ -229,23 +234,81 @@ class Grower:
             trees.add(g["feature"], g["bin"], g["value"], float(sse / count) if count else float("nan"))
 
 
-def _exchange_over(context: BarrierTaskContext, parts: int):
-    """Totals over all tasks of a list of arrays, added in the tasks' order."""
+class FileExchange:
+    """Every task's bytes for every task of a barrier stage, as files of a folder that all of them see.
+
+    The first step is a barrier call, which starts all tasks together and gives an attempt of the stage
+    a folder of its own.  A file appears whole; who has read a step of all tasks knows that all have read
+    the step before it, so that one's own file of that step goes.
+    """
+
+    def __init__(self, context: BarrierTaskContext, folder: str, store: dict[str, str]):
+        self.mine, self.step = context.partitionId(), 0
+        names = context.allGather(uuid.uuid4().hex)
+        self.parts = len(names)
+        self.fs, base = files.filesystem_of(folder, store)
+        self.base = f"{base}/{names[0]}"
+        self.fs.create_dir(self.base, recursive=True)
+
+    def _path(self, step: int, part: int) -> str:
+        return f"{self.base}/{step}-{part}"
+
+    def all_of(self, data: bytes) -> list[bytes]:
+        """The tasks' bytes of this step, in the tasks' order."""
+        path = self._path(self.step, self.mine)
+        whole = path if self.fs.type_name == "s3" else f"{path}.part"  # an object is whole when it is seen
+        with self.fs.open_output_stream(whole) as out:
+            out.write(data)
+        if whole != path:
+            self.fs.move(whole, path)
+        found = [data if p == self.mine else self._wait(self._path(self.step, p)) for p in range(self.parts)]
+        if self.step:
+            self.fs.delete_file(self._path(self.step - 1, self.mine))
+        self.step += 1
+        return found
+
+    def _wait(self, path: str) -> bytes:
+        """A file's bytes once it is there; if its task fails, Spark ends this one with the stage."""
+        pause = 0.0005
+        while True:
+            try:
+                with self.fs.open_input_stream(path) as fh:
+                    return fh.read()
+            except FileNotFoundError:
+                time.sleep(pause)
+                pause = min(pause * 1.5, 0.05)
+
+
+def _exchange_over(context: BarrierTaskContext, parts: int, folder: str | None = None, store: dict[str, str] | None = None):
+    """Totals over all tasks of a list of arrays, added in the tasks' order; without a folder by barrier calls."""
+    if parts == 1:
+        return lambda arrays: arrays
+    if folder is None:
+        gather = lambda data: [base64.b64decode(m) for m in context.allGather(base64.b64encode(data).decode())]
+    else:
+        gather = FileExchange(context, folder, store or {}).all_of
 
     def exchange(arrays: list[np.ndarray]) -> list[np.ndarray]:
-        if parts == 1:
-            return arrays
         flat = np.concatenate([a.ravel() for a in arrays])
-        messages = context.allGather(base64.b64encode(flat.tobytes()).decode())
         total = np.zeros_like(flat)
-        for m in messages:
-            total += np.frombuffer(base64.b64decode(m))
+        for m in gather(flat.tobytes()):
+            total += np.frombuffer(m)
         cut = np.cumsum([a.size for a in arrays])[:-1]
         return [t.reshape(a.shape) for t, a in zip(np.split(total, cut), arrays)]
 
     return exchange
 
 
+def _exchange_folder(spark, store: dict[str, str]) -> str | None:
+    """A new folder for a growth's exchanges, or None where tasks cannot open the checkpoint folder's file system."""
+    folder = files._qualified(spark, shared_path(spark, "exchange", uuid.uuid4().hex))[0]
+    try:
+        files.filesystem_of(folder, store)
+    except (OSError, ValueError):
+        return None
+    return folder
+
+
 _TREE_ROWS = "candidate int, tree int, feature array<int>, bin array<int>, value array<double>, error double"
 
 
@@ -255,13 +318,16 @@ def grow_trees(cells: DataFrame, features: list[str], configs: list[TreeConfig],
     spread = cells.repartition(partitions, *features)
     models = [Trees.none(c) for c in configs]
     names = [f.name for f in spread.schema.fields]
+    spark = cells.sparkSession
+    store = files.store_settings(spark)
+    folder = _exchange_folder(spark, store) if partitions > 1 else None
     while len(models[0]) < max_iter and not (enough and len(models[0]) and all(enough(t) for t in models)):
         rounds = min(per_stage, max_iter - len(models[0]))
         start = models  # a new list per stage: what a task gets
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             context = BarrierTaskContext.get()
-            grower = Grower(*arrays_of(list(batches)), bins, configs, start, _exchange_over(context, partitions))
+            grower = Grower(*arrays_of(list(batches)), bins, configs, start, _exchange_over(context, partitions, folder, store))
             first = len(start[0])
             for _ in range(rounds):
                 grower.grow()
@@ -284,6 +350,8 @@ def grow_trees(cells: DataFrame, features: list[str], configs: list[TreeConfig],
         models = [Trees(t.feature, t.bin, t.value, t.rate, list(t.errors)) for t in models]
         for r in sorted(found, key=lambda r: (r["candidate"], r["tree"])):
             models[r["candidate"]].add(np.array(r["feature"]), np.array(r["bin"]), np.array(r["value"]), r["error"])
+    if folder:
+        remove_path(spark, folder)
     return models
 
 

@@ -134,3 +134,34 @@ def test_candidates_together_equal_candidates_alone(spark):
     # unknown and missing categories and values score too
     odd = _frame(spark, [(None, None, None, None, None, None, None, None), (float("nan"), 1, 1, 1, "new", "new", "new", 0.0)])
     assert all(np.isfinite(r["prediction"]) for r in again.transform(odd).collect())
+
+
+def test_tasks_exchange_without_waiting_for_barrier_calls(spark):
+    """Trees of many tasks take no second per level, leave no file, and are those of one task and of barrier calls."""
+    import os
+    import time
+
+    from ipcforge.session import ensure_checkpoint_dir
+
+    features = ["ai_score", "rank", "main_group", "subgroup"]
+    cells = _cells(spark, _rows(1500), features)[2].cache()
+    config = [boosting.TreeConfig([0, 1, 2, 3], 3, 0.1), boosting.TreeConfig([0, 1], 2, 0.1)]
+    cells.count()
+    began = time.time()
+    many = boosting.grow_trees(cells, features, config, 12, 3, bins=100, per_stage=6)
+    assert time.time() - began < 24  # 12 trees of 4 steps: 48 barrier calls would take 48 s
+    one = boosting.grow_trees(cells, features, config, 12, 1, bins=100)
+    for a, b in zip(many, one):
+        assert len(a) == 12 and (a.feature == b.feature).all() and (a.bin == b.bin).all()
+        assert a.errors == pytest.approx(b.errors, abs=1e-12) and a.value == pytest.approx(b.value, abs=1e-12)
+    left = ensure_checkpoint_dir(spark).removeprefix("file:") + "/exchange"
+    assert not os.path.exists(left) or not os.listdir(left)
+
+
+def test_tasks_without_a_common_folder_use_barrier_calls(spark, monkeypatch):
+    features = ["ai_score", "rank"]
+    cells = _cells(spark, _rows(300), features)[2]
+    config = [boosting.TreeConfig([0, 1], 2, 0.1)]
+    want = boosting.grow_trees(cells, features, config, 2, 2)
+    monkeypatch.setattr(boosting, "_exchange_folder", lambda *_: None)
+    assert boosting.grow_trees(cells, features, config, 2, 2)[0].errors == pytest.approx(want[0].errors, abs=1e-12)
