@@ -182,3 +182,15 @@ def test_match_operators_parse_a_list_once(spark):
     found = unmatched_anti(wide)
     assert [r["ipc_code"] for r in found.collect()] == ["B01K 31/10"]
     assert "size(" not in found._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_quick_form_runs_once(spark):
+    """The usual spellings are matched by one expression, and text that holds no code by none of the two full ones."""
+    from ipcforge.functions import codes
+
+    df = spark.createDataFrame([("a01k 0031/10",), ("\x00a01k 31/10",), ("A01K 0000 31/10",), ("A01K  0000/10",), (None,)], "x string")
+    made = df.select("x", canonicalize_code("x").alias("c"))
+    assert made._jdf.queryExecution().analyzed().toString().count(codes._PLAIN) == 1
+    assert [r["c"] for r in made.collect()] == ["A01K 31/10", "\x00A01K 31/10", "A01K 0000 31/10", "A01K 0/10", None]
+    some = spark.createDataFrame([("31101010",), ("A01K 31/10 (2006.01)",), ("A01K 31/10",)], "x string")
+    assert [r[0] for r in some.select(F.col("x").rlike(codes._MAY_BE_CODE)).collect()] == [False, False, True]
