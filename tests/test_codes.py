@@ -194,3 +194,14 @@ def test_quick_form_runs_once(spark):
     assert [r["c"] for r in made.collect()] == ["A01K 31/10", "\x00A01K 31/10", "A01K 0000 31/10", "A01K 0/10", None]
     some = spark.createDataFrame([("31101010",), ("A01K 31/10 (2006.01)",), ("A01K 31/10",)], "x string")
     assert [r[0] for r in some.select(F.col("x").rlike(codes._MAY_BE_CODE)).collect()] == [False, False, True]
+
+
+def test_scores_are_cut_off_without_the_slow_expression(spark):
+    """Only an item with a line feed inside is read by the full expression."""
+    from ipcforge.functions import codes
+
+    lines = ["AI_IPC:A01K 31/10 \t(12.5%);(5%);X (a) (7%);A (5%) (6%);B\nC (5%);D \n (5%);E (٣%);F (1.%)"]
+    assert _items(eval_col(spark, lines, parse_ai_line)[0]) == [
+        ("A01K 31/10", 12.5), ("(5%)", None), ("X (a)", 7.0), ("A (5%)", 6.0), ("B\nC (5%)", None), ("D", 5.0), ("E", None), ("F (1.%)", None)]
+    plan = spark.createDataFrame([("",)], "l string").select(parse_ai_line("l"))._jdf.queryExecution().analyzed().toString()
+    assert codes._AI_SCORE in plan and "contains(" in plan.lower()
