@@ -205,3 +205,9 @@ def test_scores_are_cut_off_without_the_slow_expression(spark):
         ("A01K 31/10", 12.5), ("(5%)", None), ("X (a)", 7.0), ("A (5%)", 6.0), ("B\nC (5%)", None), ("D", 5.0), ("E", None), ("F (1.%)", None)]
     plan = spark.createDataFrame([("",)], "l string").select(parse_ai_line("l"))._jdf.queryExecution().analyzed().toString()
     assert codes._AI_SCORE in plan and "contains(" in plan.lower()
+
+
+def test_first_ai_line_is_searched_from_its_marker(spark):
+    lines = ["xAI_IPC:a\r\nAI_IPC:b\x85AI_IPC:c", "AI_IPC:", "\nAI_IPC:x y", "AAI_IPC:a", None, "\x1dAI_IPC:z\x1e"]
+    assert eval_col(spark, lines, first_ai_line) == ["AI_IPC:b", "AI_IPC:", "AI_IPC:x", "", None, "AI_IPC:z"]
+    assert "instr(" in str(first_ai_line(F.col("l")))
