@@ -207,7 +207,6 @@ def test_scores_are_cut_off_without_the_slow_expression(spark):
     assert codes._AI_SCORE in plan and "contains(" in plan.lower()
 
 
-def test_first_ai_line_is_searched_from_its_marker(spark):
-    lines = ["xAI_IPC:a\r\nAI_IPC:b\x85AI_IPC:c", "AI_IPC:", "\nAI_IPC:x y", "AAI_IPC:a", None, "\x1dAI_IPC:z\x1e"]
+def test_first_ai_line_at_every_line_break(spark):
+    lines = ["xAI_IPC:a\r\nAI_IPC:b\x85AI_IPC:c", "AI_IPC:", "\nAI_IPC:x\u2028y", "AAI_IPC:a", None, "\x1dAI_IPC:z\x1e"]
     assert eval_col(spark, lines, first_ai_line) == ["AI_IPC:b", "AI_IPC:", "AI_IPC:x", "", None, "AI_IPC:z"]
-    assert "instr(" in str(first_ai_line(F.col("l")))
